@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import byte_bpe
 from .common import blocks, doc_text, remove, table, written
@@ -218,9 +219,7 @@ def pack(pieces: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     first = before.select("part", "length", F.coalesce("before", F.lit(0)).alias("before"))
     own = F.row_number().over(Window.partitionBy("part", "length").orderBy("row")) - 1
     ranked = pieces.withColumn("rank", own).join(first, ["part", "length"]).withColumn("rank", F.col("rank") + F.col("before")).drop("before")
-    schema = ranked.schema
-    for name in ("sequence_id", "offset"):
-        schema = schema.add(name, "long")
+    schema = T.StructType([*ranked.schema.fields, T.StructField("sequence_id", T.LongType()), T.StructField("offset", T.LongType())])
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
