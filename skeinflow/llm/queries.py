@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from . import packing, wavelet
+from . import near_dup, packing, wavelet
 
 QUERIES = {
     "op1_wavelet_tokens": wavelet.op1_wavelet_tokens,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
+    "op10_minhash_near_dedup": near_dup.op10_minhash_near_dedup,
 }
 
 ORACLE_SQL: dict[str, str] = {}
