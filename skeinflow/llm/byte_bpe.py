@@ -22,7 +22,7 @@ _VISIBLE = np.zeros(256, bool)
 _VISIBLE[33:127] = True
 _VISIBLE[[b for b in range(0xC3, 0xF5) if b not in (0xE1, 0xE2, 0xE3)]] = True
 #: Distinct pieces that a worker keeps; beyond, it starts anew.
-KEEP = 3_000_000
+KEEP = 1_500_000
 
 _encoders: dict[str, "PieceEncoder"] = {}
 

@@ -15,7 +15,7 @@ U64 = np.uint64
 _BASE = 0x9E3779B97F4A7C15 | 1
 _INV = pow(_BASE, -1, 1 << 64)
 #: Bytes of text that are worked on at once in a Python worker.
-BLOCK_BYTES = 2 << 20
+BLOCK_BYTES = 1 << 20
 
 _powers: dict[str, np.ndarray] = {}
 
