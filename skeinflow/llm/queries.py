@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from . import near_dup, packing, wavelet, word_bpe
+from . import near_dup, packing, repeats, wavelet, word_bpe
 
 QUERIES = {
     "op1_wavelet_tokens": wavelet.op1_wavelet_tokens,
     "op2_best_fit_packing": packing.op2_best_fit_packing,
     "op5_word_bpe": word_bpe.op5_word_bpe,
+    "op7_run_length_repeats": repeats.op7_run_length_repeats,
     "op10_minhash_near_dedup": near_dup.op10_minhash_near_dedup,
 }
 
