@@ -359,13 +359,13 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
 
     keys = reps.select("rep", "sig").mapInArrow(keyed, "key long, rep long")
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = keys.join(shared, "key").join(reps.select("rep", "n_shingles", "sig"), "rep")
+    buckets = keys.join(shared, "key").join(reps.select("rep", "n_shingles", "sig").hint("merge"), "rep")
     cells = _cells(buckets, "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
     groups, groups_at = components(candidate_stars(cells, rule))
     groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("key"))
     sized = groups.join(groups.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "key")
-    texts = own.join(sized.select(F.col("rep").alias("doc_id"), "key", "members"), "doc_id").dropDuplicates(["doc_id"])
-    full = texts.withColumnRenamed("doc_id", "rep").join(reps.select("rep", "sig"), "rep")
+    texts = own.join(sized.select(F.col("rep").alias("doc_id"), "key", "members").hint("merge"), "doc_id").dropDuplicates(["doc_id"])
+    full = texts.withColumnRenamed("doc_id", "rep").join(reps.select("rep", "sig").hint("merge"), "rep")
     cells = _cells(full, "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
     linked, linked_at = components(verified_stars(cells, rule))
     by_set = reps.join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
