@@ -234,19 +234,19 @@ def repeated_windows(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     spark = rows.sparkSession
     cells, cells_at = written(row_cells(rows, length, gram), "cells")
     often = cells.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
-    shared, shared_at = written(cells.join(often, "anchor"), "shared")
+    shared, shared_at = written(cells.join(often.hint("merge"), "anchor"), "shared")
     remove(spark, cells_at)
     each = shared.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one"), F.first("windows").alias("windows"))
     each, each_at = written(each, "contexts")
     several = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).filter("different > 1")
-    cuts = each.join(several, "anchor").select(F.col("one.key").alias(_KEY), F.struct("anchor", "ctx", F.col("one.at").alias("at"), "windows", "different").alias("c"))
+    cuts = each.join(several.hint("merge"), "anchor").select(F.col("one.key").alias(_KEY), F.struct("anchor", "ctx", F.col("one.at").alias("at"), "windows", "different").alias("c"))
     cuts = cuts.groupBy(_KEY).agg(F.collect_list("c").alias("cut"))
-    one_each = rows.select(_KEY, _TEXT).join(cuts, _KEY)
+    one_each = rows.select(_KEY, _TEXT).join(cuts.hint("merge"), _KEY)
     contexts = cut_contexts(one_each, length).dropDuplicates(["anchor", "ctx"])
     dealt = _cells(contexts, "anchor", "different", "ctx", block).repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
     marked, marked_at = written(marked_contexts(dealt, length), "marked")
     masks = each.filter("n > 1").select("anchor", "ctx", F.lit(None).cast("binary").alias("mask")).unionByName(marked.join(each.filter("n = 1").select("anchor", "ctx"), ["anchor", "ctx"]))
-    found = shared.join(masks, ["anchor", "ctx"]).groupBy("key").agg(F.collect_list(F.struct("at", "windows", "mask")).alias("marks"))
+    found = shared.join(masks.hint("merge"), ["anchor", "ctx"]).groupBy("key").agg(F.collect_list(F.struct("at", "windows", "mask")).alias("marks"))
     return found.withColumnRenamed("key", _KEY), [shared_at, each_at, marked_at]
 
 
@@ -303,7 +303,7 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
             made = {text_col: pa.array(out["text"], pa.string())} if clean_text else {k: pa.array(out[k], pa.string() if k == "kept_sha256" else pa.int64()) for k in names[1:]}
             yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in names], names)
 
-    result, _ = written(kept.join(found, _KEY, "left").drop(_KEY).mapInArrow(run, T.StructType(fields)), "without_repeats")
+    result, _ = written(kept.join(found.hint("merge"), _KEY, "left").drop(_KEY).mapInArrow(run, T.StructType(fields)), "without_repeats")
     remove(spark, *paths)
     return result
 
