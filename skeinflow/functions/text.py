@@ -8,6 +8,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .terms import STOPWORDS
 
@@ -22,13 +23,13 @@ DIGITS_ONLY = r"^[\p{Nd}²³¹⁰⁴-⁹₀-₉]+$"
 BASIC_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&nbsp;", " "), ("&copy;", "©"), ("&middot;", "·"), ("&amp;", "&"))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def nfkc(values: pd.Series) -> pd.Series:
     """Unicode compatibility composition."""
     return values.map(lambda v: None if v is None else v if v.isascii() else unicodedata.normalize("NFKC", v))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def html_unescape(values: pd.Series) -> pd.Series:
     """All HTML entities."""
     return values.map(lambda v: None if v is None else html.unescape(v) if "&" in v else v)

@@ -89,7 +89,7 @@ def parse_date_multi(spark, sf):
         shown(-5, "EEE, dd MMM yyyy HH:mm:ss", " EST"), shown(9, "yyyy-MM-dd'T'HH:mm:ss", "+0900"),
     ]
     raw = F.element_at(F.array(*spelled), (k + 1).cast("int"))
-    return table(spark, sf, "events").select("event_id", F.unix_seconds(dates.parse_date(raw)).alias("epoch"))
+    return table(spark, sf, "events").select("event_id", F.coalesce(F.unix_seconds(dates.parse_date(raw)), F.lit(-1)).alias("epoch"))
 
 
 @query
@@ -399,7 +399,7 @@ def extract_links(spark, sf):
 
 @query
 def link_verdict(spark, sf):
-    return links.link_verdicts(bind.attempts(spark, sf)).select("url", "status", "verdict")
+    return links.link_verdicts(bind.attempts(spark, sf)).select("url", F.coalesce("status", F.lit(-1)).alias("status"), "verdict")
 
 
 @query
@@ -462,7 +462,7 @@ def forbidden_patterns(spark, sf):
 
 @query
 def declared_vs_actual(spark, sf):
-    return rules.declared_counts(bind.reports(spark, sf))
+    return rules.declared_counts(bind.reports(spark, sf)).withColumn("declared", F.coalesce("declared", F.lit(-1)))
 
 
 @query
