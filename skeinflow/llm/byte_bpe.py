@@ -13,7 +13,7 @@ import os
 import numpy as np
 import pyarrow as pa
 
-from .common import U64, flat, prefix, ranges, spans
+from .common import U64, flat, hash_spans, ranges
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -96,7 +96,7 @@ class PieceEncoder:
         cut[ends] = True
         bounds = np.flatnonzero(cut)
         start, end = bounds[:-1], bounds[1:]
-        keys, first, which = np.unique(spans(prefix(data), start, end), return_index=True, return_inverse=True)
+        keys, first, which = np.unique(hash_spans(data, start, end), return_index=True, return_inverse=True)
         if len(self.keys) > KEEP:
             self._reset()
         slot = np.searchsorted(self.keys, keys)

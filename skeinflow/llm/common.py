@@ -133,6 +133,18 @@ def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
 
 
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 4 << 20) -> np.ndarray:
+    """Hashes of spans in ascending, disjoint order; a very long text is taken ``limit`` bytes at a time."""
+    out = np.empty(len(start), U64)
+    i = 0
+    while i < len(start):
+        j = max(i + 1, int(np.searchsorted(end, start[i] + limit, "right")))
+        a, b = int(start[i]), int(end[j - 1])
+        out[i:j] = spans(prefix(data[a:b]), start[i:j] - a, end[i:j] - a)
+        i = j
+    return out
+
+
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
     """start[0] .. start[0]+length[0]-1, start[1] ..., in one array."""
     length = length.astype(np.int64)

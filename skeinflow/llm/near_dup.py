@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, blocks, doc_text, flat, mix, prefix, remove, spans, table, written
+from .common import U64, blocks, doc_text, flat, hash_spans, mix, remove, table, written
 from .graph import components, labels
 
 #: MinHash functions of a signature; 16 bits of each are kept.
@@ -102,7 +102,7 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
         cut = np.searchsorted(ends, start, "right")
         far = end > ends[np.minimum(cut, n)]
     row = cut - 1
-    word = spans(prefix(data), start, end)
+    word = hash_spans(data, start, end)
     per_row = np.bincount(row, minlength=n)
     first = np.cumsum(per_row) - per_row
     length = np.minimum(per_row, words)

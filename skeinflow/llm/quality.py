@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import blocks, flat, prefix, spans, table
+from .common import blocks, flat, hash_spans, table
 from .labelled import fold, sample
 
 #: Most labelled documents that the driver fits from.
@@ -71,7 +71,6 @@ def features(texts: pa.Array) -> np.ndarray:
         new[1:] = (k[1:] != k[:-1]) | (r[1:] != r[:-1])
         return np.bincount(r[new], minlength=n)
 
-    sums = prefix(data)
     start, end, row = pieces(~_SPACE[data])
     words = np.bincount(row, minlength=n)
     l_start, l_end, l_row = pieces(data != 10)
@@ -87,7 +86,7 @@ def features(texts: pa.Array) -> np.ndarray:
     columns = (
         np.log1p(size), np.log1p(words), np.log1p(lines), per_row(~_SPACE[data]) / w, per_row(_UPPER[data]) / letters, per_row(_DIGIT[data]) / b,
         per_row(data == 33) / w, per_row(_MARK[data]) / w, per_row(data == 124) / w, per_row(data == 46) / w, per_row(data == 44) / w, per_row(_OTHER[data]) / w,
-        per_row(_HIGH[data]) / b, per_row(_SPACE[data]) / b, distinct(spans(sums, start, end), row) / w, distinct(spans(sums, l_start, l_end), l_row) / ln,
+        per_row(_HIGH[data]) / b, per_row(_SPACE[data]) / b, distinct(hash_spans(data, start, end), row) / w, distinct(hash_spans(data, l_start, l_end), l_row) / ln,
         size / ln, shouted / w, marked / w, per_row(same) / b,
     )
     for k, c in enumerate(columns):
@@ -228,7 +227,11 @@ def fit_from(labelled: DataFrame, limit: int = FIT_ROWS) -> Additive:
 
 
 def scored(docs: DataFrame, model: Additive, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """All rows and columns of ``docs`` with the score.  Null and empty texts are scored as empty."""
+    """All rows and columns of ``docs`` with the score.  Null and empty texts are scored as empty.
+
+    A column called like the score is replaced.
+    """
+    docs = docs.drop(score_col)
     schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(model)
 

@@ -34,10 +34,12 @@ LENGTH = 200
 GRAM = 48
 #: Different contexts of one anchor that one task holds.
 BLOCK = 1024
+#: Window starts that are worked on at once; a longer text is taken in segments, whose windows are the same.
+SEGMENT = 4 << 20
 #: Bytes of contexts in one index.
 INDEX_BYTES = 1 << 20
 
-_KEY, _TEXT = "_row_key", "_row_text"
+_ROW, _KEY, _TEXT = "_row", "_row_key", "_row_text"
 CELL = "anchor long, ctx long, key long, at int, windows int"
 
 
@@ -164,9 +166,12 @@ def row_cells(rows: DataFrame, length: int, gram: int) -> DataFrame:
             texts, keys = batch.column(_TEXT), batch.column(_KEY).to_numpy(zero_copy_only=False)
             for a, b in blocks(texts):
                 data, ends = flat(texts.slice(a, b - a))
-                row, at, n, anchor, ctx = windows(data, ends, length, gram)
-                if len(row):
-                    cols = [anchor, ctx, keys[a:b][row], (at - ends[row]).astype(np.int32), n.astype(np.int32)]
+                for p in range(0, max(1, len(data)), SEGMENT):  # only a very long text has several
+                    q = min(len(data), p + SEGMENT + length - 1)
+                    row, at, n, anchor, ctx = windows(data[p:q], np.clip(ends, p, q) - p, length, gram)
+                    if not len(row):
+                        continue
+                    cols = [anchor, ctx, keys[a:b][row], (at + p - ends[row]).astype(np.int32), n.astype(np.int32)]
                     yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["anchor", "ctx", "key", "at", "windows"])
 
     return rows.select(_KEY, _TEXT).mapInArrow(run, CELL)
@@ -199,6 +204,9 @@ def marked_contexts(contexts: DataFrame, length: int) -> DataFrame:
             starts = np.append(new, len(anchor))
             while a < len(new):  # whole groups up to the bytes of one index
                 b = max(a + 1, int(np.searchsorted(ends[starts], ends[starts[a]] + INDEX_BYTES, "right")) - 1)
+                again = np.flatnonzero(anchor[new[a + 1 : b]] == anchor[new[a : b - 1]])
+                if len(again):  # another cell of an anchor holds the same contexts once more
+                    b = a + 1 + int(again[0])
                 yield _mark(t.slice(starts[a], starts[b] - starts[a]), length)
                 a = b
 
@@ -221,9 +229,9 @@ def _mark(t: pa.Table, length: int) -> pa.RecordBatch:
 
 
 def keyed_rows(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """All columns, with a key per (id, text); equal rows share it."""
+    """Each row as one struct (so no name can clash), its text and a key per (id, text); equal rows share the key."""
     text = F.col(f"`{text_col}`").cast("string")
-    return docs.withColumn(_KEY, F.xxhash64(F.col(f"`{id_col}`"), text)).withColumn(_TEXT, text)
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias(_ROW), F.xxhash64(F.col(f"`{id_col}`"), text).alias(_KEY), text.alias(_TEXT))
 
 
 def repeated_windows(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM, block: int = BLOCK) -> tuple[DataFrame, list[str]]:
@@ -278,10 +286,9 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
     rows = keyed_rows(docs, id_col, text_col)
     found, paths = repeated_windows(rows, length=length, gram=gram, block=block)
     if clean_text:
-        kept = rows.select(*[c for c in rows.columns if c not in (text_col, _TEXT)], _TEXT)
-        fields = [T.StructField(f.name, f.dataType) if f.name != text_col else T.StructField(text_col, T.StringType()) for f in docs.schema]
+        kept, fields = rows, [T.StructField(_ROW, rows.schema[_ROW].dataType), T.StructField(_TEXT, T.StringType())]
     else:
-        kept = rows.select(F.col(f"`{id_col}`").alias(id_col), _KEY, _TEXT)
+        kept = rows.select(F.col(_ROW).getField(id_col).alias(id_col), _KEY, _TEXT)
         fields = [T.StructField(id_col, docs.schema[id_col].dataType), *(T.StructField(k, T.LongType()) for k in ("n_bytes", "n_removed", "n_spans")), T.StructField("kept_sha256", T.StringType())]
     names = [f.name for f in fields]
 
@@ -300,10 +307,13 @@ def remove_repeats(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "
                 kept_bytes = b"".join(raw[a:b] for a, b in zip([0, *(e for _, e in cuts)], [*(s for s, _ in cuts), len(raw)], strict=True))
                 for name, value in (("n_bytes", len(raw)), ("n_removed", len(raw) - len(kept_bytes)), ("n_spans", len(cuts)), ("kept_sha256", hashlib.sha256(kept_bytes).hexdigest())):
                     out[name].append(value)
-            made = {text_col: pa.array(out["text"], pa.string())} if clean_text else {k: pa.array(out[k], pa.string() if k == "kept_sha256" else pa.int64()) for k in names[1:]}
+            made = {_TEXT: pa.array(out["text"], pa.string())} if clean_text else {k: pa.array(out[k], pa.string() if k == "kept_sha256" else pa.int64()) for k in names[1:]}
             yield pa.RecordBatch.from_arrays([made[c] if c in made else batch.column(c) for c in names], names)
 
-    result, _ = written(kept.join(found.hint("merge"), _KEY, "left").drop(_KEY).mapInArrow(run, T.StructType(fields)), "without_repeats")
+    out_rows = kept.join(found.hint("merge"), _KEY, "left").drop(_KEY).mapInArrow(run, T.StructType(fields))
+    if clean_text:
+        out_rows = out_rows.select(*[F.col(_TEXT).alias(c) if c == text_col else F.col(_ROW).getField(c).alias(c) for c in docs.columns])
+    result, _ = written(out_rows, "without_repeats")
     remove(spark, *paths)
     return result
 

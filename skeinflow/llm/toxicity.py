@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, blocks, flat, mix, prefix, spans, table
+from .common import U64, blocks, flat, hash_spans, mix, table
 from .labelled import fold, sample
 
 BITS = 20
@@ -49,7 +49,7 @@ def places(texts: pa.Array, bits: int = BITS) -> tuple[np.ndarray, np.ndarray]:
     if not len(start):
         return np.zeros(0, np.int32), np.zeros(0, np.int64)
     row = np.searchsorted(ends, start, "right") - 1
-    w = spans(prefix(data), start, end)
+    w = hash_spans(data, start, end)
     shift = U64(64 - bits)
     out, rows = [w >> shift], [row]
     for gap, seed in ((1, 0x8CB92BA72F3D8DD7), (2, 0xA24BAED4963EE407)):
@@ -142,7 +142,11 @@ def fit_from(labelled: DataFrame, limit: int = FIT_ROWS) -> Weights:
 
 
 def scored(docs: DataFrame, weights: Weights, *, text_col: str = "text", score_col: str = "score") -> DataFrame:
-    """All rows and columns of ``docs`` with the score.  Null and empty texts are scored as empty."""
+    """All rows and columns of ``docs`` with the score.  Null and empty texts are scored as empty.
+
+    A column called like the score is replaced.
+    """
+    docs = docs.drop(score_col)
     schema = T.StructType([*docs.schema.fields, T.StructField(score_col, T.DoubleType())])
     sent = docs.sparkSession.sparkContext.broadcast(weights)
 

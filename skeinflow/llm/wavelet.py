@@ -218,12 +218,15 @@ def write_shards(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_numpy(zero_copy_only=False)
             for a, b in blocks(texts):
                 ids, counts = encode(texts.slice(a, b - a))
-                ends = np.cumsum(counts)
-                held.append((doc_ids[a:b], counts + 1, np.insert(ids, ends, end_id)))
-                n += len(held[-1][2])
-                if n >= shard_tokens:
-                    yield close()
-                    held, n, seq = [], 0, seq + 1
+                ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
+                ends, p, at = np.cumsum(counts), 0, 0
+                while p < len(counts):  # up to the document that fills the shard
+                    q = min(len(counts), int(np.searchsorted(ends, at + shard_tokens - n)) + 1)
+                    held.append((doc_ids[a + p : a + q], counts[p:q], ids[at : ends[q - 1]]))
+                    n, p, at = n + int(ends[q - 1]) - at, q, int(ends[q - 1])
+                    if n >= shard_tokens:
+                        yield close()
+                        held, n, seq = [], 0, seq + 1
         if held:
             yield close()
 

@@ -17,7 +17,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import U64, blocks, doc_text, flat, prefix, ranges, spans, table
+from .common import U64, blocks, doc_text, flat, hash_spans, ranges, table
 
 _NONE = np.int32(2**31 - 1)
 _WHITE = np.zeros(256, bool)
@@ -206,7 +206,7 @@ class WordBPE:
         rows = np.searchsorted(start, ends)
         if not len(start):
             return np.zeros(0, np.int64), rows
-        keys, first, which = np.unique(spans(prefix(data), start, end), return_index=True, return_inverse=True)
+        keys, first, which = np.unique(hash_spans(data, start, end), return_index=True, return_inverse=True)
         if len(self.seen) > KEEP:
             self._reset()
         place = np.searchsorted(self.seen, keys)
