@@ -4,8 +4,8 @@
    corners on several scales: local maxima of the structure tensor's lesser response.  A corner's patch is
    turned to its intensity centroid and described by 256 brightness comparisons.
 2. Equal pictures form a class by partial aggregation; the rest works on one of each.
-3. Hamming tables: each table's key is 32 of the 256 bits.  Pictures that share a key and whose descriptors
-   differ in at most ``DIFFER`` bits are candidates; a task emits spanning stars of them, not pairs.
+3. Hamming tables: each table's key is 32 of the 256 bits.  Pictures with ``SEEN`` or more shared keys whose
+   descriptors differ in at most ``DIFFER`` bits are candidates, and their components candidate groups.
 4. Within a candidate group (large ones: pairs of blocks), descriptors are matched and a similarity transform
    (turn, scale, shift) must carry at least ``AGREE`` corners of one picture onto the other's.
 5. Connected components of those links are the copies.
@@ -32,6 +32,10 @@ SCALES = (1.0, 1.26, 1.59, 2.0)
 RADIUS = 12
 DIFFER = 56
 AGREE = 5
+#: Close descriptors in shared buckets that make two pictures candidates.
+SEEN = 2
+#: Members of a bucket up to which all its pairs are looked at.
+SMALL = 16
 BLOCK = 512
 
 _rng = np.random.default_rng(5)
@@ -204,7 +208,7 @@ def table_keys(words: np.ndarray) -> np.ndarray:
     out = np.zeros((len(words), len(_TABLES)), U64)
     for t, places in enumerate(_TABLES):
         key = np.ascontiguousarray(np.packbits(bits[:, places], axis=1)).view(np.uint32).ravel().astype(U64)
-        out[:, t] = mix(key + U64(t + 1) * U64(0x9E3779B97F4A7C15))
+        out[:, t] = mix(key + U64((t + 1) * 0x9E3779B97F4A7C15 % (1 << 64)))
     return out.view(np.int64)
 
 
@@ -240,29 +244,37 @@ def same_scene(pa_: np.ndarray, wa: np.ndarray, pb: np.ndarray, wb: np.ndarray)
     return bool(len(agree) and agree.max() >= AGREE)
 
 
-def candidate_stars(members: DataFrame) -> DataFrame:
-    """Stars of pictures that share a key and a close descriptor."""
+def candidate_pairs(members: DataFrame) -> DataFrame:
+    """Pairs (a < b) of pictures that share a key and a close descriptor: all of a small bucket, and
+    of a large one those with its smallest id and with the next id, so rows grow with members only."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _grouped(batches, ["key", "cell"]):
             key, cell, rep = (t.column(c).to_numpy() for c in ("key", "cell", "rep"))
             words = np.frombuffer(b"".join(t.column("word").to_pylist()), np.uint64).reshape(-1, 4)
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
+            size = np.diff(np.append(new, len(key)))
             xs, ys = [], []
-            for a, e in zip(new.tolist(), np.append(new[1:], len(key)).tolist(), strict=True):
-                if e - a > 1 and (rep[a:e] != rep[a]).any():
-                    left = np.arange(a, e)
-                    while len(left) > 1:  # each round settles all that are close to the first
-                        near = differing(words[left[0]], words[left[1:]]) <= DIFFER
-                        xs.append(np.full(near.sum(), left[0]))
-                        ys.append(left[1:][near])
-                        left = left[1:][~near] if near.any() else left[1:]
-            yield _stars(rep, xs, ys)
+            for m in np.unique(size[(size > 1) & (size <= SMALL)]):
+                i, j = np.triu_indices(m, 1)
+                base = new[size == m][:, None]
+                xs.append((base + i).ravel())
+                ys.append((base + j).ravel())
+            for a, m in zip(new[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
+                order = a + np.argsort(rep[a : a + m], kind="stable")
+                xs += [np.full(m - 1, order[0]), order[1:-1]]
+                ys += [order[1:], order[2:]]
+            x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
+            ok = (rep[x] != rep[y]) & (differing(words[x], words[y]) <= DIFFER)
+            a, b = np.minimum(rep[x[ok]], rep[y[ok]]), np.maximum(rep[x[ok]], rep[y[ok]])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
 
     return members.mapInArrow(run, "a long, b long")
 
 
 def verified_stars(members: DataFrame) -> DataFrame:
+    """Stars of the pictures of one scene in each candidate group's cells."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _grouped(batches, ["key", "cell"]):
             key, cell, rep, side = (t.column(c).to_numpy() for c in ("key", "cell", "rep", "side"))
@@ -272,12 +284,19 @@ def verified_stars(members: DataFrame) -> DataFrame:
             xs, ys = [], []
             for a, e in zip(new.tolist(), np.append(new[1:], len(key)).tolist(), strict=True):
                 label = np.arange(e - a)
+                n = np.array([len(w) for w in words[a:e]])
+                flat_words, owner = np.concatenate(words[a:e]), np.repeat(np.arange(a, e), n)
                 for i in range(a, e):
-                    for j in range(i + 1, e):
-                        if label[i - a] != label[j - a] and (side[i] == 0 or side[i] != side[j]) and same_scene(points[i], words[i], points[j], words[j]):
+                    near = np.zeros(len(key), np.int64)
+                    for w in words[i]:
+                        hit = differing(flat_words, w) <= DIFFER
+                        near[np.unique(owner[hit])] += 1
+                    for j in np.flatnonzero(near >= AGREE).tolist():  # as many close corners as must agree
+                        if j > i and label[i - a] != label[j - a] and (side[i] == 0 or side[i] != side[j]) and same_scene(points[i], words[i], points[j], words[j]):
                             xs.append(np.array([i]))
                             ys.append(np.array([j]))
-                            label = labels(e - a, np.append(label, i - a), np.append(np.arange(e - a), j - a))
+                            low, high = sorted((label[i - a], label[j - a]))
+                            label[label == high] = low
             yield _stars(rep, xs, ys)
 
     return members.mapInArrow(run, "a long, b long")
@@ -310,8 +329,9 @@ def copies(images: DataFrame, *, id_col: str = "image_id", image_col: str = "ima
     shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members"), F.min("rep").alias("_low"), F.max("rep").alias("_high")).filter("_low < _high").select("key", "members")
     word = F.substring("words", F.col("corner") * 32 + 1, F.lit(32)).alias("word")
     buckets = keys.join(shared, "key").join(reps.select("rep", "words"), "rep").select("key", "rep", "members", word)
-    cells = _cells(buckets, "key", "members", "rep", block).repartition("key", "cell").sortWithinPartitions("key", "cell")
-    groups, groups_at = components(candidate_stars(cells))
+    cells = _cells(buckets, "key", "members", "rep", block).repartition("key", "cell").sortWithinPartitions("key", "cell", "rep")
+    pairs = candidate_pairs(cells).groupBy("a", "b").agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") >= SEEN)
+    groups, groups_at = components(pairs)
     groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("key"))
     sized = groups.join(groups.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "key").join(reps.select("rep", "points", "words"), "rep")
     cells = _cells(sized, "key", "members", "rep", block).repartition("key", "cell").sortWithinPartitions("key", "cell", "rep")
