@@ -10,14 +10,15 @@ from ..plans.storage import remove, written
 MAX_ROUNDS = 60
 
 
-def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
-    """(node, component) for every row of ``nodes``; component is the smallest node reachable.
+def edge_components(edges: DataFrame) -> tuple[DataFrame, str]:
+    """(v, u) for all nodes in columns a and b of ``edges``: u is the smallest node reachable from v.
 
-    ``edges`` has columns a and b.  Each round is written to the shared folder, the loop ends when a
-    round changes nothing, and it fails loudly at ``MAX_ROUNDS``.
+    Each round is one table in the shared folder, so a lost executor costs one round at most; the loop
+    ends when a round changes nothing, and fails loudly at ``MAX_ROUNDS``.  Self loops and repeated edges
+    are harmless.  The second value is the result's folder, for the caller to remove.
     """
-    spark = nodes.sparkSession
-    now, path = written(edges.filter("a <> b").select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges")
+    spark = edges.sparkSession
+    now, path = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges", "lz4")
     seen = _state(now)
     for _ in range(MAX_ROUNDS):
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
@@ -25,15 +26,21 @@ def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node")
         large = both.filter("u >= v").join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
         small = large.join(large.groupBy("v").agg(F.min("u").alias("m")), "v")
         small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(small.select("v", F.col("m").alias("u")))
-        step, new = written(small.filter("v <> u").distinct(), "edges")
+        step, new = written(small.distinct(), "edges", "lz4")
         remove(spark, path)
         now, path = step, new
         state = _state(now)
         if state == seen:
-            return nodes.join(now.select(F.col("v").alias(node), F.col("u").alias("component")), node, "left").withColumn("component", F.coalesce("component", node))
+            return now, path
         seen = state
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
+def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
+    """(node, component) for every row of ``nodes``; component is the smallest node reachable over edges (a, b)."""
+    found, _ = edge_components(edges)
+    return nodes.join(found.select(F.col("v").alias(node), F.col("u").alias("component")), node, "left").withColumn("component", F.coalesce("component", node))
+
+
 def _state(edges: DataFrame) -> tuple:
     return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u") % F.lit(1 << 40))).first())

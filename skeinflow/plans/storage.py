@@ -20,10 +20,14 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
-def written(df: DataFrame, name: str) -> tuple[DataFrame, str]:
-    """``df`` as Parquet in the shared folder, and its path."""
-    path = f"{shared_dir(df.sparkSession)}/skeinflow/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+def new_path(spark: SparkSession, name: str) -> str:
+    return f"{shared_dir(spark)}/skeinflow/{name}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFrame, str]:
+    """``df`` as Parquet in the shared folder, and its path: lineage ends there."""
+    path = new_path(df.sparkSession, name)
+    df.write.option("compression", codec).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path), path
 
 
