@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..plans.storage import new_path, remove, shared_dir, written
+
 U64 = np.uint64
 #: Odd multiplier of the polynomial hash and its inverse modulo 2**64.
 _BASE = 0x9E3779B97F4A7C15 | 1
@@ -20,40 +21,6 @@ BLOCK_BYTES = 1 << 20
 _powers: dict[str, np.ndarray] = {}
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share (``spark.checkpoint.dir``).
-
-    Only a local session, as in tests, may leave it unset; it then gets a folder of its own.
-    """
-    sc = spark.sparkContext
-    at = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir") or sc.getCheckpointDir()
-    if not at:
-        if not sc.master.startswith("local[") and sc.master != "local":
-            raise ValueError("set spark.checkpoint.dir to a folder that all machines share")
-        at = f"file:///tmp/checkpoints/skeinflow-{uuid.uuid4().hex}"
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(at)
-    return at
-
-
-def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/skeinflow/{name}-{uuid.uuid4().hex}"
-
-
-def written(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFrame, str]:
-    """``df`` written as Parquet to the shared folder and read again: lineage ends there."""
-    spark = df.sparkSession
-    path = new_path(spark, name)
-    df.write.option("compression", codec).parquet(path)
-    return spark.read.schema(df.schema).parquet(path), path
-
-
-def remove(spark: SparkSession, *paths: str) -> None:
-    for path in paths:
-        at = spark._jvm.org.apache.hadoop.fs.Path(path)
-        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
-
-
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -163,3 +130,6 @@ def local_tasks(df: DataFrame, per_partition: int = 2) -> int:
 def doc_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Only the id and the text, under fixed names; other columns cannot clash."""
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+
+
+__all__ = ["blocks", "byte_lengths", "doc_text", "flat", "hash_spans", "local_tasks", "mix", "new_path", "powers", "prefix", "ranges", "remove", "shared_dir", "spans", "table", "written"]

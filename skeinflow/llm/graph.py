@@ -1,4 +1,4 @@
-"""Connected components of edge tables by alternating large-star and small-star rounds."""
+"""Connected components: of edge tables, and in memory."""
 
 from __future__ import annotations
 
@@ -6,43 +6,13 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import remove, written
+from ..operators.components import edge_components
 
-MAX_ROUNDS = 60
 
-
-def components(edges: DataFrame, a: str = "a", b: str = "b") -> tuple[DataFrame, str]:
-    """(node, component) for all nodes that ``edges`` name, component being the smallest node reachable.
-
-    Each round is one table in the shared folder, so a lost executor costs one round at most, and
-    the loop ends when a round changes nothing.  Self loops and repeated edges are harmless.  Returns
-    the table and its path, for the caller to remove.
-    """
-    spark = edges.sparkSession
-    start = edges.select(F.greatest(F.col(a), F.col(b)).alias("v"), F.least(F.col(a), F.col(b)).alias("u")).distinct()
-    now, path = written(start, "edges", "lz4")
-    seen = _state(now)
-    for _ in range(MAX_ROUNDS):
-        both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = both.filter("u >= v").join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
-        least = large.groupBy("v").agg(F.min("u").alias("m"))
-        small = large.join(least, "v")
-        small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(small.select("v", F.col("m").alias("u")))
-        step, new = written(small.distinct(), "edges", "lz4")
-        remove(spark, path)
-        now, path = step, new
-        state = _state(now)
-        if state == seen:
-            break
-        seen = state
-    else:
-        raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
-    return now.select(F.col("v").alias("node"), F.col("u").alias("component")), path
-
-
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u") % F.lit(1 << 40))).first())
+def components(edges: DataFrame) -> tuple[DataFrame, str]:
+    """(node, component) for all nodes that ``edges`` (a, b) names, and the folder to remove after use."""
+    found, path = edge_components(edges)
+    return found.select(F.col("v").alias("node"), F.col("u").alias("component")), path
 
 
 def labels(n: int, x: np.ndarray, y: np.ndarray) -> np.ndarray:

@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import table
 
@@ -317,18 +318,18 @@ def extract(pages: DataFrame, *, html_col: str = "html", out_col: str = "text",
     called like the output is replaced.
     """
     keep = [c for c in (keep if keep is not None else pages.columns) if c not in (html_col, out_col)]
-    rows = pages.select(*[F.col(f"`{c}`") for c in keep], F.col(f"`{html_col}`").cast("string").alias("_page"))
-    schema = rows.schema.fields[:-1]
-    from pyspark.sql import types as T
+    row = F.struct(F.lit(0), *[F.col(f"`{c}`").alias(c) for c in keep]).alias("row")  # one struct, so that no name can clash
+    rows = pages.select(row, F.col(f"`{html_col}`").cast("string").alias("page"))
+    schema = T.StructType([rows.schema["row"], T.StructField("text", T.StringType())])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 512):
                 part = batch.slice(a, 512)
-                text = [visible_text(p.as_py()) for p in part.column("_page")]
-                yield pa.RecordBatch.from_arrays([*part.columns[:-1], pa.array(text, pa.string())], [*keep, out_col])
+                text = [visible_text(p.as_py()) for p in part.column("page")]
+                yield pa.RecordBatch.from_arrays([part.column("row"), pa.array(text, pa.string())], ["row", "text"])
 
-    return rows.mapInArrow(run, T.StructType([*schema, T.StructField(out_col, T.StringType())]))
+    return rows.mapInArrow(run, schema).select(*[F.col("row").getField(c).alias(c) for c in keep], F.col("text").alias(out_col))
 
 
 def op8_visible_text(spark: SparkSession, sf_dir: str) -> DataFrame:

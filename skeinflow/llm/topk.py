@@ -144,7 +144,7 @@ def _arrays(rows: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return np.array([r["vec_id"] for r in rows], np.int64), np.array([r["norm"] for r in rows], float), np.array([r["ints"] for r in rows], float).reshape(len(rows), -1)
 
 
-def _top(buckets: DataFrame, block: list, head: list, k: int) -> DataFrame:
+def _top(buckets: DataFrame, block: list, head: list, k: int, bucket: int) -> DataFrame:
     """Best candidates of each part of the buckets for one block of queries of one dimension."""
     ids, norms, q = _arrays(block)
     dim = q.shape[1]
@@ -161,14 +161,16 @@ def _top(buckets: DataFrame, block: list, head: list, k: int) -> DataFrame:
             n = batch.num_rows
             p_all = batch.column("ints").flatten().to_numpy(zero_copy_only=False).reshape(n, dim)
             p_norm, vecs = batch.column("norm").to_numpy(), batch.column("vec_id").to_numpy()
-            for a in range(0, n, BUCKET):
-                search_bucket(best, q, norms, p_all[a : a + BUCKET], p_norm[a : a + BUCKET], vecs[a : a + BUCKET])
+            order = np.argsort(-p_norm, kind="stable")  # a task may read several files, each sorted by itself
+            p_all, p_norm, vecs = p_all[order], p_norm[order], vecs[order]
+            for a in range(0, n, bucket):
+                search_bucket(best, q, norms, p_all[a : a + bucket], p_norm[a : a + bucket], vecs[a : a + bucket])
         yield best.batch()
 
     return buckets.filter(F.col("dim") == dim).mapInArrow(run, "query_id long, vec_id long, score long")
 
 
-def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0) -> DataFrame:
+def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id", vector_col: str = "embedding", scale: float = 256.0, bucket: int = BUCKET) -> DataFrame:
     """query_id, rank, vec_id and score of the k highest integer products of each query.
 
     ``is_query`` is a condition on ``vec_id``.  Null vectors and vectors with null or non-finite
@@ -189,7 +191,7 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id
         dim = block[0]["dim"]
         if dim not in heads:
             heads = {dim: buckets.filter(F.col("dim") == dim).orderBy(F.desc("norm"), "vec_id").limit(HEAD).collect()}
-        got, at = written(_top(buckets, block, heads[dim], k), "top")
+        got, at = written(_top(buckets, block, heads[dim], k, bucket), "top")
         paths.append(at)
         found = got if found is None else found.unionByName(got)
     if found is None:
