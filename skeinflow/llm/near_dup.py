@@ -358,8 +358,9 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column("rep").to_numpy(), keys.shape[1]))], ["key", "rep"])
 
     keys = reps.select("rep", "sig").mapInArrow(keyed, "key long, rep long")
-    shared = keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
-    buckets = keys.join(shared, "key").join(reps.select("rep", "n_shingles", "sig").hint("merge"), "rep")
+    # written first: Spark splits a skewed join only between plain exchanges, not after an aggregate of its key
+    shared, shared_at = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "bands")
+    buckets = keys.join(shared.hint("merge"), "key").join(reps.select("rep", "n_shingles", "sig").hint("merge"), "rep")
     cells = _cells(buckets, "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
     groups, groups_at = components(candidate_stars(cells, rule))
     groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("key"))
@@ -372,7 +373,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
     out = feats.select("doc_id", "n_shingles", "d1", "d2").join(by_set, ["d1", "d2", "n_shingles"], "left")
     out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
     result, _ = written(out.withColumn("kept", F.col("doc_id") == F.col("component_id")), "near_duplicates")
-    remove(spark, feats_at, reps_at, groups_at, linked_at)
+    remove(spark, feats_at, reps_at, shared_at, groups_at, linked_at)
     return result
 
 
@@ -381,3 +382,18 @@ def op10_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), Rule(words=3, percent=85))
 
 
+OP10_SQL = r"""
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), sets AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [array_to_string(w, ' ')]
+    ELSE list_distinct(list_transform(range(1, len(w) - 1), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2])) END AS s FROM words
+), placed AS (SELECT doc_id, len(s) AS n, unnest(s) AS shingle FROM sets),
+linked AS (
+  SELECT a.doc_id AS x, b.doc_id AS y FROM placed a JOIN placed b ON a.shingle = b.shingle AND a.doc_id <> b.doc_id
+  GROUP BY a.doc_id, b.doc_id HAVING 100 * count(*) >= 85 * (any_value(a.n) + any_value(b.n) - count(*))
+), spread AS (
+  SELECT doc_id AS label, doc_id FROM sets UNION SELECT s.label, l.y FROM spread s JOIN linked l ON l.x = s.doc_id AND l.y > s.label
+), classes AS (SELECT doc_id, min(label) AS component_id FROM spread GROUP BY doc_id)
+SELECT doc_id, CAST(len(s) AS BIGINT) AS n_shingles, component_id, doc_id = component_id AS kept FROM sets JOIN classes USING (doc_id)
+"""

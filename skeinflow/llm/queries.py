@@ -19,4 +19,6 @@ QUERIES = {
 
 ORACLE_SQL: dict[str, str] = {
     "op3_norm_bucket_topk": topk.OP3_SQL,
+    "op7_run_length_repeats": repeats.OP7_SQL,
+    "op10_minhash_near_dedup": near_dup.OP10_SQL,
 }
