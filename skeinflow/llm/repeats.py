@@ -241,18 +241,20 @@ def repeated_windows(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     """
     spark = rows.sparkSession
     cells, cells_at = written(row_cells(rows, length, gram), "cells")
-    often = cells.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor")
+    # written first: Spark splits a skewed join only between plain exchanges, not after an aggregate of its key
+    often, often_at = written(cells.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
     shared, shared_at = written(cells.join(often.hint("merge"), "anchor"), "shared")
-    remove(spark, cells_at)
+    remove(spark, cells_at, often_at)
     each = shared.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one"), F.first("windows").alias("windows"))
     each, each_at = written(each, "contexts")
-    several = each.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).filter("different > 1")
+    several, several_at = written(each.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).filter("different > 1"), "several")
     cuts = each.join(several.hint("merge"), "anchor").select(F.col("one.key").alias(_KEY), F.struct("anchor", "ctx", F.col("one.at").alias("at"), "windows", "different").alias("c"))
     cuts = cuts.groupBy(_KEY).agg(F.collect_list("c").alias("cut"))
     one_each = rows.select(_KEY, _TEXT).join(cuts.hint("merge"), _KEY)
     contexts = cut_contexts(one_each, length).dropDuplicates(["anchor", "ctx"])
     dealt = _cells(contexts, "anchor", "different", "ctx", block).repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
     marked, marked_at = written(marked_contexts(dealt, length), "marked")
+    remove(spark, several_at)
     masks = each.filter("n > 1").select("anchor", "ctx", F.lit(None).cast("binary").alias("mask")).unionByName(marked.join(each.filter("n = 1").select("anchor", "ctx"), ["anchor", "ctx"]))
     found = shared.join(masks.hint("merge"), ["anchor", "ctx"]).groupBy("key").agg(F.collect_list(F.struct("at", "windows", "mask")).alias("marks"))
     return found.withColumnRenamed("key", _KEY), [shared_at, each_at, marked_at]
@@ -333,3 +335,18 @@ def _without(raw: bytes, cuts: list[tuple[int, int]]) -> str:
 def op7_run_length_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents without the bytes of repeated 200-byte strings."""
     return remove_repeats(table(spark, sf_dir, "documents"), clean_text=False)
+
+
+OP7_SQL = """
+WITH bytes AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents),
+windows AS (SELECT doc_id, i, substr(h, 2 * i + 1, 400) AS s FROM (SELECT doc_id, h, unnest(range(0, length(h) // 2 - 199)) AS i FROM bytes)),
+often AS (SELECT s FROM windows GROUP BY s HAVING count(*) > 1),
+starts AS (SELECT doc_id, i, CASE WHEN i - lag(i) OVER (PARTITION BY doc_id ORDER BY i) <= 200 THEN 0 ELSE 1 END AS first FROM windows SEMI JOIN often USING (s)),
+islands AS (SELECT doc_id, i, sum(first) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM starts),
+gone AS (SELECT doc_id, min(i) AS a, max(i) + 200 AS b FROM islands GROUP BY doc_id, k),
+edges AS (SELECT doc_id, a, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS from_, b FROM gone UNION ALL
+  SELECT t.doc_id, length(h) // 2, coalesce(max(g.b), 0), NULL FROM bytes t LEFT JOIN gone g USING (doc_id) GROUP BY t.doc_id, h),
+kept AS (SELECT e.doc_id, string_agg(substr(h, 2 * from_ + 1, 2 * (a - from_)), '' ORDER BY from_, a) AS k, count(b) AS n_spans, CAST(coalesce(sum(b - a) FILTER (WHERE b IS NOT NULL), 0) AS BIGINT) AS n_removed, any_value(length(h) // 2) AS n_bytes
+  FROM edges e JOIN bytes USING (doc_id) GROUP BY e.doc_id)
+SELECT doc_id, n_bytes, n_removed, n_spans, sha256(unhex(k)) AS kept_sha256 FROM kept
+"""
