@@ -20,6 +20,8 @@ def edge_components(edges: DataFrame) -> tuple[DataFrame, str]:
     spark = edges.sparkSession
     now, path = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges", "lz4")
     seen = _state(now)
+    if not seen[0]:
+        return now, path
     for _ in range(MAX_ROUNDS):
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))

@@ -73,8 +73,9 @@ def categories(spark: SparkSession) -> DataFrame:
 def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw series: one row per day and kind of event, the mean as text; one kind per day is no number."""
     e = table(spark, sf_dir, "events").withColumn("as_of", F.to_date("ts"))
-    daily = e.groupBy("as_of", F.col("event_type").alias("name")).agg(F.avg(F.col("value").cast("decimal(18,6)")).cast("double").alias("v"))
-    value = F.when(F.pmod(F.dayofmonth("as_of") + F.length("name"), F.lit(9)) == 0, "n/a").otherwise(F.format_string("%.4f", "v"))
+    daily = e.groupBy("as_of", F.col("event_type").alias("name")).agg(F.expr("CAST(sum(CAST(value AS DECIMAL(18, 6))) * 1000000 AS BIGINT) DIV count(value)").alias("v"))
+    shown = F.concat(F.expr("CAST(v DIV 1000000 AS STRING)"), F.lit("."), F.lpad(F.expr("CAST(v % 1000000 AS STRING)"), 6, "0"))
+    value = F.when(F.pmod(F.dayofmonth("as_of") + F.length("name"), F.lit(9)) == 0, "n/a").otherwise(shown)
     return daily.select(F.lit(0).cast("long").alias("seq"), "as_of", "name", value.alias("value"))
 
 

@@ -152,8 +152,8 @@ _CTES = {
         CASE WHEN f.error IS NULL THEN {_kst('max(a.published)')} END AS latest, coalesce(f.error, CASE WHEN count(a.seq) = 0 THEN '항목 0건' END) AS error
       FROM feeds f LEFT JOIN articles a ON a.source_name = f.name GROUP BY f.name, f.blocked_reason, f.error""",
     "raw_series": """
-      SELECT as_of, name, CASE WHEN (day(as_of) + length(name)) % 9 = 0 THEN 'n/a' ELSE printf('%.4f', v) END AS value FROM (
-        SELECT CAST(ts AS DATE) AS as_of, event_type AS name, CAST(avg(CAST(value AS DECIMAL(18, 6))) AS DOUBLE) AS v FROM events GROUP BY ALL)""",
+      SELECT as_of, name, CASE WHEN (day(as_of) + length(name)) % 9 = 0 THEN 'n/a' ELSE (v // 1000000) || '.' || lpad(CAST(v % 1000000 AS VARCHAR), 6, '0') END AS value FROM (
+        SELECT CAST(ts AS DATE) AS as_of, event_type AS name, CAST(sum(CAST(value AS DECIMAL(18, 6))) * 1000000 AS BIGINT) // count(value) AS v FROM events GROUP BY ALL)""",
     "series": f"SELECT as_of, CASE name {' '.join(f'WHEN {_q(k)} THEN {_q(v)}' for k, v in bind.TEST_TENORS.items())} END AS tenor, TRY_CAST(value AS DOUBLE) AS percent FROM raw_series WHERE name IN ({', '.join(map(_q, bind.TEST_TENORS))}) AND TRY_CAST(value AS DOUBLE) IS NOT NULL",
     "days": "SELECT DISTINCT as_of FROM series ORDER BY as_of DESC LIMIT 2",
     "curve": """
