@@ -34,7 +34,7 @@ DIFFER = 56
 AGREE = 5
 #: Close descriptors in shared buckets that make two pictures candidates.
 SEEN = 2
-#: Members of a bucket up to which all its pairs are looked at.
+#: Members of a bucket up to which its pairs are counted one by one.
 SMALL = 16
 BLOCK = 512
 
@@ -244,9 +244,12 @@ def same_scene(pa_: np.ndarray, wa: np.ndarray, pb: np.ndarray, wb: np.ndarray)
     return bool(len(agree) and agree.max() >= AGREE)
 
 
-def candidate_pairs(members: DataFrame) -> DataFrame:
-    """Pairs (a < b) of pictures that share a key and a close descriptor: all of a small bucket, and
-    of a large one those with its smallest id and with the next id, so rows grow with members only."""
+def candidate_edges(members: DataFrame) -> DataFrame:
+    """(a, b, seen) from each bucket: its close pairs, each seen once, if the bucket is small; else a spanning
+    star of what its close pairs connect, seen ``SEEN`` times.
+
+    So pairs of ``SEEN`` shared keys always end in one candidate group, and rows grow with members only.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _grouped(batches, ["key", "cell"]):
@@ -254,22 +257,28 @@ def candidate_pairs(members: DataFrame) -> DataFrame:
             words = np.frombuffer(b"".join(t.column("word").to_pylist()), np.uint64).reshape(-1, 4)
             new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
             size = np.diff(np.append(new, len(key)))
-            xs, ys = [], []
+            xs, ys, seen = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], [np.zeros(0, np.int32)]
             for m in np.unique(size[(size > 1) & (size <= SMALL)]):
                 i, j = np.triu_indices(m, 1)
                 base = new[size == m][:, None]
-                xs.append((base + i).ravel())
-                ys.append((base + j).ravel())
+                x, y = (base + i).ravel(), (base + j).ravel()
+                ok = differing(words[x], words[y]) <= DIFFER
+                xs.append(x[ok])
+                ys.append(y[ok])
+                seen.append(np.ones(ok.sum(), np.int32))
             for a, m in zip(new[size > SMALL].tolist(), size[size > SMALL].tolist(), strict=True):
-                order = a + np.argsort(rep[a : a + m], kind="stable")
-                xs += [np.full(m - 1, order[0]), order[1:-1]]
-                ys += [order[1:], order[2:]]
-            x, y = (np.concatenate(v) if v else np.zeros(0, np.int64) for v in (xs, ys))
-            ok = (rep[x] != rep[y]) & (differing(words[x], words[y]) <= DIFFER)
+                near = [np.flatnonzero(differing(words[a : a + m], words[a + k]) <= DIFFER) for k in range(m)]
+                label = labels(m, np.repeat(np.arange(m), [len(v) for v in near]), np.concatenate(near))
+                own = np.flatnonzero(label != np.arange(m))
+                xs.append(a + label[own])
+                ys.append(a + own)
+                seen.append(np.full(len(own), SEEN, np.int32))
+            x, y, n = np.concatenate(xs), np.concatenate(ys), np.concatenate(seen)
+            ok = rep[x] != rep[y]
             a, b = np.minimum(rep[x[ok]], rep[y[ok]]), np.maximum(rep[x[ok]], rep[y[ok]])
-            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b)], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a), pa.array(b), pa.array(n[ok])], ["a", "b", "seen"])
 
-    return members.mapInArrow(run, "a long, b long")
+    return members.mapInArrow(run, "a long, b long, seen int")
 
 
 def verified_stars(members: DataFrame) -> DataFrame:
@@ -330,7 +339,7 @@ def copies(images: DataFrame, *, id_col: str = "image_id", image_col: str = "ima
     word = F.substring("words", F.col("corner") * 32 + 1, F.lit(32)).alias("word")
     buckets = keys.join(shared, "key").join(reps.select("rep", "words"), "rep").select("key", "rep", "members", word)
     cells = _cells(buckets, "key", "members", "rep", block).repartition("key", "cell").sortWithinPartitions("key", "cell", "rep")
-    pairs = candidate_pairs(cells).groupBy("a", "b").agg(F.count(F.lit(1)).alias("seen")).filter(F.col("seen") >= SEEN)
+    pairs = candidate_edges(cells).groupBy("a", "b").agg(F.sum("seen").alias("seen")).filter(F.col("seen") >= SEEN)
     groups, groups_at = components(pairs)
     groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("key"))
     sized = groups.join(groups.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "key").join(reps.select("rep", "points", "words"), "rep")
