@@ -22,7 +22,9 @@ _VISIBLE = np.zeros(256, bool)
 _VISIBLE[33:127] = True
 _VISIBLE[[b for b in range(0xC3, 0xF5) if b not in (0xE1, 0xE2, 0xE3)]] = True
 #: Distinct pieces that a worker keeps; beyond, it starts anew.
-KEEP = 1_500_000
+KEEP = 2_400_000
+#: New pieces that are kept apart until they are merged into the sorted store.
+RECENT = 200_000
 
 _encoders: dict[str, "PieceEncoder"] = {}
 
@@ -45,18 +47,26 @@ class PieceEncoder:
 
         self.library = Tokenizer.from_file(path)
         vocab = self.library.get_vocab(with_added_tokens=True)
+        if max(vocab.values()) > 65535:
+            raise ValueError("ids of more than 16 bits are not kept")
         self.begins = np.zeros(max(vocab.values()) + 1, bool)
         self.begins[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
         self._reset()
 
     def _reset(self) -> None:
-        self.keys, self.at, self.n = np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32)
-        self.ids, self.used = np.zeros(1 << 20, np.uint32), 0
+        # sorted keys with places and counts of ids: the store, and the pieces met since the last merge
+        self.tables = [(np.zeros(0, U64), np.zeros(0, np.int64), np.zeros(0, np.int32)) for _ in range(2)]
+        self.ids, self.used = np.zeros(1 << 20, np.uint16), 0
+
+    def _add(self, level: int, keys: np.ndarray, at: np.ndarray, n: np.ndarray) -> None:
+        own = self.tables[level]
+        where = np.searchsorted(own[0], keys)
+        self.tables[level] = tuple(np.insert(a, where, b) for a, b in zip(own, (keys, at, n), strict=True))
 
     def _store(self, ids: np.ndarray) -> int:
         need = self.used + len(ids)
         if need > len(self.ids):
-            self.ids = np.concatenate([self.ids, np.zeros(max(need, len(self.ids)), np.uint32)])
+            self.ids = np.concatenate([self.ids, np.zeros(max(need - len(self.ids), len(self.ids) // 2), self.ids.dtype)])
         self.ids[self.used : need] = ids
         at, self.used = self.used, need
         return at
@@ -97,24 +107,24 @@ class PieceEncoder:
         bounds = np.flatnonzero(cut)
         start, end = bounds[:-1], bounds[1:]
         keys, first, which = np.unique(hash_spans(data, start, end), return_index=True, return_inverse=True)
-        if len(self.keys) > KEEP:
+        if len(self.tables[0][0]) > KEEP:
             self._reset()
-        slot = np.searchsorted(self.keys, keys)
-        known = np.zeros(len(keys), bool)
-        inside = slot < len(self.keys)
-        known[inside] = self.keys[slot[inside]] == keys[inside]
-        new = np.flatnonzero(~known)
+        at, n = np.zeros(len(keys), np.int64), np.full(len(keys), -1, np.int32)
+        for have, places, counts in self.tables:
+            slot = np.minimum(np.searchsorted(have, keys), max(0, len(have) - 1))
+            hit = have[slot] == keys if len(have) else np.zeros(len(keys), bool)
+            at[hit], n[hit] = places[slot[hit]], counts[slot[hit]]
+        new = np.flatnonzero(n < 0)
         if len(new):
             raw = data.tobytes()
             ids, counts = self._encode([raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
-            at = self._store(ids) + np.cumsum(counts) - counts
-            where = slot[new]
-            self.keys = np.insert(self.keys, where, keys[new])
-            self.at = np.insert(self.at, where, at)
-            self.n = np.insert(self.n, where, counts.astype(np.int32))
-            slot = np.searchsorted(self.keys, keys)
-        lengths = self.n[slot][which].astype(np.int64)
-        ids = self.ids[ranges(self.at[slot][which], lengths)]
+            at[new], n[new] = self._store(ids) + np.cumsum(counts) - counts, counts
+            self._add(1, keys[new], at[new], n[new])
+            if len(self.tables[1][0]) > RECENT:
+                self._add(0, *self.tables[1])
+                self.tables[1] = tuple(a[:0] for a in self.tables[1])
+        lengths = n[which].astype(np.int64)
+        ids = self.ids[ranges(at[which], lengths)].astype(np.uint32)
         sums = np.concatenate([[0], np.cumsum(lengths)])
         per_row = np.diff(sums[np.searchsorted(bounds, ends)])
         return ids, per_row
