@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import terms
+from ..plans.storage import written
 
 FAR = "9999-12-31 00:00:00"
 #: Which article leads: the best tier, then the earliest (undated last), then arrival.
@@ -58,10 +59,13 @@ def prescore(tier: Column, outlets: Column, topics: Column, noise: Column, publi
     return tier_points(tier) + spread + subject + recency(published, now) + F.when(noise, terms.NOISE_POINTS).otherwise(0.0)
 
 
+def lead_order() -> Column:
+    return F.struct("source_tier", F.coalesce("published", F.lit(FAR).cast("timestamp")), "gid", "seq")
+
+
 def leads(articles: DataFrame) -> DataFrame:
     """The leading article of each component."""
-    order = F.struct("source_tier", F.coalesce("published", F.lit(FAR).cast("timestamp")), "gid", "seq")
-    return articles.groupBy("component").agg(F.min_by(F.struct(*LEAD_FIELDS), order).alias("lead"))
+    return articles.groupBy("component").agg(F.min_by(F.struct(*LEAD_FIELDS), lead_order()).alias("lead"))
 
 
 def outlets(articles: DataFrame) -> DataFrame:
@@ -71,11 +75,22 @@ def outlets(articles: DataFrame) -> DataFrame:
     return listed.select("component", F.col("s.source_name").alias("sources"))
 
 
+def members(articles: DataFrame) -> DataFrame:
+    """Lead, outlets, primary flag and count of each component, by outlet first and then over its few outlets."""
+    by_outlet = articles.groupBy("component", "source_name").agg(
+        F.min(F.struct("gid", "seq")).alias("at"), F.min_by(F.struct(*LEAD_FIELDS), lead_order()).alias("lead"), F.min(lead_order()).alias("place"),
+        F.bool_or(F.col("source_tier") == 1).alias("has_primary"), F.count(F.lit(1)).alias("n"),
+    )
+    found = by_outlet.groupBy("component").agg(
+        F.min_by("lead", "place").alias("lead"), F.array_sort(F.collect_list(F.struct("at", "source_name"))).alias("s"),
+        F.bool_or("has_primary").alias("has_primary"), F.sum("n").alias("n_articles"),
+    )
+    return found.select("component", "lead", F.col("s.source_name").alias("sources"), "has_primary", "n_articles")
+
+
 def events(articles: DataFrame, now: Column, *, topics: dict[str, tuple[str, ...]] | None = None, noise: tuple[str, ...] | None = None) -> DataFrame:
     """One row per component: lead, sources, primary flag, topics, rounded score."""
-    primary = articles.groupBy("component").agg(F.bool_or(F.col("source_tier") == 1).alias("has_primary"), F.count(F.lit(1)).alias("n_articles"))
-    joined = leads(articles).join(outlets(articles), "component").join(primary, "component")
-    found = joined.withColumn("topics", topic_hits(F.col("lead.title"), F.col("lead.summary"), topics)).withColumn("noise", is_noise(F.col("lead.title"), F.col("lead.summary"), noise))
+    found = members(articles).withColumn("topics", topic_hits(F.col("lead.title"), F.col("lead.summary"), topics)).withColumn("noise", is_noise(F.col("lead.title"), F.col("lead.summary"), noise))
     score = prescore(F.col("lead.source_tier"), F.size("sources"), F.col("topics"), F.col("noise"), F.col("lead.published"), now)
     return found.withColumn("score", F.round(score, 2))
 
@@ -83,13 +98,15 @@ def events(articles: DataFrame, now: Column, *, topics: dict[str, tuple[str, ...
 def numbered(found: DataFrame) -> DataFrame:
     """Event ids from 1 by falling score, ties by component.
 
-    Ranks within ranges of the score are added to the counts of the ranges before, so no task sorts all events.
+    Events are dealt by ranges of the order and written; ranks within a range are added to the counts of the
+    ranges before, so no task sorts all events.
     """
-    placed = found.withColumn("_range", F.floor(F.col("score") * 4).cast("long"))
+    n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    ranged, _ = written(found.repartitionByRange(n, F.desc("score"), "component").withColumn("_range", F.spark_partition_id()), "events")
     within = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("score"), "component"))
-    sizes = placed.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
-    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy(F.desc("_range"))) - F.col("_n")).alias("_before"))
-    return placed.withColumn("_within", within).join(F.broadcast(before), "_range").withColumn("event_id", (F.col("_within") + F.col("_before")).cast("long")).drop("_range", "_n", "_within", "_before")
+    sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
+    before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))  # one row a range
+    return ranged.withColumn("_within", within).join(F.broadcast(before), "_range").withColumn("event_id", (F.col("_within") + F.col("_before")).cast("long")).drop("_range", "_within", "_before")
 
 
 def top_per_category(found: DataFrame, n: int = 35) -> DataFrame:
