@@ -44,14 +44,13 @@ class WaveletMatrix:
         s = values.astype(np.uint16 if depth <= 16 else np.uint32)
         planes, zeros, ranks = [], [], []
         for level in range(depth):
-            bit = (s >> s.dtype.type(depth - 1 - level)).astype(np.uint8) & 1
-            plane = np.packbits(bit, bitorder="little")
+            mask = (s & s.dtype.type(1 << (depth - 1 - level))) != 0
+            plane = np.packbits(mask, bitorder="little")
             planes.append(plane)
             ranks.append(_directory(plane))
-            mask = bit.view(bool)
-            low = s[~mask]
+            low = np.compress(~mask, s)  # far faster than indexing by the mask
             zeros.append(len(low))
-            s = np.concatenate([low, s[mask]])
+            s = np.concatenate([low, np.compress(mask, s)])
         return cls(len(values), planes, zeros, ranks)
 
     def values(self) -> np.ndarray:
@@ -63,8 +62,8 @@ class WaveletMatrix:
             mask = np.unpackbits(self.planes[level], count=self.n, bitorder="little").view(bool)
             z = self.zeros[level]
             out = np.empty(self.n, kind)
-            out[~mask] = s[:z]
-            out[mask] = s[z:] | kind(1 << (depth - 1 - level))
+            out[np.flatnonzero(~mask)] = s[:z]
+            out[np.flatnonzero(mask)] = s[z:] | kind(1 << (depth - 1 - level))
             s = out
         return s
 
