@@ -35,3 +35,8 @@ def remove(spark: SparkSession, *paths: str) -> None:
     for path in paths:
         at = spark._jvm.org.apache.hadoop.fs.Path(path)
         at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def purge(spark: SparkSession) -> None:
+    """Remove all tables written here, results included: for a session's end, when nothing lazy is left to read."""
+    remove(spark, f"{shared_dir(spark)}/skeinflow")
