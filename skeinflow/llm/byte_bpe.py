@@ -23,6 +23,8 @@ _VISIBLE[33:127] = True
 _VISIBLE[[b for b in range(0xC3, 0xF5) if b not in (0xE1, 0xE2, 0xE3)]] = True
 #: Distinct pieces that a worker keeps; beyond, it starts anew.
 KEEP = 2_400_000
+#: Bytes of text that are encoded at once: repeats within it cost no lookup.
+BLOCK_BYTES = 2 << 20
 #: New pieces that are kept apart until they are merged into the sorted store.
 RECENT = 200_000
 

@@ -187,7 +187,7 @@ def tokenized_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         encode = byte_bpe.encoder(tokenizer).encode
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, byte_bpe.BLOCK_BYTES):
                 ids, counts = encode(texts.slice(a, b - a))
                 ids, counts = np.insert(ids, np.cumsum(counts), end_id).astype("<u4"), counts + 1
                 row, piece, start, length = pieces_of(counts, capacity)

@@ -215,7 +215,7 @@ def write_shards(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col
 
         for batch in batches:
             texts, doc_ids = batch.column("text"), batch.column("doc_id").to_numpy(zero_copy_only=False)
-            for a, b in blocks(texts):
+            for a, b in blocks(texts, byte_bpe.BLOCK_BYTES):
                 ids, counts = encode(texts.slice(a, b - a))
                 ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
                 ends, p, at = np.cumsum(counts), 0, 0
