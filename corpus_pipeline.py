@@ -42,8 +42,8 @@ def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of at most 1024 tokens in as few sequences as can be; empty texts have nothing to pack."""
-    return packing.pack_documents(docs.filter(F.length("text") > 0))
+    """Pieces of at most 1024 tokens in as few sequences as can be; a null or empty text is one piece, the end id."""
+    return packing.pack_documents(docs)
 
 
 STAGES = [

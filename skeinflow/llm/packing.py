@@ -186,7 +186,7 @@ def tokenized_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
         part, done = TaskContext.get().partitionId(), 0
         encode = byte_bpe.encoder(tokenizer).encode
         for batch in batches:
-            texts, doc_ids = batch.column("text"), batch.column("doc_id").to_numpy(zero_copy_only=False)
+            texts, doc_ids = batch.column("text"), batch.column("doc_id")
             for a, b in blocks(texts, byte_bpe.BLOCK_BYTES):
                 ids, counts = encode(texts.slice(a, b - a))
                 ids, counts = np.insert(ids, np.cumsum(counts), end_id).astype("<u4"), counts + 1
@@ -195,8 +195,9 @@ def tokenized_pieces(docs: DataFrame, *, id_col: str = "doc_id", text_col: str =
                 raw = memoryview(ids.tobytes())
                 crc = [zlib.crc32(raw[4 * x : 4 * y]) for x, y in zip(at.tolist(), (at + length).tolist(), strict=True)]
                 m = len(row)
-                cols = [np.full(m, part, np.int32), done + np.arange(m), doc_ids[a:b][row], piece.astype(np.int32), start, length]
+                cols = [np.full(m, part, np.int32), done + np.arange(m), piece.astype(np.int32), start, length]
                 cols = [pa.array(c) for c in cols] + [pa.array(crc, pa.int64())]
+                cols.insert(2, doc_ids.take(pa.array(a + row)))  # as Arrow: a null id stays null, a large one exact
                 if with_ids:
                     cols.append(pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(length)]).astype(np.int32)), pa.array(ids.view("<i4"))))
                 done += m
