@@ -30,10 +30,22 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates: five-word shingles, similarity 0.8 or more.
 
-    Rows that repeat an id stay as one row.
+    A document is an (id, text); of a group the one with the smallest id stays, one with an id before one with
+    none.  Rows that repeat both id and text stay as one row; unlike texts of one id are documents of their own.
+    Rows with a null id take part; those of them without words are nobody's duplicate, so each stays.
     """
-    kept = near_dup.near_duplicates(docs, near_dup.Rule(words=5, percent=80)).filter("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return docs.join(kept.hint("merge"), docs["doc_id"] == kept["_kept"], "left_semi").dropDuplicates(["doc_id"]).select(*docs.columns)
+    rows = repeats.keyed_rows(docs, "doc_id", "text")
+    row, key, text = (rows[c] for c in rows.columns)
+    doc_id = row.getField("doc_id")
+    found = near_dup.near_duplicates(rows, near_dup.Rule(words=5, percent=80), id_col=rows.columns[1], text_col=rows.columns[2])
+    found = found.groupBy(F.col("doc_id").alias("_found")).agg(F.first("component_id").alias("_group"), F.first("n_shingles").alias("_n"))
+    ids = rows.groupBy(key.alias("_found")).agg(F.min(doc_id).alias("_id"))
+    first = found.join(ids, "_found").groupBy("_group").agg(F.min(F.struct(F.col("_id").isNull(), "_id", "_found", "_n")).alias("_first"))
+    kept = first.select(F.col("_first._found").alias("_found"), F.col("_first._n").alias("_n"))
+    joined = rows.join(kept.hint("merge"), key == kept["_found"])
+    alone = joined.filter(doc_id.isNull() & (F.col("_n") == 0))
+    once = joined.filter(doc_id.isNotNull() | (F.col("_n") > 0)).dropDuplicates(["_found"])
+    return once.unionByName(alone).select(*[row.getField(c).alias(c) for c in docs.columns])
 
 
 def repeats_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

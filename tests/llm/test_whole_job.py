@@ -8,3 +8,19 @@ def test_packing_stage_keeps_null_and_empty_texts(spark):
     got = sorted(((r["doc_id"], r["length"]) for r in corpus_pipeline.packing_stage(spark, docs, "").collect()), key=str)
     assert {i for i, _ in got} == {1, 2, 3, None} and len(got) == 5
     assert (2, 1) in got and (3, 1) in got and (None, 1) in got
+
+
+def test_near_dup_stage_keeps_null_ids_and_unlike_texts_of_one_id(spark):
+    a, b, c, d, e = (" ".join(f"{x}{k}" for k in range(40)) for x in "abcde")
+    rows = [
+        (7, a, 1), (7, b, 2), (7, b, 2),  # one id with two texts, one of them twice
+        (9, a + " tail", 3), (3, b + " tail", 4),  # near copies of both
+        (None, c, 5), (None, c + " tail", 6),  # near copies without ids
+        (None, d, 7), (8, d + " tail", 8),  # a near copy with an id goes first
+        (None, None, 9), (None, None, 10), (None, "", 11), (5, None, 12), (5, "", 13), (None, e, 14),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, n_chars long")
+    got = corpus_pipeline.near_dup_stage(spark, docs, "")
+    assert got.columns == docs.columns
+    got = sorted(r["n_chars"] for r in got.collect())
+    assert [x for x in got if x not in (5, 6)] == [1, 4, 8, 9, 10, 11, 12, 13, 14] and len({5, 6} & set(got)) == 1 and len(got) == 10
