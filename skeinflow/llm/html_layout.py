@@ -20,18 +20,20 @@ from pyspark.sql import types as T
 
 from .common import table
 
-_TAG = re.compile(r"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*)(?P<attrs>(?:[^>"']|"[^"]*"|'[^']*')*)>)""", re.S)
-_ATTR = re.compile(r"""([^\s=/"'<>]+)(?:\s*=\s*("[^"]*"|'[^']*'|[^\s"'=<>`]+))?""")
+#: An attribute: a quote delimits only right after the '=' of a name and if it is closed; any other quote is an ordinary character.
+_NAME, _VALUE = r"""[^\s/>][^\s/>=]*+""", r"""\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+)"""
+_TAG = re.compile(rf"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[\s/]++|{_NAME}(?>{_VALUE})?+)*+)>)""", re.S)
+_ATTR = re.compile(rf"""({_NAME})(?>{_VALUE})?+""")
 _HIDING = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
 _WATCHED = re.compile(r"(?i)hidden|style|type|value|start|colspan|open")
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style textarea title xmp iframe noembed noframes".split())
 NEVER = frozenset("head script style template noscript iframe noembed noframes object embed audio video canvas svg math title meta link datalist map col colgroup rp".split())
-SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre figure form fieldset hr".split())
+SPACED = frozenset("p h1 h2 h3 h4 h5 h6 ul ol dl table blockquote pre xmp figure form fieldset hr".split())
 BLOCK = SPACED | frozenset("html body div section article header footer nav main aside address li dt dd tr caption thead tbody tfoot td th figcaption details summary legend option optgroup center menu dir".split())
 #: Start tags that end an open paragraph.
-_ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li dt dd".split())
+_ENDS_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr main menu nav ol p pre section table ul li dt dd xmp".split())
 #: For a start tag: open elements that it ends, and those that stop the search for them.
 _IMPLIED = {
     "li": ({"li"}, {"ul", "ol", "menu", "dir"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}),
@@ -113,8 +115,9 @@ def parse(page: str) -> Node:
             continue
         if name in RAW:
             end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
-            if name == "textarea":
-                node.children.append(page[at : end.start() if end else n])
+            if name in ("textarea", "xmp"):
+                body = page[at : end.start() if end else n]
+                node.children.append(html.escape(body, quote=False) if name == "xmp" else body)  # xmp shows references as written
             at = end.end() if end else n
             continue
         open_nodes.append(node)
@@ -237,7 +240,7 @@ def render(root: Node) -> str:
                     canvas.parts.append(line)
                 canvas.gap()
                 continue
-            if tag == "pre":
+            if tag in ("pre", "xmp"):
                 preformatted -= 1
             elif tag in ("ul", "ol", "menu", "dir"):
                 lists.pop()
@@ -279,7 +282,7 @@ def render(root: Node) -> str:
                 canvas.gap()
             elif tag in BLOCK:
                 canvas.feed()
-            if tag == "pre":
+            if tag in ("pre", "xmp"):
                 preformatted += 1
             elif tag in ("ul", "ol", "menu", "dir"):
                 lists.append([tag, _whole((node.attrs or {}).get("start"), 1)])

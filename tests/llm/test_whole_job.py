@@ -1,6 +1,7 @@
 """Rows and texts that once left a result although they belong to the whole job."""
 
 import corpus_pipeline
+from skeinflow.llm import html_layout
 
 
 def test_packing_stage_keeps_null_and_empty_texts(spark):
@@ -24,3 +25,20 @@ def test_near_dup_stage_keeps_null_ids_and_unlike_texts_of_one_id(spark):
     assert got.columns == docs.columns
     got = sorted(r["n_chars"] for r in got.collect())
     assert [x for x in got if x not in (5, 6)] == [1, 4, 8, 9, 10, 11, 12, 13, 14] and len({5, 6} & set(got)) == 1 and len(got) == 10
+
+
+def test_stray_quotes_hide_no_text():
+    for page, want in [
+        ("<a title=don't>A</a> it's <b>B</b>", "A it's B"),
+        ('<p title="5" wide">one</p><p title="x">two</p>', "one\n\ntwo"),
+        ("<p it's>one</p> that's", "one\n\nthat's"),
+        ("<p =\"x>one</p><p class='a>b'>two</p>", "one\n\ntwo"),
+        ("<p title = 'a > b' hidden>no</p><p title=\"it's\">yes</p>", "yes"),
+        ("<a href=x=\"y>one</a> <i>two\"</i>", "one two\""),
+        ("<i a='x'b=\"y>\"hidden>no</i>yes", "yes"),
+    ]:
+        assert html_layout.visible_text(page) == want
+
+
+def test_xmp_is_shown_as_written():
+    assert html_layout.visible_text("<p>a<xmp>if  <b> &amp;\n  c</xmp>d") == "a\n\nif  <b> &amp;\n  c\n\nd"
