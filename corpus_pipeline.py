@@ -16,15 +16,26 @@ from skeinflow.llm.labelled import sample
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose quality score reaches the threshold; the model learns from labelled documents at hand."""
+    """Documents whose quality score reaches the threshold; the model learns from labelled documents at hand.
+
+    Without a usable label there is nothing to judge by: all documents stay.
+    """
     model = quality.fit_from(sample(docs, table(spark, sf_dir, "labels"), "quality", quality.FIT_ROWS))
+    if not model.rows:
+        return docs
     return quality.scored(docs, model, score_col="_score").filter(F.col("_score") >= quality.THRESHOLD).drop("_score")
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not called toxic; the model learns from the labels of all documents."""
+    """Documents that are not called toxic; the model learns from the labels of all documents.
+
+    Without a usable label there is nothing to judge by: all documents stay.
+    """
     labelled = sample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), "toxic", toxicity.FIT_ROWS)
-    return toxicity.scored(docs, toxicity.fit_from(labelled), score_col="_score").filter(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+    model = toxicity.fit_from(labelled)
+    if not model.rows:
+        return docs
+    return toxicity.scored(docs, model, score_col="_score").filter(F.col("_score") < toxicity.THRESHOLD).drop("_score")
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

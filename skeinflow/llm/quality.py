@@ -104,6 +104,8 @@ class Additive:
     pairs: list[tuple[int, int]] = field(default_factory=list)
     pair_tables: list[np.ndarray] = field(default_factory=list)
     base: float = 0.0
+    #: Labelled rows that it learnt from.
+    rows: int = 0
 
     def score(self, x: np.ndarray) -> np.ndarray:
         total = np.full(len(x), self.base)
@@ -171,7 +173,7 @@ def fit(x: np.ndarray, y: np.ndarray, *, rounds: int = 120, pair_rounds: int = 3
     k = x.shape[1]
     edges, coarse = ([_edges(x[:, j], b) for j in range(k)] for b in (BINS, PAIR_BINS))
     share = np.clip(y.mean() if len(y) else 0.5, 0.01, 0.99)
-    model = Additive(edges, [np.zeros(len(e) + 1) for e in edges], coarse, base=float(np.log(share / (1 - share))))
+    model = Additive(edges, [np.zeros(len(e) + 1) for e in edges], coarse, base=float(np.log(share / (1 - share))), rows=len(y))
     if not len(y):
         return model
     bins = [np.searchsorted(e, x[:, j], "right") for j, e in enumerate(edges)]

@@ -75,6 +75,8 @@ class Weights:
     weight: np.ndarray
     bias: float
     bits: int = BITS
+    #: Labelled rows that they were learnt from.
+    rows: int = 0
 
     def score(self, texts: pa.Array) -> np.ndarray:
         """Chance of label 1 of each row; a text without words has the bias alone."""
@@ -118,7 +120,7 @@ def fit(rows: list[np.ndarray], y: np.ndarray, *, bits: int = BITS, alpha: float
             bz += g - (np.sqrt(bn + g * g) - np.sqrt(bn)) / alpha * bias
             bn += g * g
     touched = np.flatnonzero(np.abs(z) > l1)
-    return Weights(touched.astype(np.int32), weights(touched).astype(np.float32), float(-bz / ((beta + np.sqrt(bn)) / alpha)), bits)
+    return Weights(touched.astype(np.int32), weights(touched).astype(np.float32), float(-bz / ((beta + np.sqrt(bn)) / alpha)), bits, len(rows))
 
 
 def fit_from(labelled: DataFrame, limit: int = FIT_ROWS) -> Weights:

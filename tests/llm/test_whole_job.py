@@ -42,3 +42,12 @@ def test_stray_quotes_hide_no_text():
 
 def test_xmp_is_shown_as_written():
     assert html_layout.visible_text("<p>a<xmp>if  <b> &amp;\n  c</xmp>d") == "a\n\nif  <b> &amp;\n  c\n\nd"
+
+
+def test_stages_without_usable_labels_keep_all_documents(spark, tmp_path):
+    docs = spark.createDataFrame([(1, "some words"), (2, None), (2, "more")], "doc_id long, text string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    for labels in ([], [(1, None, None)], [(9, 1, 0)]):
+        spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
+        for stage in (corpus_pipeline.quality_stage, corpus_pipeline.toxicity_stage):
+            assert stage(spark, docs, str(tmp_path)).count() == 3
