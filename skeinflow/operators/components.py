@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from ..plans.storage import remove, written
@@ -18,31 +18,39 @@ def edge_components(edges: DataFrame) -> tuple[DataFrame, str]:
     are harmless.  The second value is the result's folder, for the caller to remove.
     """
     spark = edges.sparkSession
-    now, path = written(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).distinct(), "edges", "lz4")
-    seen = _state(now)
+    now, path, seen = _edges(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).filter("u < v"))
     if not seen[0]:
         return now, path
     for _ in range(MAX_ROUNDS):
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
-        low = both.groupBy("v").agg(F.min("u").alias("m")).select("v", F.least("v", "m").alias("m"))
-        large = both.filter("u >= v").join(low, "v").select(F.col("u").alias("v"), F.col("m").alias("u")).distinct()
-        small = large.join(large.groupBy("v").agg(F.min("u").alias("m")), "v")
-        small = small.select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(small.select("v", F.col("m").alias("u")))
-        step, new = written(small.distinct(), "edges", "lz4")
-        remove(spark, path)
+        # the least neighbours are written first: a hub has all its edges under one key, and Spark splits such a
+        # join only between plain exchanges, not after an aggregate of its key
+        low, low_at = written(both.groupBy("v").agg(F.least("v", F.min("u")).alias("m")), "least", "lz4")
+        large = both.filter("u > v").join(low.hint("merge"), "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
+        large, large_at, _ = _edges(large)
+        below, below_at = written(large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")), "least", "lz4")
+        # a node of one smaller neighbour keeps its edge; only the others are joined
+        few = below.filter("n = 1").select("v", F.col("m").alias("u"))
+        many = large.join(below.filter("n > 1").select("v", "m").hint("merge"), "v")
+        small = many.filter("u > m").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(many.select("v", F.col("m").alias("u")))
+        step, new, state = _edges(few.unionByName(small))
+        remove(spark, path, low_at, large_at, below_at)
         now, path = step, new
-        state = _state(now)
         if state == seen:
             return now, path
         seen = state
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
+def _edges(edges: DataFrame) -> tuple[DataFrame, str, tuple]:
+    """Distinct edges as a table, its folder, and a count and checksum of them taken while writing."""
+    seen = Observation()
+    made, path = written(edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("v", "u") % F.lit(1 << 40)).alias("sum")), "edges", "lz4")
+    got = seen.get
+    return made, path, (got["n"], got["sum"])
+
+
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
     """(node, component) for every row of ``nodes``; component is the smallest node reachable over edges (a, b)."""
-    found, _ = edge_components(edges)
+    found, _ = edge_components(edges)  # lives until the application ends: the result reads it lazily
     return nodes.join(found.select(F.col("v").alias(node), F.col("u").alias("component")), node, "left").withColumn("component", F.coalesce("component", node))
-
-
-def _state(edges: DataFrame) -> tuple:
-    return tuple(edges.agg(F.count(F.lit(1)), F.sum(F.xxhash64("v", "u") % F.lit(1 << 40))).first())

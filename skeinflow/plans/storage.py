@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -20,8 +21,25 @@ def shared_dir(spark: SparkSession) -> str:
     return at
 
 
+_cleaned: set[str] = set()
+
+
+def _own_dir(spark: SparkSession) -> str:
+    """This application's folder; what is left in it goes when the application's Python ends."""
+    at = f"{shared_dir(spark)}/skeinflow/{spark.sparkContext.applicationId}"
+    if at not in _cleaned:
+        _cleaned.add(at)
+        atexit.register(_forget, spark)
+    return at
+
+
+def _forget(spark: SparkSession) -> None:
+    if spark.sparkContext._jsc is not None and spark.sparkContext._jsc.sc().isStopped() is False:
+        purge(spark)
+
+
 def new_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/skeinflow/{name}-{uuid.uuid4().hex}"
+    return f"{_own_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, name: str, codec: str = "zstd") -> tuple[DataFrame, str]:
@@ -38,5 +56,5 @@ def remove(spark: SparkSession, *paths: str) -> None:
 
 
 def purge(spark: SparkSession) -> None:
-    """Remove all tables written here, results included: for a session's end, when nothing lazy is left to read."""
-    remove(spark, f"{shared_dir(spark)}/skeinflow")
+    """Remove all tables this application wrote, results included: when nothing lazy is left to read."""
+    remove(spark, _own_dir(spark))
