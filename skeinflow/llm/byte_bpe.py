@@ -3,7 +3,9 @@
 The library's pre-tokenizer never joins a space to what stands before it, and never breaks the bond
 between a single space and a visible character after it.  So a text may be cut before every space
 that a visible character follows, and the ids of the text are the ids of the pieces in order.
-Distinct pieces (by a 64-bit hash) are encoded by the library and kept for the worker's life.
+Distinct pieces (by a 64-bit hash) are encoded by the library and kept for the worker's life.  What was looked
+up is then spelled out and compared with the text, byte by byte: a row in which two pieces met in one hash
+goes to the library as a whole.
 """
 
 from __future__ import annotations
@@ -43,16 +45,35 @@ def encoder(path: str) -> "PieceEncoder":
     return _encoders[path]
 
 
+def byte_alphabet() -> list[str]:
+    """The printable character that stands for each byte: itself where printable, else 256 and on."""
+    out, more = [], 256
+    for b in range(256):
+        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
+            out.append(chr(b))
+        else:
+            out.append(chr(more))
+            more += 1
+    return out
+
+
 class PieceEncoder:
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.library = Tokenizer.from_file(path)
         vocab = self.library.get_vocab(with_added_tokens=True)
+        added = {t.content for t in self.library.get_added_tokens_decoder().values()}
         if max(vocab.values()) > 65535:
             raise ValueError("ids of more than 16 bits are not kept")
         self.begins = np.zeros(max(vocab.values()) + 1, bool)
         self.begins[[i for t, i in vocab.items() if t.startswith("Ġ")]] = True
+        byte_of = {c: b for b, c in enumerate(byte_alphabet())}
+        spelled = [b""] * len(self.begins)
+        for t, i in vocab.items():
+            spelled[i] = t.encode() if t in added else bytes(byte_of[c] for c in t)
+        self.n_bytes = np.array([len(x) for x in spelled], np.int64)
+        self.bytes_at, self.bytes = np.cumsum(self.n_bytes) - self.n_bytes, np.frombuffer(b"".join(spelled), np.uint8)
         self._reset()
 
     def _reset(self) -> None:
@@ -129,4 +150,21 @@ class PieceEncoder:
         ids = self.ids[ranges(at[which], lengths)].astype(np.uint32)
         sums = np.concatenate([[0], np.cumsum(lengths)])
         per_row = np.diff(sums[np.searchsorted(bounds, ends)])
-        return ids, per_row
+        return self._checked(texts, data, ends, ids, per_row, end, sums[1:])
+
+    def _checked(self, texts: pa.Array, data: np.ndarray, ends: np.ndarray, ids: np.ndarray, per_row: np.ndarray, piece_end: np.ndarray, id_end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids and counts, with the library's own in rows with a piece whose ids do not spell its bytes."""
+        size = self.n_bytes[ids]
+        reach = np.cumsum(size)
+        if int(reach[-1]) == len(data) and np.array_equal(reach[id_end - 1], piece_end) and np.array_equal(self.bytes[ranges(self.bytes_at[ids], size)], data):
+            return ids, per_row
+        own, a, p = [], 0, 0
+        for k, n in enumerate(per_row.tolist()):
+            got = ids[a : a + n]
+            q = int(np.searchsorted(id_end, a + n, "right"))
+            fits = np.array_equal(np.cumsum(size[a : a + n])[id_end[p:q] - 1 - a] + ends[k], piece_end[p:q])
+            if not fits or not np.array_equal(self.bytes[ranges(self.bytes_at[got], self.n_bytes[got])], data[ends[k] : ends[k + 1]]):
+                got = np.array(self.library.encode(texts[k].as_py() or "", add_special_tokens=False).ids, np.uint32)
+            own.append(got)
+            a, p = a + n, q
+        return np.concatenate(own), np.array([len(x) for x in own], np.int64)

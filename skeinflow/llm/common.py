@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import hashlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -12,14 +13,12 @@ from pyspark.sql import functions as F
 from ..plans.storage import new_path, remove, shared_dir, written
 
 U64 = np.uint64
-#: Odd multiplier of the polynomial hash and its inverse modulo 2**64.
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INV = pow(_BASE, -1, 1 << 64)
+#: Bytes of a span from which the library's digest is faster than eight bytes at a time.
+LONG = 512
+_KEEP = np.array([(1 << 8 * k) - 1 for k in range(9)], U64)
 #: Bytes of text that are worked on at once in a Python worker.
 BLOCK_BYTES = 1 << 20
 
-_powers: dict[str, np.ndarray] = {}
-
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -57,26 +56,6 @@ def flat(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return data, ends
 
 
-def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
-    """_BASE**k and _INV**k modulo 2**64 for k up to n, kept for the worker's life up to 8 M entries."""
-    have = _powers.get("up")
-    if have is None or len(have) <= n:
-        size = max(n + 1, 1 << 16)
-        for key, base in (("up", _BASE), ("down", _INV)):
-            out = np.empty(size, U64)
-            out[0] = 1
-            k = 1
-            while k < size:
-                m = min(k, size - k)
-                out[k : k + m] = out[:m] * U64(pow(base, k, 1 << 64))
-                k += m
-            _powers[key] = out
-    up, down = _powers["up"], _powers["down"]
-    if len(up) > 1 << 23:
-        _powers.clear()
-    return up, down
-
-
 def mix(h: np.ndarray) -> np.ndarray:
     """A 64-bit finaliser."""
     h = h ^ (h >> U64(33))
@@ -86,30 +65,74 @@ def mix(h: np.ndarray) -> np.ndarray:
     return h ^ (h >> U64(33))
 
 
-def prefix(data: np.ndarray) -> np.ndarray:
-    """n + 1 prefix sums of byte * _BASE**k; spans() hashes any span from them."""
-    up, _ = powers(len(data) + 1)
-    out = np.zeros(len(data) + 1, U64)
-    np.cumsum((data.astype(U64) + U64(1)) * up[: len(data)], out=out[1:])
-    return out
-
-
-def spans(sums: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    """64-bit hashes of the byte spans [start, end)."""
-    _, down = powers(len(sums))
-    return mix((sums[end] - sums[start]) * down[start] + (end - start).astype(U64) * U64(0xD6E8FEB86659FD93))
-
-
-def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, limit: int = 4 << 20) -> np.ndarray:
-    """Hashes of spans in ascending, disjoint order; a very long text is taken ``limit`` bytes at a time."""
-    out = np.empty(len(start), U64)
-    i = 0
-    while i < len(start):
-        j = max(i + 1, int(np.searchsorted(end, start[i] + limit, "right")))
-        a, b = int(start[i]), int(end[j - 1])
-        out[i:j] = spans(prefix(data[a:b]), start[i:j] - a, end[i:j] - a)
-        i = j
-    return out
+def lanes(data: np.ndarray) -> np.ndarray:
+    """The eight bytes from each place on as one little-endian number; zero bytes follow the data."""
+    padded = np.zeros(len(data) + 8, np.uint8)
+    padded[: len(data)] = data
+    return np.ndarray((len(data) + 1,), "<u8", padded, 0, (1,))
+
+
+def hash_spans(data: np.ndarray, start: np.ndarray, end: np.ndarray, seed: int = 0) -> np.ndarray:
+    """64-bit hashes of the byte spans [start, end), which may overlap.
+
+    Eight bytes at a time go through a mix that is not linear, so no two texts meet by their structure.  Long
+    spans take a keyed digest of the library.  Another ``seed`` gives an independent hash.
+    """
+    n = (end - start).astype(np.int64)
+    h = mix(n.astype(U64) * U64(0x9E3779B97F4A7C15) + U64((seed + 1) * 0xD6E8FEB86659FD93 % (1 << 64)))
+    if not len(n):
+        return h
+    words, done = lanes(data), 0
+    live = np.flatnonzero((n > 0) & (n <= LONG))
+    while len(live):
+        h[live] = mix(h[live] ^ (words[start[live] + done] & _KEEP[np.minimum(n[live] - done, 8)]))
+        done += 8
+        live = live[n[live] > done]
+    key = seed.to_bytes(8, "little")
+    for k in np.flatnonzero(n > LONG).tolist():
+        h[k] = int.from_bytes(hashlib.blake2b(data[int(start[k]) : int(end[k])], digest_size=8, key=key).digest(), "little")
+    return h
+
+
+def same_spans(data: np.ndarray, start: np.ndarray, length: np.ndarray, other: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Whether the bytes of each span equal those of ``other`` from ``at`` on, compared one by one.
+
+    ``other`` ends in eight spare bytes or more.
+    """
+    x, y = lanes(data), np.ndarray((len(other) - 7,), "<u8", other, 0, (1,))
+    ok = np.ones(len(start), bool)
+    live, done = np.flatnonzero(length > 0), 0
+    while len(live):
+        if done >= LONG:
+            for k in live.tolist():
+                a, b, n = int(start[k]), int(at[k]), int(length[k])
+                ok[k] = np.array_equal(data[a : a + n], other[b : b + n])
+            break
+        keep = _KEEP[np.minimum(length[live] - done, 8)]
+        equal = (x[start[live] + done] & keep) == (y[at[live] + done] & keep)
+        ok[live[~equal]] = False
+        done += 8
+        live = live[equal & (length[live] > done)]
+    return ok
+
+
+def rolling(data: np.ndarray, width: int) -> np.ndarray:
+    """A 64-bit value of each ``width``-byte window: equal for equal windows, and mixed.
+
+    Windows are composed from their halves, so each doubling is one pass.  Meant for choosing places: unlike
+    windows may meet, and what is chosen must be compared in another way.
+    """
+    n = len(data) - width + 1
+    if n <= 0:
+        return np.zeros(0, U64)
+    size, level = (8, lanes(data)[: len(data) - 7].copy()) if width >= 8 else (1, data.astype(U64))
+    while size * 2 <= width:
+        step = size
+        level = level[: len(level) - step] * U64(0x9FB21C651E98DF25) + (level[step:] ^ (level[step:] >> U64(29)))
+        level ^= level >> U64(32)
+        size *= 2
+    rest = width - size
+    return mix(level[:n] * U64(0xD6E8FEB86659FD93) + level[rest : rest + n])
 
 
 def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
@@ -132,4 +155,4 @@ def doc_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-__all__ = ["blocks", "byte_lengths", "doc_text", "flat", "hash_spans", "local_tasks", "mix", "new_path", "powers", "prefix", "ranges", "remove", "shared_dir", "spans", "table", "written"]
+__all__ = ["blocks", "byte_lengths", "doc_text", "flat", "hash_spans", "lanes", "local_tasks", "mix", "new_path", "ranges", "remove", "rolling", "same_spans", "shared_dir", "table", "written"]

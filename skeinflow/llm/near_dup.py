@@ -5,14 +5,18 @@
    copies never meets in one task); the rest works on one representative a class.
 2. Representatives that share a band are candidates.  Signatures are compared in batches; after each
    batch the posterior of the similarity given the matches so far prunes pairs whose chance to
-   reach the threshold is below ``miss``.  Survivors only serve to gather representatives into candidate
-   groups: a task emits a spanning star of its survivors, never the pairs.
-3. Each representative's text goes once to its candidate group, where survivors are verified on
-   the full sets.  Pairs that are already connected are not verified again, and verified links
-   leave the task as a spanning star.
-4. Connected components of the verified links give the class of each document.
-
-Groups and buckets above ``BLOCK`` members are dealt as pairs of blocks, each a task of bounded
+   reach the threshold is below ``miss``.
+3. Leaders first: within a block of each bucket, every member names one survivor, the smallest of those that are
+   all but sure to be linked, else the likeliest.  These pairs, one a member, are verified on the full sets,
+   so large groups of copies grow together at the cost of one text a member.  A second round does the
+   same with one member per class so far, if a bucket still has more classes than a block holds.
+4. Buckets whose members are all connected by then are done.  In the others every two members of
+   different classes are compared; survivors gather them into groups, a task emitting a spanning
+   star of its survivors, never the pairs.  Each group's texts meet in a task, where survivors that are
+   not connected yet are verified on the full sets.
+5. Connected components of the verified links give the class of each document.
+
+In step 4 groups and buckets above ``BLOCK`` members are dealt as pairs of blocks, each a task of bounded
 size: every pair of members still meets.
 """
 
@@ -38,6 +42,8 @@ BATCH = 24
 BAND_MISS = 1e-6
 #: Members of a bucket or group that one task holds.
 BLOCK = 1024
+#: Posterior at which a pair is taken for all but sure, so that its smaller side may lead.
+SURE = 0.99
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -65,18 +71,22 @@ class Rule:
 
         With a uniform prior, P(J >= t | m of n) = P(Binomial(n + 1, t) <= m).
         """
-        t, out = self.percent / 100, []
-        for n in range(BATCH, HASHES + 1, BATCH):
-            total, m = 0.0, -1
-            while total < self.miss:
-                m += 1
-                total += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
-            out.append(m)
-        return np.array(out)
+        return np.array([self._matches(n, self.miss) for n in range(BATCH, HASHES + 1, BATCH)])
 
+    def sure_matches(self) -> int:
+        """Matches of all hashes from which P(J >= t) is ``SURE`` or more."""
+        return self._matches(HASHES, SURE)
 
-def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
-    """Sorted distinct 64-bit shingle hashes of all rows, and the n + 1 offsets.
+    def _matches(self, n: int, chance: float) -> int:
+        t, total, m = self.percent / 100, 0.0, -1
+        while total < chance and m <= n:
+            m += 1
+            total += math.comb(n + 1, m) * t**m * (1 - t) ** (n + 1 - m)
+        return m
+
+
+def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct shingles of all rows as two independent 64-bit hashes, sorted by the first, and the n + 1 offsets.
 
     A-Z are lower-cased; words are runs of other than ASCII white space.  A row of fewer words is one
     shingle, a row without words has none.
@@ -88,7 +98,7 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
     step = np.diff(inside.view(np.int8))
     start, end = np.flatnonzero(step == 1), np.flatnonzero(step == -1)
     if not len(start):
-        return np.zeros(0, U64), np.zeros(n + 1, np.int64)
+        return np.zeros(0, U64), np.zeros(0, U64), np.zeros(n + 1, np.int64)
     # words never cross rows
     cut = np.searchsorted(ends, start, "right")
     far = end > ends[np.minimum(cut, n)]
@@ -102,24 +112,28 @@ def shingle_sets(texts: pa.Array, words: int) -> tuple[np.ndarray, np.ndarray]:
         cut = np.searchsorted(ends, start, "right")
         far = end > ends[np.minimum(cut, n)]
     row = cut - 1
-    word = hash_spans(data, start, end)
     per_row = np.bincount(row, minlength=n)
     first = np.cumsum(per_row) - per_row
     length = np.minimum(per_row, words)
     count = np.where(per_row > 0, per_row - length + 1, 0)
     rows = np.repeat(np.arange(n), count)
     at = np.repeat(first, count) + np.arange(len(rows)) - np.repeat(np.cumsum(count) - count, count)
-    h = np.zeros(len(rows), U64)
     width = length[rows]
-    for k in range(words):
-        on = width > k
-        h[on] = mix(h[on] * U64(0x9FB21C651E98DF25) + word[at[on] + k] + U64(k + 1))
+    both = []
+    for seed in (0, 1):
+        word = hash_spans(data, start, end, seed)
+        h = np.zeros(len(rows), U64)
+        for k in range(words):
+            on = width > k
+            h[on] = mix(h[on] * U64(0x9FB21C651E98DF25) + word[at[on] + k] + U64(k + 1))
+        both.append(h)
+    h, second = both
     order = np.lexsort((h, rows))
-    h, rows = h[order], rows[order]
+    h, second, rows = h[order], second[order], rows[order]
     new = np.ones(len(h), bool)
     new[1:] = (h[1:] != h[:-1]) | (rows[1:] != rows[:-1])
-    h, rows = h[new], rows[new]
-    return h, np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int64)
+    h, second, rows = h[new], second[new], rows[new]
+    return h, second, np.concatenate([[0], np.cumsum(np.bincount(rows, minlength=n))]).astype(np.int64)
 
 
 def signatures(h: np.ndarray, off: np.ndarray) -> np.ndarray:
@@ -136,11 +150,11 @@ def signatures(h: np.ndarray, off: np.ndarray) -> np.ndarray:
     return out
 
 
-def digests(h: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two 64-bit sums over each row's set: equal for equal sets."""
+def digests(h: np.ndarray, second: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two 64-bit sums over each row's set, one of each hash: equal for equal sets."""
     out = []
-    for seed in (0xA0761D6478BD642F, 0xE7037ED1A0B428DB):
-        sums = np.concatenate([np.zeros(1, U64), np.cumsum(mix(h ^ U64(seed)))])
+    for own, seed in ((h, 0xA0761D6478BD642F), (second, 0xE7037ED1A0B428DB)):
+        sums = np.concatenate([np.zeros(1, U64), np.cumsum(mix(own ^ U64(seed)))])
         out.append((sums[off[1:]] - sums[off[:-1]]).view(np.int64))
     return out[0], out[1]
 
@@ -191,20 +205,20 @@ def member_pairs(side: np.ndarray, size: np.ndarray, percent: int, chunk: int =
 
 
 def features(docs: DataFrame, rule: Rule) -> DataFrame:
-    """doc_id, n_shingles, digest (d1, d2) and signature of each row."""
+    """doc_id, key, n_shingles, digest (d1, d2) and signature of each row (doc_id, key, text)."""
     words = rule.words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = batch.column("text")
             for a, b in blocks(texts):
-                h, off = shingle_sets(texts.slice(a, b - a), words)
-                d1, d2 = digests(h, off)
+                h, second, off = shingle_sets(texts.slice(a, b - a), words)
+                d1, d2 = digests(h, second, off)
                 sig = signatures(h, off)
-                cols = [batch.column("doc_id").slice(a, b - a), pa.array(np.diff(off)), pa.array(d1), pa.array(d2), pa.array([r.tobytes() for r in sig], pa.binary())]
-                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "n_shingles", "d1", "d2", "sig"])
+                cols = [batch.column("doc_id").slice(a, b - a), batch.column("key").slice(a, b - a), pa.array(np.diff(off)), pa.array(d1), pa.array(d2), pa.array([r.tobytes() for r in sig], pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "key", "n_shingles", "d1", "d2", "sig"])
 
-    return docs.mapInArrow(run, "doc_id long, n_shingles long, d1 long, d2 long, sig binary")
+    return docs.mapInArrow(run, "doc_id long, key long, n_shingles long, d1 long, d2 long, sig binary")
 
 
 def _grouped(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
@@ -243,36 +257,63 @@ def _cells(members: DataFrame, group: str, count: str, id_col: str, block: int)
     return out.withColumn("cell", low * F.col("_n") + high).withColumn("side", side.cast("int")).drop("_n", "_own", "_with", count)
 
 
+def _close(t: pa.Table, rule: Rule, least: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    """Places of the surviving pairs in whole cells, and their matches; pairs of one label are passed over."""
+    percent = rule.percent
+    label, size, side = (t.column(c).to_numpy() for c in ("label", "n_shingles", "side"))
+    sig = _matrix(t.column("sig"))
+    key, cell = t.column("key").to_numpy(), t.column("cell").to_numpy()
+    new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
+    ends = np.append(new[1:], len(key))
+    lengths = ends - new
+    for m in np.unique(lengths[lengths <= 48]):  # small groups of one size at once
+        if m > 1:
+            i, j = np.triu_indices(m, 1)
+            base = new[lengths == m]
+            for a in range(0, len(base), max(1, (1 << 18) // len(i))):
+                own = base[a : a + max(1, (1 << 18) // len(i))]
+                x, y = (own[:, None] + i).ravel(), (own[:, None] + j).ravel()
+                ok = (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])) & ((side[x] == 0) | (side[x] != side[y])) & (label[x] != label[y])
+                yield survivors(sig, x[ok], y[ok], least)
+    for a, e in zip(new[lengths > 48], ends[lengths > 48], strict=True):
+        for x, y in member_pairs(side[a:e], size[a:e], percent):
+            x, y = x + a, y + a
+            ok = label[x] != label[y]
+            yield survivors(sig, x[ok], y[ok], least)
+
+
+def leaders(members: DataFrame, rule: Rule) -> DataFrame:
+    """(a, far, worth, b): for each member with a survivor in its cell, the one it is to be verified with.
+
+    That is the smallest of those with ``sure_matches`` (far 0), else the one of most matches (far 1, worth their
+    negative).
+    """
+    least, sure = rule.least_matches(), rule.sure_matches()
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in _grouped(batches, ["key", "cell"]):
+            rep = t.column("rep").to_numpy()
+            best = [np.zeros(0, np.int64)] * 4
+            for x, y, got in _close(t, rule, least):
+                a, b, got = np.concatenate([rep[x], rep[y]]), np.concatenate([rep[y], rep[x]]), np.concatenate([got, got])
+                far = (got < sure).astype(np.int64)
+                best = [np.concatenate(v) for v in zip(best, (a, far, -got.astype(np.int64) * far, b), strict=True)]
+                order = np.lexsort(best[::-1])
+                first = order[np.unique(best[0][order], return_index=True)[1]]
+                best = [v[first] for v in best]
+            yield pa.RecordBatch.from_arrays([pa.array(v) for v in best], ["a", "far", "worth", "b"])
+
+    return members.mapInArrow(run, "a long, far long, worth long, b long")
+
+
 def candidate_stars(members: DataFrame, rule: Rule) -> DataFrame:
-    """Spanning stars (a, b) of the pairs that survive in each bucket."""
-    least, percent = rule.least_matches(), rule.percent
+    """Spanning stars (a, b) of the pairs of different labels that survive in each bucket."""
+    least = rule.least_matches()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for t in _grouped(batches, ["key", "cell"]):
-            rep, size, side = (t.column(c).to_numpy() for c in ("rep", "n_shingles", "side"))
-            sig = _matrix(t.column("sig"))
-            key, cell = t.column("key").to_numpy(), t.column("cell").to_numpy()
-            new = np.flatnonzero(np.concatenate([[True], (key[1:] != key[:-1]) | (cell[1:] != cell[:-1])]))
-            ends = np.append(new[1:], len(key))
-            xs, ys = [], []
-            lengths = ends - new
-            for m in np.unique(lengths[lengths <= 48]):  # small groups of one size at once
-                if m > 1:
-                    i, j = np.triu_indices(m, 1)
-                    base = new[lengths == m]
-                    for a in range(0, len(base), max(1, (1 << 18) // len(i))):
-                        own = base[a : a + max(1, (1 << 18) // len(i))]
-                        x, y = (own[:, None] + i).ravel(), (own[:, None] + j).ravel()
-                        ok = (100 * np.minimum(size[x], size[y]) >= percent * np.maximum(size[x], size[y])) & ((side[x] == 0) | (side[x] != side[y]))
-                        x, y, _ = survivors(sig, x[ok], y[ok], least)
-                        xs.append(x)
-                        ys.append(y)
-            for a, e in zip(new[lengths > 48], ends[lengths > 48], strict=True):
-                for x, y in member_pairs(side[a:e], size[a:e], percent):
-                    x, y, _ = survivors(sig, x + a, y + a, least)
-                    xs.append(x)
-                    ys.append(y)
-            yield _stars(rep, xs, ys)
+            pairs = [(x, y) for x, y, _ in _close(t, rule, least)]
+            yield _stars(t.column("rep").to_numpy(), [x for x, _ in pairs], [y for _, y in pairs])
 
     return members.mapInArrow(run, "a long, b long")
 
@@ -291,7 +332,7 @@ def _matrix(column: pa.ChunkedArray) -> np.ndarray:
 
 
 def verified_stars(members: DataFrame, rule: Rule) -> DataFrame:
-    """Spanning stars (a, b) of the exactly verified links within each group's cells."""
+    """Spanning stars (a, b) of the exactly verified links between different labels within each group's cells."""
     least, percent, words = rule.least_matches(), rule.percent, rule.words
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -301,14 +342,15 @@ def verified_stars(members: DataFrame, rule: Rule) -> DataFrame:
             for a, e in zip(new, np.append(new[1:], len(key)), strict=True):
                 g = t.slice(a, e - a)
                 rep = g.column("rep").to_numpy()
-                sets: list[np.ndarray] = []
+                sets: list[tuple[np.ndarray, np.ndarray]] = []
                 texts = g.column("text").combine_chunks()
                 for p, q in blocks(texts):
-                    h, off = shingle_sets(texts.slice(p, q - p), words)
-                    sets += np.split(h, off[1:-1])
-                size = np.array([len(s) for s in sets])
+                    h, second, off = shingle_sets(texts.slice(p, q - p), words)
+                    sets += zip(np.split(h, off[1:-1]), np.split(second, off[1:-1]), strict=True)
+                size = np.array([len(s) for s, _ in sets])
                 sig, side = _matrix(g.column("sig")), g.column("side").to_numpy()
-                label = np.arange(len(rep))
+                _, first, which = np.unique(g.column("label").to_numpy(), return_index=True, return_inverse=True)
+                label = first[which]
                 xs, ys = [], []
                 for x, y in member_pairs(side, size, percent):
                     x, y, got = survivors(sig, x, y, least)
@@ -323,8 +365,7 @@ def verified_stars(members: DataFrame, rule: Rule) -> DataFrame:
                         if hit.any():
                             xs.append(now[0][hit])
                             ys.append(now[1][hit])
-                            joined = labels(len(rep), np.concatenate([label, xs[-1]]), np.concatenate([np.arange(len(rep)), ys[-1]]))
-                            label = joined
+                            label = labels(len(rep), np.concatenate([label, xs[-1]]), np.concatenate([np.arange(len(rep)), ys[-1]]))
                         else:
                             step = min(4096, step * 2)
                 yield _stars(rep, xs, ys)
@@ -332,48 +373,123 @@ def verified_stars(members: DataFrame, rule: Rule) -> DataFrame:
     return members.mapInArrow(run, "a long, b long")
 
 
-def _linked(a: np.ndarray, b: np.ndarray, percent: int) -> bool:
-    both = len(np.intersect1d(a, b, assume_unique=True))
-    return both > 0 and 100 * both >= percent * (len(a) + len(b) - both)
+def _linked(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], percent: int) -> bool:
+    _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
+    both = int((a[1][i] == b[1][j]).sum())
+    return both > 0 and 100 * both >= percent * (len(a[0]) + len(b[0]) - both)
+
+
+def led_cells(pairs: DataFrame, block: int) -> tuple[DataFrame, str]:
+    """Cells (key, cell) of one leader (side 1) and about ``block`` of the others that it meets (side 2).
+
+    ``pairs`` holds (key, rep): a leader and another.  Rows grow with the pairs only.  The second value is a
+    folder to remove after use.
+    """
+    pairs, path = written(pairs.distinct(), "pairs")
+    hot = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
+    cells = F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int")
+    others = pairs.join(hot, "key", "left").select("key", F.pmod(F.xxhash64("rep"), cells).cast("int").alias("cell"), "rep", F.lit(2).alias("side"))
+    return others.unionByName(others.select("key", "cell", F.col("key").alias("rep"), F.lit(1).alias("side")).distinct()), path
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: doc_id, n_shingles, component_id and kept.
 
+    Every row is a document, whether or not it repeats another's id: rows of one id but unlike texts are linked
+    each by its own text.  component_id is the smallest id among the linked rows.  Rows with a null id
+    take part; component_id is null where no linked row has an id, and such rows are kept.
     Documents without words (null, empty, white space) have no shingles and are linked with nothing.
-    Rows of one id and text count as one document for links, and each keeps its row.  Other columns
-    are not read.  Links between different texts are lost with probability BAND_MISS + 5 * miss at the threshold,
-    less above it; every reported link was verified on the full sets (64-bit shingle hashes).
+    Columns beside id and text are not read.  Links between different texts are lost with probability
+    BAND_MISS + 5 * miss at the threshold, less above it; every reported link was verified on the full sets
+    (of 128-bit shingle hashes).
     """
     spark: SparkSession = docs.sparkSession
-    own = doc_text(docs, id_col, text_col).filter(F.col("doc_id").isNotNull())
+    own = doc_text(docs, id_col, text_col).withColumn("key", F.xxhash64("doc_id", "text"))
     feats, feats_at = written(features(own, rule), "features")
-    classes = feats.filter("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("rep"), F.first("sig").alias("sig"))
-    reps, reps_at = written(classes, "classes")
-    rows = rule.rows
+    classes = feats.filter("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"), F.first("sig").alias("sig"))
+    # the table is written once, so its numbers name the classes from here on
+    reps, reps_at = written(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
+    rows, paths = rule.rows, [feats_at, reps_at]
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             keys = band_keys(_matrix(batch.column("sig")), rows)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column("rep").to_numpy(), keys.shape[1]))], ["key", "rep"])
 
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df, path = written(df, name)
+        paths.append(path)
+        return df
+
+    def connected(edges: DataFrame) -> DataFrame:
+        found, path = components(edges)
+        paths.append(path)
+        return found
+
     keys = reps.select("rep", "sig").mapInArrow(keyed, "key long, rep long")
     # written first: Spark splits a skewed join only between plain exchanges, not after an aggregate of its key
-    shared, shared_at = written(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "bands")
-    buckets = keys.join(shared.hint("merge"), "key").join(reps.select("rep", "n_shingles", "sig").hint("merge"), "rep")
-    cells = _cells(buckets, "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
-    groups, groups_at = components(candidate_stars(cells, rule))
-    groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("key"))
+    shared = keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "bands")
+    buckets = keep(keys.join(shared.hint("merge"), "key"), "buckets")
+    signed = reps.select("rep", "n_shingles", "sig")
+
+    def verify(tasks: DataFrame, label: DataFrame) -> DataFrame:
+        full = tasks.join(texts.hint("merge"), "rep").join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        return verified_stars(full.repartition("key", "cell").sortWithinPartitions("key", "cell"), rule)
+
+    def led(members: DataFrame) -> DataFrame:
+        """The pairs that members of each block of a bucket name."""
+        block = F.pmod(F.xxhash64("rep"), F.ceil(F.col("members") / rule.block)).cast("int")
+        cells = members.select("key", "rep", block.alias("cell"), F.lit(0).alias("side"), "label").join(signed.hint("merge"), "rep")
+        return leaders(cells.repartition("key", "cell").sortWithinPartitions("key", "cell"), rule)
+
+    def best(named: DataFrame) -> DataFrame:
+        """Each member's best choice over all its buckets, as (key, rep): the smaller of the two leads."""
+        one = named.groupBy("a").agg(F.min(F.struct("far", "worth", "b")).alias("to")).select("a", F.col("to.b").alias("b"))
+        return one.select(F.least("a", "b").alias("key"), F.greatest("a", "b").alias("rep"))
+
+    # leaders of single documents
+    named = keep(led(buckets.withColumn("label", F.col("rep"))), "leaders")
+    # in a bucket of several blocks a member may meet its first survivor only later on
+    candidates = named.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(buckets.filter(F.col("members") > rule.block).select("rep")).distinct()
+    wanted = reps.select("rep", "key", "sig").join(candidates, "rep")
+    texts = own.select("key", "text").join(wanted.hint("merge"), "key").dropDuplicates(["rep"]).select("rep", "text", "sig")
+    texts = keep(texts, "texts")
+    none = spark.createDataFrame([], "rep long, label long")
+    tasks, path = led_cells(best(named), rule.block)
+    paths.append(path)
+    links = connected(verify(tasks, none))
+    label = links.select(F.col("node").alias("rep"), F.col("component").alias("label"))
+
+    def still_open(label: DataFrame) -> DataFrame:
+        """Members of the buckets that hold more than one class so far."""
+        own = buckets.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
+        several = keep(own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key"), "several")
+        return keep(own.join(several.hint("merge"), "key"), "open")
+
+    left = still_open(label)
+    # a round with one member per class and bucket, where that is more than a task holds
+    classes_of = left.groupBy("key", "label").agg(F.min("rep").alias("rep"))
+    many = classes_of.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > rule.block)
+    if many.limit(1).count():
+        again = keep(led(classes_of.join(keep(many, "many").hint("merge"), "key")), "leaders")
+        tasks, path = led_cells(best(again), rule.block)
+        paths.append(path)
+        links = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verify(tasks, label)))
+        label = links.select(F.col("node").alias("rep"), F.col("component").alias("label"))
+        left = still_open(label)
+    # every pair of different classes that share a bucket
+    cells = _cells(left.join(signed.hint("merge"), "rep"), "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
+    groups = connected(candidate_stars(cells, rule)).select(F.col("node").alias("rep"), F.col("component").alias("key"))
     sized = groups.join(groups.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "key")
-    texts = own.join(sized.select(F.col("rep").alias("doc_id"), "key", "members").hint("merge"), "doc_id").dropDuplicates(["doc_id"])
-    full = texts.withColumnRenamed("doc_id", "rep").join(reps.select("rep", "sig").hint("merge"), "rep")
-    cells = _cells(full, "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
-    linked, linked_at = components(verified_stars(cells, rule))
-    by_set = reps.join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").select("d1", "d2", "n_shingles", F.coalesce("component", "rep").alias("component_id"))
+    more = verify(_cells(sized, "key", "members", "rep", rule.block), label)
+    linked = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    grouped = reps.select("rep", "d1", "d2", "n_shingles", "first_id").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    by_group = keep(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")), "groups")
+    by_set = grouped.join(by_group.hint("merge"), "component").select("d1", "d2", "n_shingles", "component_id", F.lit(True).alias("found"))
     out = feats.select("doc_id", "n_shingles", "d1", "d2").join(by_set, ["d1", "d2", "n_shingles"], "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
-    result, _ = written(out.withColumn("kept", F.col("doc_id") == F.col("component_id")), "near_duplicates")
-    remove(spark, feats_at, reps_at, shared_at, groups_at, linked_at)
+    out = out.select("doc_id", "n_shingles", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
+    result, _ = written(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near_duplicates")
+    remove(spark, *paths)
     return result
 
 

@@ -5,14 +5,18 @@ equal anchors at equal offsets, so windows need only meet within their anchor.
 of one anchor occurrence form a cell, whose context (the bytes they cover) is what is compared.
 
 1. One pass over whole texts lists the cells: anchor, digest of the context, row key, place, windows.
-2. Anchors that occur once are dropped.  Equal contexts are counted by partial aggregation: two or more
-   mean that every window of the cell repeats, whatever the size of the group.
+2. Anchors that occur once are dropped.  Counting precedes the index: equal contexts are counted by partial
+   aggregation, and two or more mean that every window of the cell repeats, whatever the size of the group.
 3. For anchors with several different contexts, one copy of each context is cut from its text and
-   goes to its anchor's task (very frequent anchors: pairs of blocks).  There a run-length
-   Burrows-Wheeler transform of the contexts is built, suffix positions and common-prefix lengths are
-   kept at the ends of its runs only, and matching statistics of every position are streamed from those
-   samples: within a run, the match of a position is the match of the one before less one byte.
-   Windows whose longest match elsewhere is ``length`` bytes or more are marked.
+   goes to its anchor's task.  There a run-length Burrows-Wheeler transform of the contexts is built, suffix
+   positions and common-prefix lengths are kept at the ends of its runs only, and matching statistics of
+   every position are streamed from those samples: within a run, the match of a position is the match
+   of the one before less one byte.  Windows whose longest match elsewhere is ``length`` bytes or
+   more are marked.
+   An anchor with more than ``BLOCK`` different contexts is split first: windows in the farther and in the nearer
+   half of the places that the anchor may take each share a longer core around it, which replaces the
+   anchor.  Equal windows have equal cores, so they still meet; contexts go to two halves at most, and at
+   the last level the core is the window itself, so no group stays too large.
 4. Marks return to all occurrences of their context and are merged into spans per row.
 """
 
@@ -27,8 +31,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, blocks, flat, prefix, remove, spans, table, written
-from .near_dup import _cells, _grouped
+from .common import U64, blocks, flat, hash_spans, lanes, remove, rolling, table, written
+from .near_dup import _grouped
 
 LENGTH = 200
 GRAM = 48
@@ -40,16 +44,16 @@ SEGMENT = 4 << 20
 INDEX_BYTES = 1 << 20
 
 _ROW, _KEY, _TEXT = "_row", "_row_key", "_row_text"
-CELL = "anchor long, ctx long, key long, at int, windows int"
+CELL = "anchor long, ctx long, key long, at int, windows int, off int"
+CUT = "anchor long, ctx long, root_anchor long, root_ctx long, shift int, off int, windows int, different long, context binary"
 
 
 def windows(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple[np.ndarray, ...]:
-    """Cells of all rows: row, place in ``data``, windows, anchor and context hashes."""
+    """Cells of all rows: row, place in ``data``, windows, anchor and context hashes, place of the anchor in the cell."""
     if len(data) < length:
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
-    sums = prefix(data)
-    i = np.arange(len(data) - gram + 1)
-    grams = spans(sums, i, i + gram)
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
+    grams = rolling(data, gram)
+    i = np.arange(len(grams))
     low = U64((1 << 28) - 1)
     best = (grams & ~low) | i.astype(U64)
     width, size = length - gram + 1, 1
@@ -64,10 +68,11 @@ def windows(data: np.ndarray, ends: np.ndarray, length: int, gram: int) -> tuple
     ok = s + length <= ends[row + 1]
     s, place, row = s[ok], place[ok], row[ok]
     if not len(s):
-        return tuple(np.zeros(0, np.int64) for _ in range(5))
+        return tuple(np.zeros(0, np.int64) for _ in range(6))
     first = np.flatnonzero(np.concatenate([[True], place[1:] != place[:-1]]))
     last = np.append(first[1:], len(s)) - 1
-    return row[first], s[first], last - first + 1, grams[place[first]].view(np.int64), spans(sums, s[first], s[last] + length).view(np.int64)
+    ctx = hash_spans(data, s[first], s[last] + length).view(np.int64)
+    return row[first], s[first], last - first + 1, grams[place[first]].view(np.int64), ctx, place[first] - s[first]
 
 
 def suffix_array(text: np.ndarray, stops: np.ndarray) -> np.ndarray:
@@ -113,7 +118,7 @@ class RunIndex:
     ``strings`` lie one after another in ``text``, each followed by one byte at its place in ``stops``.
     """
 
-    def __init__(self, text: np.ndarray, stops: np.ndarray, cap: int):
+    def __init__(self, text: np.ndarray, stops: np.ndarray):
         order = suffix_array(text, stops)
         before = text[order - 1].astype(np.int32)
         before[np.isin(order - 1, stops) | (order == 0)] = -1
@@ -121,18 +126,18 @@ class RunIndex:
         change |= before[1:] < 0  # ends of strings are all different
         heads = np.concatenate([[True], change])
         tails = np.concatenate([change, [True]])
-        self.n = len(text)
+        self.n, self.n_stops = len(text), len(stops)
         self.symbols = before[heads]
         self.lengths = np.diff(np.append(np.flatnonzero(heads), self.n))
         # samples at run ends: position, and match with the neighbour outside the run
         j = np.flatnonzero(heads)[1:]
-        match = common(text, stops, order[j - 1], order[j], cap)
+        match = common(text, stops, order[j - 1], order[j])
         self.head_at, self.head_match = np.append(order[0], order[j]), np.append(0, match)
         self.tail_at, self.tail_match = np.append(order[j - 1], order[-1]), np.append(match, 0)
         assert tails.sum() == len(self.tail_at)
 
     def statistics(self) -> np.ndarray:
-        """Longest match (capped) of each position with any other, streamed from the samples."""
+        """Longest match of each position with any other, streamed from the samples."""
         best = np.zeros(self.n, np.int64)
         for at, match in ((self.head_at, self.head_match), (self.tail_at, self.tail_match)):
             # within a run, the neighbour of the position before, moved by one, is the neighbour: one byte less
@@ -144,20 +149,43 @@ class RunIndex:
         return best
 
 
-def common(text: np.ndarray, stops: np.ndarray, x: np.ndarray, y: np.ndarray, cap: int) -> np.ndarray:
-    """Lengths of the common prefixes of the suffixes at x and y, by bisection on span hashes.
+    def count(self, pattern: bytes) -> int:
+        """Occurrences of ``pattern``, by backward search over the runs."""
+        low, high = 0, self.n
+        ends = np.cumsum(self.lengths)
+        for c in reversed(pattern):
+            own = np.flatnonzero(self.symbols == c)
+            upto = np.concatenate([[0], np.cumsum(self.lengths[own])])
 
-    Not cut at ``cap``: streaming takes off one byte a place, so samples must hold full lengths.
+            def rank(i: int) -> int:
+                k = int(np.searchsorted(ends, i, "right"))  # the run of place i
+                within = i - (int(ends[k - 1]) if k else 0)
+                return int(upto[np.searchsorted(own, k)]) + (within if k < len(ends) and self.symbols[k] == c else 0)
+
+            first = self.n_stops + int(self.lengths[(self.symbols >= 0) & (self.symbols < c)].sum())
+            low, high = first + rank(low), first + rank(high)
+            if low >= high:
+                return 0
+        return high - low
+
+
+def common(text: np.ndarray, stops: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Lengths of the common prefixes of the suffixes at x and y, compared eight bytes at a time.
+
+    Not cut at the asked length: streaming takes off one byte a place, so samples must hold full lengths.
     """
-    sums = prefix(text)
+    words = lanes(text)
     top = np.minimum(stops[np.searchsorted(stops, x)] - x, stops[np.searchsorted(stops, y)] - y)
-    low = np.zeros(len(x), np.int64)
-    high = top.copy()
-    while (low < high).any():
-        mid = (low + high + 1) // 2
-        same = spans(sums, x, x + mid) == spans(sums, y, y + mid)
-        low, high = np.where(same, mid, low), np.where(same, high, mid - 1)
-    return low
+    out = top.copy()
+    live, done = np.flatnonzero(top > 0), 0
+    while len(live):
+        apart = words[x[live] + done] ^ words[y[live] + done]
+        other = np.flatnonzero(apart)
+        low = apart[other] & (~apart[other] + U64(1))  # its lowest bit tells the first byte that differs
+        out[live[other]] = np.minimum(out[live[other]], done + np.bitwise_count(low - U64(1)).astype(np.int64) // 8)
+        done += 8
+        live = live[(apart == 0) & (top[live] > done)]
+    return out
 
 
 def row_cells(rows: DataFrame, length: int, gram: int) -> DataFrame:
@@ -168,17 +196,17 @@ def row_cells(rows: DataFrame, length: int, gram: int) -> DataFrame:
                 data, ends = flat(texts.slice(a, b - a))
                 for p in range(0, max(1, len(data)), SEGMENT):  # only a very long text has several
                     q = min(len(data), p + SEGMENT + length - 1)
-                    row, at, n, anchor, ctx = windows(data[p:q], np.clip(ends, p, q) - p, length, gram)
+                    row, at, n, anchor, ctx, off = windows(data[p:q], np.clip(ends, p, q) - p, length, gram)
                     if not len(row):
                         continue
-                    cols = [anchor, ctx, keys[a:b][row], (at + p - ends[row]).astype(np.int32), n.astype(np.int32)]
-                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["anchor", "ctx", "key", "at", "windows"])
+                    cols = [anchor, ctx, keys[a:b][row], (at + p - ends[row]).astype(np.int32), n.astype(np.int32), off.astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], ["anchor", "ctx", "key", "at", "windows", "off"])
 
     return rows.select(_KEY, _TEXT).mapInArrow(run, CELL)
 
 
 def cut_contexts(rows: DataFrame, length: int) -> DataFrame:
-    """Rows with a list ``cut`` of (anchor, ctx, at, windows, different): one row per context with its bytes."""
+    """Rows with a list ``cut`` of (anchor, ctx, at, windows, off, different): one row per context with its bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -187,30 +215,60 @@ def cut_contexts(rows: DataFrame, length: int) -> DataFrame:
                 c = cut.values
                 at, n = (c.field(k).to_numpy() for k in ("at", "windows"))
                 got = [bytes(raw[a : a + w + length - 1]) for a, w in zip(at.tolist(), n.tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays([c.field("anchor"), c.field("ctx"), c.field("different"), c.field("windows"), pa.array(got, pa.binary())], ["anchor", "ctx", "different", "windows", "context"])
+                anchor, ctx = c.field("anchor"), c.field("ctx")
+                cols = [anchor, ctx, anchor, ctx, pa.array(np.zeros(len(at), np.int32)), c.field("off"), c.field("windows"), c.field("different"), pa.array(got, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, [f.split()[0] for f in CUT.split(", ")])
+
+    return rows.select(_TEXT, "cut").mapInArrow(run, CUT)
+
+
+def halves(contexts: DataFrame, length: int, spread: list[tuple[int, int]]) -> DataFrame:
+    """The contexts' windows, dealt by how many bytes after their start the anchor lies.
+
+    Each (low, high) of ``spread`` takes those with low .. high - 1; all of them share a core, whose hash becomes the
+    anchor.  A row of ``contexts`` gives one row for each interval in which it has windows.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, ends = flat(batch.column("context"))
+            raw = data.tobytes()
+            offs, n, shift = (batch.column(c).to_numpy().astype(np.int64) for c in ("off", "windows", "shift"))
+            for low, high in spread:
+                first, last = np.maximum(0, offs - (high - 1)), np.minimum(n - 1, offs - low)
+                some = np.flatnonzero(first <= last)
+                if not len(some):
+                    continue
+                first, last, off = first[some], last[some], offs[some]
+                start, end = ends[some] + first, ends[some] + last + length
+                at = ends[some] + off - low  # the core: from the start of the last window to the end of the first
+                anchor = hash_spans(data, at, at + length - (high - 1 - low), low + 1).view(np.int64)
+                ctx = hash_spans(data, start, end, high + 1).view(np.int64)
+                got = [raw[a:b] for a, b in zip(start.tolist(), end.tolist(), strict=True)]
+                keep = pa.array(some)
+                cols = [pa.array(anchor), pa.array(ctx), batch.column("root_anchor").take(keep), batch.column("root_ctx").take(keep), *(pa.array(v.astype(np.int32)) for v in (shift[some] + first, off - first, last - first + 1)), pa.array(np.zeros(len(some), np.int64)), pa.array(got, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, [f.split()[0] for f in CUT.split(", ")])
 
-    return rows.select(_TEXT, "cut").mapInArrow(run, "anchor long, ctx long, different long, windows int, context binary")
+    return contexts.mapInArrow(run, CUT)
 
 
 def marked_contexts(contexts: DataFrame, length: int) -> DataFrame:
     """(anchor, ctx, mask): windows of each context that occur elsewhere among its anchor's contexts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for t in _grouped(batches, ["anchor", "cell"]):
-            anchor, cell = t.column("anchor").to_numpy(), t.column("cell").to_numpy()
-            new = np.flatnonzero(np.concatenate([[True], (anchor[1:] != anchor[:-1]) | (cell[1:] != cell[:-1])]))
+        for t in _grouped(batches, ["anchor"]):
+            anchor = t.column("anchor").to_numpy()
+            new = np.flatnonzero(np.concatenate([[True], anchor[1:] != anchor[:-1]]))
             _, ends = flat(t.column("context").combine_chunks())
             a = 0
             starts = np.append(new, len(anchor))
             while a < len(new):  # whole groups up to the bytes of one index
                 b = max(a + 1, int(np.searchsorted(ends[starts], ends[starts[a]] + INDEX_BYTES, "right")) - 1)
-                again = np.flatnonzero(anchor[new[a + 1 : b]] == anchor[new[a : b - 1]])
-                if len(again):  # another cell of an anchor holds the same contexts once more
-                    b = a + 1 + int(again[0])
                 yield _mark(t.slice(starts[a], starts[b] - starts[a]), length)
                 a = b
 
-    return contexts.mapInArrow(run, "anchor long, ctx long, mask binary")
+    dealt = contexts.select("anchor", "ctx", "windows", "context").repartition("anchor").sortWithinPartitions("anchor", "ctx")
+    return dealt.mapInArrow(run, "anchor long, ctx long, mask binary")
 
 
 def _mark(t: pa.Table, length: int) -> pa.RecordBatch:
@@ -220,7 +278,7 @@ def _mark(t: pa.Table, length: int) -> pa.RecordBatch:
     text = np.insert(data, ends[1:], 0)
     start = ends[:-1] + np.arange(count)
     stops = ends[1:] + np.arange(count)
-    hit = RunIndex(text, stops, length).statistics() >= length
+    hit = RunIndex(text, stops).statistics() >= length
     masks = [np.packbits(hit[a : a + w], bitorder="little").tobytes() for a, w in zip(start.tolist(), n.tolist(), strict=True)]
     some = np.array([any(m) for m in masks], bool)
     keep = pa.array(some)
@@ -245,19 +303,45 @@ def repeated_windows(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
     often, often_at = written(cells.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
     shared, shared_at = written(cells.join(often.hint("merge"), "anchor"), "shared")
     remove(spark, cells_at, often_at)
-    each = shared.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one"), F.first("windows").alias("windows"))
+    each = shared.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one"), F.first("windows").alias("windows"), F.first("off").alias("off"))
     each, each_at = written(each, "contexts")
-    several, several_at = written(each.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).filter("different > 1"), "several")
-    cuts = each.join(several.hint("merge"), "anchor").select(F.col("one.key").alias(_KEY), F.struct("anchor", "ctx", F.col("one.at").alias("at"), "windows", "different").alias("c"))
+    paths = [shared_at, each_at]
+
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        df, path = written(df, name)
+        paths.append(path)
+        return df
+
+    def several(contexts: DataFrame) -> DataFrame:
+        return keep(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).filter("different > 1"), "several")
+
+    counted = several(each)
+    cuts = each.join(counted.hint("merge"), "anchor").select(F.col("one.key").alias(_KEY), F.struct("anchor", "ctx", F.col("one.at").alias("at"), "windows", "off", "different").alias("c"))
     cuts = cuts.groupBy(_KEY).agg(F.collect_list("c").alias("cut"))
     one_each = rows.select(_KEY, _TEXT).join(cuts.hint("merge"), _KEY)
-    contexts = cut_contexts(one_each, length).dropDuplicates(["anchor", "ctx"])
-    dealt = _cells(contexts, "anchor", "different", "ctx", block).repartition("anchor", "cell").sortWithinPartitions("anchor", "cell")
-    marked, marked_at = written(marked_contexts(dealt, length), "marked")
-    remove(spark, several_at)
-    masks = each.filter("n > 1").select("anchor", "ctx", F.lit(None).cast("binary").alias("mask")).unionByName(marked.join(each.filter("n = 1").select("anchor", "ctx"), ["anchor", "ctx"]))
-    found = shared.join(masks.hint("merge"), ["anchor", "ctx"]).groupBy("key").agg(F.collect_list(F.struct("at", "windows", "mask")).alias("marks"))
-    return found.withColumnRenamed("key", _KEY), [shared_at, each_at, marked_at]
+    contexts = keep(cut_contexts(one_each, length).dropDuplicates(["anchor", "ctx"]), "cut")
+    marked = keep(marked_contexts(contexts.filter(F.col("different") <= block), length), "marked")
+    mask = ["anchor", "ctx", "shift", "windows", "mask"]
+    none = F.lit(None).cast("binary").alias("mask")
+    once = each.filter("n = 1").select("anchor", "ctx", F.lit(0).alias("shift"), "windows")
+    found = each.filter("n > 1").select("anchor", "ctx", F.lit(0).alias("shift"), "windows", none).unionByName(marked.join(once, ["anchor", "ctx"]).select(mask))
+    # anchors of too many contexts: halves of their windows by longer cores, until no group is too large
+    hot, spread = contexts.filter(F.col("different") > block), [(0, length - gram + 1)]
+    while any(b - a > 1 for a, b in spread) and hot.limit(1).count():
+        spread = [(x, y) for a, b in spread for x, y in ((a, (a + b) // 2), ((a + b) // 2, b)) if y > x]
+        sub = keep(halves(hot, length, spread), "halves")
+        own = keep(sub.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("root_anchor").alias("root_anchor"), F.first("root_ctx").alias("root_ctx"), F.first("shift").alias("shift"), F.first("windows").alias("windows")), "contexts")
+        root = [F.col("root_anchor").alias("anchor"), F.col("root_ctx").alias("ctx"), "shift", "windows"]
+        found = found.unionByName(sub.join(own.filter("n > 1").select("anchor", "ctx").hint("merge"), ["anchor", "ctx"]).select(*root, none))
+        counted = several(own)
+        apart = keep(sub.drop("different").join(counted.hint("merge"), "anchor").dropDuplicates(["anchor", "ctx"]).select(*[f.split()[0] for f in CUT.split(", ")]), "cut")
+        marked = keep(marked_contexts(apart.filter(F.col("different") <= block), length), "marked")
+        found = found.unionByName(marked.join(own.filter("n = 1"), ["anchor", "ctx"]).select(*root, "mask"))
+        hot = apart.filter(F.col("different") > block)
+    found = found.withColumnRenamed("windows", "marked")
+    at = F.struct((F.col("at") + F.col("shift")).alias("at"), F.col("marked").alias("windows"), "mask")
+    marks = shared.join(found.hint("merge"), ["anchor", "ctx"]).groupBy("key").agg(F.collect_list(at).alias("marks"))
+    return marks.withColumnRenamed("key", _KEY), paths
 
 
 def removed_spans(marks: pa.StructArray | None, length: int) -> list[tuple[int, int]]:

@@ -6,7 +6,8 @@ passed over.  Otherwise the cheaper of two prunings picks candidates: the bucket
 enough, or the band of values that a strong coordinate of the query may meet at that cosine.  All
 scores are exact integer products of the candidates.
 
-Queries come in blocks of bounded size, so what is broadcast does not grow with the data.
+Queries come in blocks of bounded size, one job over all buckets each, so what is broadcast does not grow with the
+data; every job appends its parts' best to one table, which is merged by query at the end.
 """
 
 from __future__ import annotations
@@ -21,11 +22,15 @@ from pyspark.sql import functions as F
 from .common import remove, table, written
 
 BUCKET = 2048
-QUERY_BLOCK = 4096
+#: Queries of one job at most, and bytes of their numbers.
+QUERY_BLOCK = 16_384
+QUERY_BYTES = 16 << 20
 #: Longest vectors whose scores give each query its first threshold.
 HEAD = 1024
 #: Coordinates of a query that are tried for pruning.
 FOCUS = 3
+#: Stands for a null id inside a search: it sorts last, and is reported as null.
+NO_ID = 2**63 - 1
 #: Below this share of a bucket, candidates are gathered one query at a time.
 SPARSE = 0.2
 
@@ -36,7 +41,8 @@ def valid(vectors: DataFrame, id_col: str, vector_col: str, scale: float) -> Dat
     """vec_id, dim, norm and floor(scale * x) of the vectors that take part."""
     v = F.col(f"`{vector_col}`")
     bad = F.exists(v, lambda x: x.isNull() | F.isnan(x.cast("double")) | (F.abs(x.cast("double")) == float("inf")))
-    rows = vectors.select(F.col(f"`{id_col}`").cast("long").alias("vec_id"), v.cast("array<double>").alias("v")).filter("vec_id is not null and v is not null")
+    vec_id = F.coalesce(F.col(f"`{id_col}`").cast("long"), F.lit(NO_ID)).alias("vec_id")
+    rows = vectors.select(vec_id, v.cast("array<double>").alias("v")).filter("v is not null")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -151,9 +157,10 @@ def _top(buckets: DataFrame, block: list, head: list, k: int, bucket: int) -> Da
     hid, _, hp = _arrays(head)
     start = np.full(len(ids), -np.inf)
     if len(head) > k:
-        got = products(q, hp).astype(float)
-        got[ids[:, None] == hid[None, :]] = -np.inf
-        start = np.partition(got, len(hid) - k, axis=1)[:, len(hid) - k]
+        for a in range(0, len(ids), 1024):
+            got = products(q[a : a + 1024], hp).astype(float)
+            got[ids[a : a + 1024, None] == hid[None, :]] = -np.inf
+            start[a : a + 1024] = np.partition(got, len(hid) - k, axis=1)[:, len(hid) - k]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         best = Best(ids, start, k)
@@ -176,38 +183,36 @@ def top_k(vectors: DataFrame, is_query: Column, k: int, *, id_col: str = "vec_id
     ``is_query`` is a condition on ``vec_id``.  Null vectors and vectors with null or non-finite
     components take no part; products are taken between vectors of one dimension.  A row is no
     candidate of a query of its id.  Rows that repeat an id are each candidates; as a query, the least
-    of them stands for the id.  Ties go to the smaller id.
+    of them stands for the id.  Ties go to the smaller id.  Rows with a null id (or 2**63 - 1, which stands
+    for it) are candidates reported with a null ``vec_id``, last among ties; they ask nothing.
     """
     spark = vectors.sparkSession
     n = spark.sparkContext.defaultParallelism
     ready, ready_at = written(valid(vectors, id_col, vector_col, scale), "vectors")
     sorted_rows = ready.repartitionByRange(max(2 * n, int(spark.conf.get("spark.sql.shuffle.partitions"))), F.desc("norm"), "vec_id").sortWithinPartitions(F.desc("norm"), "vec_id")
     buckets, buckets_at = written(sorted_rows, "buckets")
-    queries = ready.filter(is_query).groupBy("vec_id").agg(F.min(F.struct("dim", "ints", "norm")).alias("q")).select("vec_id", "q.dim", "q.norm", "q.ints")
+    queries = ready.filter(is_query & (F.col("vec_id") != NO_ID)).groupBy("vec_id").agg(F.min(F.struct("dim", "ints", "norm")).alias("q")).select("vec_id", "q.dim", "q.norm", "q.ints")
     heads: dict[int, list] = {}
-    found: DataFrame | None = None
-    paths = [ready_at, buckets_at]
+    found, found_at = written(spark.createDataFrame([], "query_id long, vec_id long, score long"), "top")
     for block in _blocks(queries.orderBy("dim", "vec_id")):
         dim = block[0]["dim"]
         if dim not in heads:
             heads = {dim: buckets.filter(F.col("dim") == dim).orderBy(F.desc("norm"), "vec_id").limit(HEAD).collect()}
-        got, at = written(_top(buckets, block, heads[dim], k, bucket), "top")
-        paths.append(at)
-        found = got if found is None else found.unionByName(got)
-    if found is None:
-        found = spark.createDataFrame([], "query_id long, vec_id long, score long")
+        _top(buckets, block, heads[dim], k, bucket).write.mode("append").option("compression", "zstd").parquet(found_at)
+    found = spark.read.schema(found.schema).parquet(found_at)
     order = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
-    top = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
+    vec_id = F.when(F.col("vec_id") != NO_ID, F.col("vec_id")).alias("vec_id")
+    top = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k).select("query_id", F.col("rank").cast("int"), vec_id, "score")
     out, _ = written(top, "top_k")
-    remove(spark, *paths)
+    remove(spark, ready_at, buckets_at, found_at)
     return out
 
 
 def _blocks(queries: DataFrame) -> Iterator[list]:
-    """Blocks of at most QUERY_BLOCK queries of one dimension, a partition at a time on the driver."""
+    """Blocks of bounded size of queries of one dimension, a partition at a time on the driver."""
     block: list = []
     for r in queries.toLocalIterator():
-        if block and (len(block) == QUERY_BLOCK or block[0]["dim"] != r["dim"]):
+        if block and (len(block) >= min(QUERY_BLOCK, max(1, QUERY_BYTES // (8 * max(1, r["dim"])))) or block[0]["dim"] != r["dim"]):
             yield block
             block = []
         block.append(r)
@@ -227,7 +232,7 @@ WITH v AS (
 ), s AS (
   SELECT q.vec_id AS query_id, p.vec_id,
     CAST(list_sum(list_transform(range(1, len(q.e) + 1), lambda i: q.e[i] * p.e[i])) AS BIGINT) AS score
-  FROM v q JOIN v p ON p.vec_id <> q.vec_id AND len(p.e) = len(q.e) WHERE q.vec_id % 50 = 0
+  FROM v q JOIN v p ON p.vec_id IS DISTINCT FROM q.vec_id AND len(p.e) = len(q.e) WHERE q.vec_id % 50 = 0
 ), r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS n FROM s)
 SELECT query_id, CAST(n AS INTEGER) AS rank, vec_id, score FROM r WHERE n <= 5
 """

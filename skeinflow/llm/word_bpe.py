@@ -17,13 +17,15 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, SparkSession
 
-from .common import U64, blocks, doc_text, flat, hash_spans, ranges, table
+from .byte_bpe import byte_alphabet
+from .common import U64, blocks, doc_text, flat, hash_spans, ranges, same_spans, table
 
 _NONE = np.int32(2**31 - 1)
 _WHITE = np.zeros(256, bool)
 _WHITE[[9, 10, 11, 12, 13, 32]] = True
-#: Distinct white-space-free spans that a worker keeps; beyond, it starts anew.
+#: Distinct white-space-free spans that a worker keeps, and bytes of them; beyond, it starts anew.
 KEEP = 2_000_000
+KEEP_BYTES = 64 << 20
 
 _models: dict[str, "WordBPE"] = {}
 
@@ -40,18 +42,6 @@ def model(path: str) -> "WordBPE":
     return _models[path]
 
 
-def byte_alphabet() -> list[str]:
-    """The printable character that stands for each byte: itself where printable, else 256 and on."""
-    out, more = [], 256
-    for b in range(256):
-        if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b <= 255:
-            out.append(chr(b))
-        else:
-            out.append(chr(more))
-            more += 1
-    return out
-
-
 class Texts:
     """Byte strings by number in one flat array."""
 
@@ -66,14 +56,14 @@ class Texts:
 
 
 class Store:
-    """A growing flat array of byte or id runs."""
+    """A growing flat array of byte or id runs, with eight spare places at its end."""
 
     def __init__(self, kind: type):
         self.data, self.used = np.zeros(1 << 16, kind), 0
 
     def add(self, values: np.ndarray) -> int:
         need = self.used + len(values)
-        if need > len(self.data):
+        if need + 8 > len(self.data):
             self.data = np.concatenate([self.data, np.zeros(max(need, len(self.data)), self.data.dtype)])
         self.data[self.used : need] = values
         at, self.used = self.used, need
@@ -111,6 +101,17 @@ class WordBPE:
     def _reset(self) -> None:
         self.seen, self.slot = np.zeros(0, U64), np.zeros(0, np.int64)
         self.ids, self.id_at, self.id_n = Store(np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.raw, self.raw_at, self.raw_n = Store(np.uint8), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _keep(self, items: list[bytes]) -> np.ndarray:
+        """Encode spans and keep them; their slots."""
+        ids, counts = self._encode_spans([x.decode() for x in items])
+        size = np.array([len(x) for x in items], np.int64)
+        slots = len(self.id_n) + np.arange(len(items))
+        self.id_at = np.concatenate([self.id_at, self.ids.add(ids) + np.cumsum(counts) - counts])
+        self.raw_at = np.concatenate([self.raw_at, self.raw.add(np.frombuffer(b"".join(items), np.uint8)) + np.cumsum(size) - size])
+        self.id_n, self.raw_n = np.concatenate([self.id_n, counts]), np.concatenate([self.raw_n, size])
+        return slots
 
     def ranks_of(self, a: np.ndarray, b: np.ndarray) -> np.ndarray:
         key = a.astype(np.int64) << 32 | b
@@ -207,7 +208,7 @@ class WordBPE:
         if not len(start):
             return np.zeros(0, np.int64), rows
         keys, first, which = np.unique(hash_spans(data, start, end), return_index=True, return_inverse=True)
-        if len(self.seen) > KEEP:
+        if len(self.seen) > KEEP or self.raw.used > KEEP_BYTES:
             self._reset()
         place = np.searchsorted(self.seen, keys)
         inner = place < len(self.seen)
@@ -216,13 +217,22 @@ class WordBPE:
         new = np.flatnonzero(~known)
         if len(new):
             raw = data.tobytes()
-            ids, counts = self._encode_spans([raw[a:b].decode() for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
-            at = self.ids.add(ids) + np.cumsum(counts) - counts
-            slots = len(self.id_n) + np.arange(len(new))
-            self.id_at, self.id_n = np.concatenate([self.id_at, at]), np.concatenate([self.id_n, counts])
+            slots = self._keep([raw[a:b] for a, b in zip(start[first[new]].tolist(), end[first[new]].tolist(), strict=True)])
             self.seen, self.slot = np.insert(self.seen, place[new], keys[new]), np.insert(self.slot, place[new], slots)
             place = np.searchsorted(self.seen, keys)
-        return self.slot[place][which], rows
+        slot = self.slot[place][which]
+        # a hash only finds the slot: spans whose bytes are others get slots of their own
+        same = self.raw_n[slot] == end - start
+        at = np.flatnonzero(same)
+        same[at] = same_spans(data, start[at], end[at] - start[at], self.raw.data, self.raw_at[slot[at]])
+        if not same.all():
+            own = np.flatnonzero(~same)
+            raw = data.tobytes()
+            items = [raw[a:b] for a, b in zip(start[own].tolist(), end[own].tolist(), strict=True)]
+            each = sorted(set(items))
+            slots = dict(zip(each, self._keep(each).tolist(), strict=True))
+            slot[own] = [slots[x] for x in items]
+        return slot, rows
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids of all rows one after another, and each row's count.  Null is the empty text."""

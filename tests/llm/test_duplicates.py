@@ -64,8 +64,19 @@ def test_near_duplicates_match_brute_force(spark, words, percent, block):
 def test_near_duplicates_of_nothing_and_of_repeated_rows(spark):
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_dup.near_duplicates(empty).count() == 0
-    twice = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b")], "doc_id long, text string")
-    assert sorted((r["doc_id"], r["component_id"]) for r in near_dup.near_duplicates(twice).collect()) == [(1, 1), (1, 1), (2, 1)]
+    twice = spark.createDataFrame([(1, "a b c d e f"), (1, "a b c d e f"), (2, "a b c d e f"), (None, "a b"), (None, "a b"), (None, "a b c d e f"), (None, None)], "doc_id long, text string")
+    got = sorted(((r["doc_id"], r["component_id"], r["kept"]) for r in near_dup.near_duplicates(twice).collect()), key=str)
+    assert got == [(1, 1, True), (1, 1, True), (2, 1, False), (None, 1, False), (None, None, True), (None, None, True), (None, None, True)]
+
+
+def test_near_duplicates_of_one_id_with_several_texts(spark):
+    rng = random.Random(4)
+    a, b, c = (" ".join(rng.choices([f"w{k}" for k in range(300)], k=60)) for _ in range(3))
+    rows = [(1, a), (1, b), (7, a + " tail"), (9, b + " tail"), (5, c), (5, c), (4, c + " more"), (None, b + " end"), (3, "alone here")]
+    for seed in range(3):
+        random.Random(seed).shuffle(rows)
+        got = sorted(((r["doc_id"], r["component_id"]) for r in near_dup.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()), key=str)
+        assert got == sorted([(1, 1), (1, 1), (7, 1), (9, 1), (5, 4), (5, 4), (4, 4), (None, 1), (3, 3)], key=str)
 
 
 def test_bands_and_pruning_hold_their_miss_rates():
@@ -138,10 +149,10 @@ def test_segments_of_long_texts_give_the_same_windows(monkeypatch):
     owner = {}
     for p in range(0, 5000, 700):
         q = min(5000, p + 700 + 199)
-        row, at, n, anchor, _ = repeats.windows(data[p:q], np.clip(ends, p, q) - p, 200, 48)
+        row, at, n, anchor, _, _ = repeats.windows(data[p:q], np.clip(ends, p, q) - p, 200, 48)
         for a, w, k in zip(at, n, anchor, strict=True):
             owner.update({p + a + i: k for i in range(w)})
-    _, at, n, anchor, _ = repeats.windows(data, ends, 200, 48)
+    _, at, n, anchor, _, _ = repeats.windows(data, ends, 200, 48)
     whole = {a + i: k for a, w, k in zip(at, n, anchor, strict=True) for i in range(w)}
     assert owner == whole and len(whole) == 4801
 
@@ -152,7 +163,7 @@ def test_run_index_statistics_match_brute_force():
     strings = [base, base[10:50], base[:30] + b"c" + base[31:], bytes(rng.choices(b"abc", k=40)), b"a" * 30]
     text = np.frombuffer(b"".join(s + b"\0" for s in strings), np.uint8)
     stops = np.cumsum([len(s) + 1 for s in strings]) - 1
-    index = repeats.RunIndex(text, stops, 100)
+    index = repeats.RunIndex(text, stops)
     got = index.statistics()
     places = [(k, i) for k, s in enumerate(strings) for i in range(len(s))]
     starts = stops - [len(s) for s in strings]
@@ -166,6 +177,8 @@ def test_run_index_statistics_match_brute_force():
                 best = max(best, n)
         assert got[starts[k] + i] == best
     assert index.lengths.sum() == len(text) and len(index.lengths) < len(text)
+    for pattern in (b"a", b"b", b"c", b"ab", b"ba", b"aaa", base[5:25], base[:61], b"abcabcabca", b"d"):
+        assert index.count(pattern) == sum(s[i : i + len(pattern)] == pattern for s in strings for i in range(len(s))), pattern
 
 
 def test_repeats_of_nothing(spark):

@@ -1,7 +1,6 @@
 """Classifiers, top-k, pages and pictures."""
 
 import random
-import struct
 import zlib
 
 import duckdb
@@ -10,7 +9,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from skeinflow.llm import html_layout, images, quality, topk, toxicity
+from skeinflow.llm import html_layout, quality, topk, toxicity
 from skeinflow.llm.labelled import sample
 
 
@@ -125,48 +124,3 @@ def test_extract_keeps_rows_and_columns(spark):
     got = html_layout.extract(pages)
     assert got.columns == ["page_id", "_page", "text"] and sorted((r["page_id"], r["text"]) for r in got.collect()) == [(1, "a"), (1, "a"), (2, "")]
     assert html_layout.extract(pages.limit(0)).count() == 0
-
-
-def png(p):
-    rows = b"".join(b"\0" + bytes(r) for r in p.astype(np.uint8))
-
-    def chunk(kind, body):
-        return struct.pack(">I", len(body)) + kind + body + struct.pack(">I", zlib.crc32(kind + body))
-
-    return b"\x89PNG\r\n\x1a\n" + chunk(b"IHDR", struct.pack(">IIBBBBB", p.shape[1], p.shape[0], 8, 0, 0, 0, 0)) + chunk(b"IDAT", zlib.compress(rows)) + chunk(b"IEND", b"")
-
-
-def pgm(p):
-    return b"P5\n# note\n%d %d\n255\n" % (p.shape[1], p.shape[0]) + p.astype(np.uint8).tobytes()
-
-
-def scene(seed, size=128):
-    rng = np.random.default_rng(seed)
-    return images._resize(images.painted(rng.normal(size=64).tolist()), 64 / size)
-
-
-def test_decode():
-    p = np.arange(48 * 40).reshape(40, 48) % 256
-    assert (images.decode(png(p)) == p).all() and (images.decode(pgm(p)) == p).all()
-    assert all(images.decode(x) is None for x in (None, b"", b"junk", b"\x89PNG\r\n\x1a\n", png(p)[:60], b"P5\n9 9\n255\n"))
-
-
-@pytest.mark.parametrize("block", [512, 3])
-def test_cropped_and_edited_copies(spark, block):
-    rows, want = [], {}
-    rng = np.random.default_rng(0)
-    for k in range(6):
-        p = scene(k)
-        kinds = [p, p[10:120, 8:122], p * 0.7 + 20, np.clip(p + rng.normal(0, 5, p.shape), 0, 255), np.rot90(p), p]
-        for v, q in enumerate(kinds):
-            rows.append((10 * k + v, (png if v % 2 else pgm)(np.clip(q, 0, 255)), "w"))
-            want[10 * k + v] = 10 * k
-    rows += [(900, None, "n"), (901, b"junk", "n"), (902, pgm(np.zeros((5, 5))), "n"), (903, pgm(np.zeros((90, 90))), "n"), (904, pgm(np.zeros((90, 90))), "n")]
-    want |= {900: 900, 901: 901, 902: 902, 903: 903, 904: 903}
-    got = {r["image_id"]: r["component_id"] for r in images.copies(spark.createDataFrame(rows, "image_id long, image binary, words string"), block=block).collect()}
-    wrong = {k: (got[k], want[k]) for k in want if got[k] != want[k]}
-    assert len(wrong) <= 2, wrong  # a crop or a turn may keep too few corners
-
-
-def test_no_pictures(spark):
-    assert images.copies(spark.createDataFrame([], "image_id long, image binary")).count() == 0
