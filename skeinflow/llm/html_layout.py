@@ -4,13 +4,19 @@ A tree is built with implied end tags (paragraphs, list items, table parts, opti
 ignored and everything closed at the end.  Visibility rules drop what is never shown: head matter, scripts,
 styles, templates, elements with ``hidden`` or an inline ``display: none`` / ``visibility: hidden``, and
 the body of closed ``details``.  Rendering keeps block spacing, list markers and nesting,
-preformatted text, and pads table cells into columns.  Nothing recurses, so depth is no limit.
+preformatted text, and pads table cells into columns.
+
+Time and output are linear in the page.  The scanner goes forward once; elements in scope are found from one stack of
+places per tag; nothing recurses.  Cells are padded to ``WIDE`` characters at most and lines indented by ``DEEP`` at
+most, so a page's text is at most its own characters and that padding for each cell and line, never cut.
+A table within a cell is one line of the cell.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -20,10 +26,16 @@ from pyspark.sql import types as T
 
 from .common import table
 
+#: Padding of a table cell and indentation of a line, at most.
+WIDE, DEEP = 40, 40
+
 #: An attribute: a quote delimits only right after the '=' of a name and if it is closed; any other quote is an ordinary character.
 _NAME, _VALUE = r"""[^\s/>][^\s/>=]*+""", r"""\s*+=\s*+("[^"]*+"|'[^']*+'|[^\s>]*+)"""
-_TAG = re.compile(rf"""<(?:!--(?P<comment>.*?)(?:--!?>|\Z)|[!?][^>]*(?:>|\Z)|(?P<close>/?)(?P<name>[a-zA-Z][^\s/>]*+)(?P<attrs>(?:[\s/]++|{_NAME}(?>{_VALUE})?+)*+)>)""", re.S)
 _ATTR = re.compile(rf"""({_NAME})(?>{_VALUE})?+""")
+_STEP = re.compile(rf"""[\s/]++|{_NAME}(?:\s*+=\s*+(?P<quote>["'])?)?+""")
+_PLAIN = re.compile(r"""[^\s>]*+""")
+_TAG_NAME = re.compile(r"""/?[a-zA-Z][^\s/>]*+""")
+_COMMENT_END = re.compile(r"--!?>")
 _HIDING = re.compile(r"(?i)display\s*:\s*none|visibility\s*:\s*(?:hidden|collapse)")
 _WATCHED = re.compile(r"(?i)hidden|style|type|value|start|colspan|open")
 
@@ -59,48 +71,98 @@ def _attributes(raw: str) -> dict[str, str] | None:
     return {k.lower(): html.unescape(v[1:-1] if v[:1] in "\"'" else v) for k, v in _ATTR.findall(raw)}
 
 
+class _Scanner:
+    """Finds the ends of tags, going forward only."""
+
+    def __init__(self, page: str):
+        self.page = page
+        self.gt = -1  # a '>' at or after the last place asked for; len(page) if there is none
+        self.gone: set[str] = set()  # quotes that do not come again
+        self.loose = False
+
+    def next_gt(self, at: int) -> int:
+        if self.gt < at:
+            found = self.page.find(">", at)
+            self.gt = found if found >= 0 else len(self.page)
+        return self.gt
+
+    def tag_end(self, at: int) -> int:
+        """Place of the '>' that ends a tag whose attributes begin at ``at``; the page's length if it never ends.
+
+        Should quotes hide every further '>', that tag and all after it end at the next '>', quoted or not.
+        """
+        page, gt = self.page, self.next_gt(at)
+        if gt == len(page) or self.loose or page.find('"', at, gt) < 0 and page.find("'", at, gt) < 0:
+            return gt
+        while at < len(page) and page[at] != ">":
+            m = _STEP.match(page, at)
+            at, quote = m.end(), m["quote"]
+            if quote:
+                close = -1 if quote in self.gone else page.find(quote, at)
+                if close < 0:
+                    self.gone.add(quote)
+                at = close + 1 if close >= 0 else _PLAIN.match(page, at - 1).end()
+            elif page[at - 1] == "=" or m.group().rstrip().endswith("="):
+                at = _PLAIN.match(page, at).end()
+        if at >= len(page):
+            self.loose = True
+            return gt
+        return at
+
+
 def parse(page: str) -> Node:
     """The tree of a page; its root has no tag."""
     root = Node("")
     open_nodes = [root]
-    counts: dict[str, int] = {}
+    places: dict[str, list[int]] = {}
     at, n = 0, len(page)
+    scan = _Scanner(page)
 
     def close_to(depth: int) -> None:
         for x in open_nodes[depth:]:
-            counts[x.tag] -= 1
+            places[x.tag].pop()
         del open_nodes[depth:]
 
     def find(tags: set[str] | frozenset[str], stops: set[str] | frozenset[str]) -> int:
-        for k in range(len(open_nodes) - 1, 0, -1):
-            tag = open_nodes[k].tag
-            if tag in tags:
-                return k
-            if tag in stops:
-                return 0
-        return 0
+        """Place of the innermost open element of ``tags``, 0 if one of ``stops`` comes before it."""
+        k = max((places[t][-1] for t in tags if places.get(t)), default=0)
+        return k if k and all(places[t][-1] < k for t in stops if places.get(t)) else 0
 
     while at < n:
-        m = _TAG.search(page, at)
-        if m is None:
-            open_nodes[-1].children.append(page[at:])
+        lt = page.find("<", at)
+        if lt < 0:
+            lt = n
+        if lt > at:
+            open_nodes[-1].children.append(page[at:lt])
+        if lt >= n:
             break
-        if m.start() > at:
-            open_nodes[-1].children.append(page[at : m.start()])
-        at = m.end()
-        name = m["name"]
-        if name is None:
+        if page.startswith("<!--", lt):
+            if page.startswith((">", "->"), lt + 4):
+                at = page.index(">", lt) + 1
+            else:
+                m = _COMMENT_END.search(page, lt + 4)
+                at = m.end() if m else n
+            continue
+        if page.startswith(("<!", "<?"), lt):
+            at = scan.next_gt(lt) + 1
+            continue
+        m = _TAG_NAME.match(page, lt + 1)
+        end = scan.tag_end(m.end()) if m else n
+        if end >= n:  # no tag: the '<' is text
+            open_nodes[-1].children.append("<")
+            at = lt + 1
             continue
-        name = name.lower()
-        if m["close"]:
+        name, raw, at = m.group().lower(), page[m.end() : end], end + 1
+        if name[0] == "/":
+            name = name[1:]
             if name == "br":
                 open_nodes[-1].children.append(Node("br"))
-            elif counts.get(name):
-                k = find({name}, _SCOPE - {name} if name not in ("table", "body", "html") else frozenset({"html"}))
+            elif places.get(name):
+                k = find({name}, _SCOPE - {name} if name not in ("table", "body", "html") else frozenset({"html"}) - {name})
                 if k:
                     close_to(k)
             continue
-        if counts.get("p") and name in _ENDS_P:
+        if places.get("p") and name in _ENDS_P:
             k = find({"p"}, frozenset({"table", "td", "th", "button", "caption"}))
             if k:
                 close_to(k)
@@ -108,20 +170,19 @@ def parse(page: str) -> Node:
         if rule:
             while k := find(*rule):
                 close_to(k)
-        raw = m["attrs"]
         node = Node(name, _attributes(raw))
         open_nodes[-1].children.append(node)
         if name in VOID or raw.endswith("/") and name not in BLOCK and name not in RAW:
             continue
         if name in RAW:
-            end = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
+            close = re.compile(rf"</{name}(?=[\s/>])[^>]*>?", re.I).search(page, at)
             if name in ("textarea", "xmp"):
-                body = page[at : end.start() if end else n]
+                body = page[at : close.start() if close else n]
                 node.children.append(html.escape(body, quote=False) if name == "xmp" else body)  # xmp shows references as written
-            at = end.end() if end else n
+            at = close.end() if close else n
             continue
+        places.setdefault(name, []).append(len(open_nodes))
         open_nodes.append(node)
-        counts[name] = counts.get(name, 0) + 1
     return root
 
 
@@ -168,7 +229,7 @@ class _Canvas:
             line = "".join(self.parts)
             if self.lines and self.blank and self.lines[-1]:
                 self.lines.append("")
-            pad = " " * (max(0, self.indent - 2) if self.marker else self.indent)
+            pad = " " * min(DEEP, max(0, self.indent - 2) if self.marker else self.indent)
             self.lines.append((pad + self.marker + line).rstrip())
             self.parts, self.marker, self.blank = [], "", False
         self.space = False
@@ -187,20 +248,25 @@ class _Grid:
         self.rows: list[list[tuple[str, int]]] = []
 
     def lines(self) -> list[str]:
-        """Cells padded to their columns; a cell over several columns takes their width together."""
-        width: list[int] = []
+        """Cells padded to their columns, up to WIDE; a cell over several columns takes their width together."""
+        width: dict[int, int] = {}
         for row in self.rows:
             c = 0
             for text, span in row:
-                width += [0] * (c + span - len(width))
                 if span == 1:
-                    width[c] = max(width[c], len(text))
+                    width[c] = max(width.get(c, 0), len(text))
                 c += span
+        # width of the columns before each, with the gaps between them; columns without a cell of their own have none
+        columns = sorted(width)
+        before = [0]
+        for c in columns:
+            before.append(before[-1] + width[c] + 2)
         out = []
         for row in self.rows:
             c, line = 0, []
             for text, span in row:
-                line.append(text.ljust(sum(width[c : c + span]) + 2 * (span - 1)))
+                own = width.get(c, 0) if span == 1 else max(0, before[bisect_left(columns, c + span)] - before[bisect_left(columns, c)] - 2)
+                line.append(text.ljust(own) if own <= WIDE else text)
                 c += span
             out.append("  ".join(line).rstrip())
         return [x for x in out if x]
@@ -210,6 +276,7 @@ def render(root: Node) -> str:
     """Visible text of a tree."""
     canvas = _Canvas()
     canvases, grids, lists = [canvas], [], []
+    cell: Node | None = None  # the outermost open table cell
     preformatted = 0
     stack: list[tuple[Node | str, bool]] = [(x, False) for x in reversed(root.children)]
     while stack:
@@ -225,15 +292,15 @@ def render(root: Node) -> str:
             continue
         tag = node.tag
         if leaving:
-            if tag in ("td", "th") and len(canvases) > 1 and grids:
+            if tag in ("td", "th") and len(canvases) > 1 and node is cell:
                 text = " ".join(canvas.result().split())
                 canvases.pop()
-                canvas = canvases[-1]
+                canvas, cell = canvases[-1], None
                 if not grids[-1][0].rows:
                     grids[-1][0].rows.append([])
                 grids[-1][0].rows[-1].append((text, _whole((node.attrs or {}).get("colspan"), 1)))
                 continue
-            if tag == "table":
+            if tag == "table" and cell is None:
                 grid, _ = grids.pop()
                 for line in grid.lines():
                     canvas.feed()
@@ -269,13 +336,13 @@ def render(root: Node) -> str:
         if tag == "input":
             canvas.text((node.attrs or {}).get("value", ""))
             continue
-        if tag in ("td", "th") and grids:
-            canvas = _Canvas()
+        if tag in ("td", "th") and grids and cell is None:
+            canvas, cell = _Canvas(), node
             canvases.append(canvas)
-        elif tag == "table":
+        elif tag == "table" and cell is None:
             canvas.gap()
             grids.append((_Grid(), canvas))
-        elif tag == "tr" and grids:
+        elif tag == "tr" and grids and cell is None:
             grids[-1][0].rows.append([])
         else:
             if tag in SPACED and not (tag in ("ul", "ol") and lists):
@@ -306,6 +373,7 @@ def render(root: Node) -> str:
 
 
 def _whole(value: str | None, default: int) -> int:
+    """A whole number from 1 to 9999; anything else is the default."""
     return int(value) if value and value.isascii() and value.strip().isdigit() and len(value) < 5 and int(value) > 0 else default
 
 
