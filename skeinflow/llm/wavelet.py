@@ -1,7 +1,7 @@
 """Token ids as wavelet matrices: one compressed, searchable file image per shard.
 
-A shard holds whole documents in ascending id order.  Its image has a header, the documents' ids and
-token counts, and one bit-plane per bit of the largest token id, most significant first, each with
+A shard holds whole documents in ascending id order, those without an id first.  Its image has a header, the
+documents' ids, which of them are null, their token counts, and one bit-plane per bit of the largest token id, most significant first, each with
 the count of ones before every 512 bits.  Token access, rank, select, counts and occurrence lookup work on
 the image alone.  Images travel in a Parquet table (zstd), the container that any Hadoop store
 accepts from executors: one row per shard.
@@ -10,6 +10,7 @@ accepts from executors: one row per shard.
 from __future__ import annotations
 
 import zlib
+from bisect import bisect_right
 from collections.abc import Iterator
 
 import numpy as np
@@ -20,7 +21,7 @@ from pyspark.sql import functions as F
 from . import byte_bpe
 from .common import blocks, doc_text, new_path, table
 
-MAGIC = b"SKWM0001"
+MAGIC = b"SKWM0002"
 #: Tokens from which a shard is closed (one document is never cut).
 SHARD_TOKENS = 1 << 21
 #: Id appended to each document.
@@ -120,20 +121,39 @@ class WaveletMatrix:
 
     def _place(self, level: int, one: bool, k: int) -> int:
         """Place of the k-th one (or zero) bit of a plane, by bisection on the directory."""
-        ranks = self.ranks[level].astype(np.int64)
-        before = ranks if one else np.arange(len(ranks)) * _BLOCK - ranks
-        b = int(np.searchsorted(before, k, "right")) - 1
+        ranks = self.ranks[level]
+        b = bisect_right(range(len(ranks)), k, key=lambda i: int(ranks[i]) if one else i * _BLOCK - int(ranks[i])) - 1
+        before = int(ranks[b]) if one else b * _BLOCK - int(ranks[b])
         bits = np.unpackbits(self.planes[level][b * _BLOCK // 8 : (b + 1) * _BLOCK // 8], bitorder="little")
-        return b * _BLOCK + int(np.flatnonzero(bits == one)[k - int(before[b])])
+        return b * _BLOCK + int(np.flatnonzero(bits == one)[k - before])
+
+    def _places(self, level: int, one: bool, k: np.ndarray, chunk: int = 4096) -> np.ndarray:
+        """As _place for many ascending k; only the blocks that hold them are unpacked."""
+        ranks = self.ranks[level]
+        before = ranks if one else np.arange(len(ranks)) * _BLOCK - ranks
+        b = np.searchsorted(before, k, "right") - 1
+        blocks_, which = np.unique(b, return_inverse=True)
+        width, out = _BLOCK // 8, np.empty(len(k), np.int64)
+        plane = self.planes[level]
+        for a in range(0, len(blocks_), chunk):
+            own = blocks_[a : a + chunk]
+            at = own[:, None] * width + np.arange(width)
+            raw = np.where(at < len(plane), plane[np.minimum(at, len(plane) - 1)], 0).astype(np.uint8)
+            bits = np.unpackbits(raw, axis=1, bitorder="little") == one
+            some = np.flatnonzero((which >= a) & (which < a + chunk))
+            hits = np.flatnonzero(bits)  # of all blocks, in order: the first of each follows from the counts
+            first = np.concatenate([[0], np.cumsum(bits.sum(1))])
+            hit = hits[first[which[some] - a] + k[some] - before[b[some]].astype(np.int64)]
+            out[some] = own[hit // _BLOCK] * _BLOCK + hit % _BLOCK
+        return out
 
     def occurrences(self, value: int) -> np.ndarray:
         """All places of ``value``, ascending."""
         a, e = self._range(value, self.n)
         at, depth = np.arange(a, e), len(self.planes)
         for level in range(depth - 1, -1, -1):
-            bits = np.unpackbits(self.planes[level], count=self.n, bitorder="little")
-            one = value >> (depth - 1 - level) & 1
-            at = np.flatnonzero(bits == one)[at - self.zeros[level] if one else at]
+            one = bool(value >> (depth - 1 - level) & 1)
+            at = self._places(level, one, at - self.zeros[level] if one else at) if len(at) else at
         return at
 
 
@@ -148,13 +168,14 @@ def _directory(plane: np.ndarray) -> np.ndarray:
 class TokenShard:
     """Documents' token ids: the wavelet matrix of all of them, and where each document begins."""
 
-    def __init__(self, doc_ids: np.ndarray, counts: np.ndarray, matrix: WaveletMatrix):
+    def __init__(self, doc_ids: np.ndarray, counts: np.ndarray, matrix: WaveletMatrix, null: np.ndarray | None = None):
         self.doc_ids, self.counts, self.matrix = doc_ids, counts, matrix
+        self.null = np.zeros(len(doc_ids), bool) if null is None else null
         self.starts = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
 
     @classmethod
-    def of(cls, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray) -> "TokenShard":
-        return cls(np.asarray(doc_ids, np.int64), np.asarray(counts, np.int64), WaveletMatrix.build(ids))
+    def of(cls, doc_ids: np.ndarray, counts: np.ndarray, ids: np.ndarray, null: np.ndarray | None = None) -> "TokenShard":
+        return cls(np.asarray(doc_ids, np.int64), np.asarray(counts, np.int64), WaveletMatrix.build(ids), null)
 
     def tokens(self, k: int) -> np.ndarray:
         """Ids of the k-th document by access alone."""
@@ -163,7 +184,7 @@ class TokenShard:
     def to_bytes(self) -> bytes:
         m = self.matrix
         head = np.array([len(self.doc_ids), m.n, len(m.planes), *m.zeros], "<i8")
-        parts = [MAGIC, np.array([len(head)], "<i8").tobytes(), head.tobytes(), self.doc_ids.astype("<i8").tobytes(), self.counts.astype("<i8").tobytes()]
+        parts = [MAGIC, np.array([len(head)], "<i8").tobytes(), head.tobytes(), self.doc_ids.astype("<i8").tobytes(), self.counts.astype("<i8").tobytes(), np.packbits(self.null, bitorder="little").tobytes()]
         for plane, ranks in zip(m.planes, m.ranks, strict=True):
             parts += [plane.tobytes(), ranks.astype("<u4").tobytes()]
         return b"".join(parts)
@@ -178,6 +199,8 @@ class TokenShard:
         at = 16 + 8 * k
         ids, counts = np.frombuffer(image, "<i8", n_docs, at), np.frombuffer(image, "<i8", n_docs, at + 8 * n_docs)
         at += 16 * n_docs
+        null = np.unpackbits(np.frombuffer(image, np.uint8, -(-n_docs // 8), at), count=n_docs, bitorder="little").astype(bool)
+        at += -(-n_docs // 8)
         width = -(-n // 8)
         entries = -(-width // (_BLOCK // 8)) + 1
         planes, ranks = [], []
@@ -185,15 +208,16 @@ class TokenShard:
             planes.append(np.frombuffer(image, np.uint8, width, at))
             ranks.append(np.frombuffer(image, "<u4", entries, at + width))
             at += width + 4 * entries
-        return cls(ids, counts, WaveletMatrix(n, planes, [int(x) for x in head[3:]], ranks))
+        return cls(ids, counts, WaveletMatrix(n, planes, [int(x) for x in head[3:]], ranks), null)
 
 
 def write_shards(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col: str = "text", tokenizer: str | None = None, end_id: int = END_ID, shard_tokens: int = SHARD_TOKENS) -> DataFrame:
     """Encode whole texts and write shards at ``path``; returns the table of shards.
 
-    Rows go in ascending id order (rows of one id: in the order of their texts).  A null or empty text
-    is the end id alone.  An empty table gives no shards.  Columns beside id and text are not read.
-    ``part`` and ``seq`` number the shards in id order.
+    Rows go in ascending id order, null ids first (rows of one id: by a hash of their texts, so that they
+    need not all go through one task).  A null or empty text is the end id alone.  An empty table gives no
+    shards.  Columns beside id and text are not read.  ``part`` and ``seq`` number the shards in id order;
+    ``first_doc`` is null for a shard that begins with a null id.
     """
     tokenizer = tokenizer or byte_bpe.default_path()
 
@@ -202,26 +226,28 @@ def write_shards(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col
 
         part, seq = TaskContext.get().partitionId(), 0
         encode = byte_bpe.encoder(tokenizer).encode
-        held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+        held: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]] = []
         n = 0
 
         def close() -> pa.RecordBatch:
             ids = [np.concatenate(x) for x in zip(*held, strict=True)]
             image = TokenShard.of(*ids).to_bytes()
+            first = None if ids[3][0] else int(ids[0][0])
             return pa.RecordBatch.from_arrays(
-                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([ids[0][0]], pa.int64()), pa.array([len(ids[0])], pa.int64()), pa.array([len(ids[2])], pa.int64()), pa.array([image], pa.binary())],
+                [pa.array([part], pa.int32()), pa.array([seq], pa.int32()), pa.array([first], pa.int64()), pa.array([len(ids[0])], pa.int64()), pa.array([len(ids[2])], pa.int64()), pa.array([image], pa.binary())],
                 ["part", "seq", "first_doc", "n_docs", "n_tokens", "image"],
             )
 
         for batch in batches:
-            texts, doc_ids = batch.column("text"), batch.column("doc_id").to_numpy(zero_copy_only=False)
+            texts, null = batch.column("text"), batch.column("doc_id").is_null().to_numpy(zero_copy_only=False)
+            doc_ids = batch.column("doc_id").fill_null(0).to_numpy()
             for a, b in blocks(texts, byte_bpe.BLOCK_BYTES):
                 ids, counts = encode(texts.slice(a, b - a))
                 ids, counts = np.insert(ids, np.cumsum(counts), end_id), counts + 1
                 ends, p, at = np.cumsum(counts), 0, 0
                 while p < len(counts):  # up to the document that fills the shard
                     q = min(len(counts), int(np.searchsorted(ends, at + shard_tokens - n)) + 1)
-                    held.append((doc_ids[a + p : a + q], counts[p:q], ids[at : ends[q - 1]]))
+                    held.append((doc_ids[a + p : a + q], counts[p:q], ids[at : ends[q - 1]], null[a + p : a + q]))
                     n, p, at = n + int(ends[q - 1]) - at, q, int(ends[q - 1])
                     if n >= shard_tokens:
                         yield close()
@@ -229,8 +255,9 @@ def write_shards(docs: DataFrame, path: str, *, id_col: str = "doc_id", text_col
         if held:
             yield close()
 
-    rows = doc_text(docs, id_col, text_col).filter(F.col("doc_id").isNotNull())
-    rows.repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text").mapInArrow(build, SHARD).write.option("compression", "zstd").parquet(path)
+    rows = doc_text(docs, id_col, text_col).withColumn("_hash", F.xxhash64("text"))
+    dealt = rows.repartitionByRange("doc_id", "_hash").sortWithinPartitions("doc_id", "_hash").select("doc_id", "text")
+    dealt.mapInArrow(build, SHARD).write.option("compression", "zstd").parquet(path)
     return read_shards(docs.sparkSession, path)
 
 
@@ -260,7 +287,7 @@ def document_digests(shards: DataFrame) -> DataFrame:
                 crc = [zlib.crc32(raw[a:b]) for a, b in zip(at[:-1], at[1:], strict=True)]
                 n = len(crc)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, seq, np.int32)), pa.array(shard.doc_ids), pa.array(shard.starts[:-1]), pa.array(shard.counts), pa.array(crc, pa.int64())],
+                    [pa.array(np.full(n, part, np.int32)), pa.array(np.full(n, seq, np.int32)), pa.array(shard.doc_ids, mask=shard.null), pa.array(shard.starts[:-1]), pa.array(shard.counts), pa.array(crc, pa.int64())],
                     ["part", "seq", "doc_id", "local_start", "n_tokens", "ids_crc32"],
                 )
 

@@ -41,7 +41,7 @@ def test_wavelet_matrix_operations():
     for c in (1, 2, 7, 2999, 5000):
         at = np.flatnonzero(v == c)
         assert m.count(c) == len(at) and m.occurrences(c).tolist() == at.tolist() and m.rank(c, 2345) == (at < 2345).sum()
-        assert [m.select(c, k) for k in range(len(at))][:20] == at[:20].tolist()
+        assert [m.select(c, k) for k in range(len(at))][:20] == at[:20].tolist() and (not len(at) or m.select(c, len(at) - 1) == at[-1])
     for one in (np.zeros(0, int), np.array([0]), np.full(1025, 7)):
         assert (wavelet.WaveletMatrix.build(one).values() == one).all()
     shard = wavelet.TokenShard.from_bytes(wavelet.TokenShard.of([3, 9], [2, 3], np.array([5, 2, 8, 1, 2])).to_bytes())
@@ -57,6 +57,12 @@ def test_shards_round_trip(spark, docs, tmp_path):
         assert (got[k]["start"], got[k]["n_tokens"], got[k]["ids_crc32"]) == (start, len(ids), zlib.crc32(np.array(ids, "<u4").tobytes())), k
         start += len(ids)
     assert shards.count() > 2
+    repeated = docs.selectExpr("CASE WHEN doc_id % 3 = 0 THEN null WHEN doc_id % 3 = 1 THEN 7 ELSE doc_id END AS doc_id", "text")
+    read = wavelet.document_digests(wavelet.write_shards(repeated, (tmp_path / "n").as_uri(), shard_tokens=50)).orderBy("start").collect()
+    want = sorted(((None if k % 3 == 0 else 7 if k % 3 == 1 else k, zlib.crc32(np.array([*library(byte_bpe.default_path(), t), 2], "<u4").tobytes())) for k, t in enumerate(ODD)), key=str)
+    assert sorted(((r["doc_id"], r["ids_crc32"]) for r in read), key=str) == want
+    ids = [r["doc_id"] for r in read]
+    assert ids == sorted(ids, key=lambda i: (i is not None, i)) and [r["start"] for r in read] == np.concatenate([[0], np.cumsum([r["n_tokens"] for r in read])])[:-1].tolist()
     assert wavelet.token_counts(shards, [2]).agg(F.sum("n")).first()[0] >= len(ODD)
     assert wavelet.document_digests(wavelet.write_shards(docs.limit(0), (tmp_path / "e").as_uri())).count() == 0
 
