@@ -16,7 +16,7 @@
 
 One rule holds for buckets of every size; those above ``block`` members are dealt as pairs of blocks, in which every two
 members still meet.  For corners whose descriptors differ in d bits, a table's keys agree with a chance of about
-(1 - d / 256) ** KEY_BITS: 0.37 at 10 bits, 0.13 at 20, 0.02 at 36; pictures that share many corners need two such
+(1 - d / 256) ** KEY_BITS: 0.33 at 10 bits, 0.10 at 20, 0.01 at 36; pictures that share many corners need two such
 keys among all their corners and tables.  tests/llm holds the candidates against all pairs.
 """
 
@@ -46,10 +46,10 @@ DIFFER = 56
 AGREE = 5
 #: Votes that make two pictures candidates.
 SEEN = 2
-KEY_BITS = 24
-TABLES = 5
+KEY_BITS = 28
+TABLES = 6
 #: Bits of 64 in which members of a bucket may differ to vote.
-CHECK = 18
+CHECK = 14
 BLOCK = 1024
 #: Points are kept in parts of a pixel.
 _PART = 8
