@@ -61,7 +61,9 @@ def clean_text(c: Column, limit: int = 400, *, full: bool = False) -> Column:
 
 
 def normalize_title(c: Column, *, compatibility: bool = True) -> Column:
-    c = F.lower(nfkc(c) if compatibility else c)
+    if compatibility:  # only texts with other than ASCII characters go to Python
+        c = F.coalesce(nfkc(F.when(c.rlike(r"[^\x00-\x7F]"), c)), c)
+    c = F.lower(c)
     return collapse_ws(F.regexp_replace(F.regexp_replace(c, BRACKETED, " "), PUNCTUATION, " "))
 
 

@@ -2,16 +2,25 @@
 
 from __future__ import annotations
 
+from urllib.parse import uses_netloc
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .terms import TRACKING
 
+#: Schemes whose addresses name a host.
+WITH_HOST = sorted(x for x in uses_netloc if x)
 PARTS = r"^(?:([A-Za-z][A-Za-z0-9+.\-]*):)?(?://([^/?#]*))?([^?#]*)(?:\?([^#]*))?(?:#.*)?$"
 
 
+def clean(url: Column) -> Column:
+    """The address without controls and blanks around it, nor tabs and line ends within."""
+    return F.regexp_replace(F.regexp_replace(url, r"^[\x00-\x20]+|[\s\p{Z}]+$", ""), r"[\t\r\n]", "")
+
+
 def part(url: Column, k: int) -> Column:
-    return F.regexp_extract(F.trim(url), PARTS, k)
+    return F.regexp_extract(clean(url), PARTS, k)
 
 
 def host(url: Column) -> Column:
@@ -44,10 +53,13 @@ def canonical(url: Column) -> Column:
     query = F.array_join(F.transform(kept, lambda p: F.concat(encode(p["name"]), F.lit("="), encode(p["value"]))), "&")
     scheme, where = F.lower(part(url, 1)), host(url)
     path = F.regexp_replace(part(url, 3), "/+$", "")
+    path = F.when(path == "", "/").otherwise(path)
+    # without a host, slashes keep a path from being read as one
+    bare = path.startswith("//") | scheme.isin(*WITH_HOST)
     out = F.concat(
         F.when(scheme != "", F.concat(scheme, F.lit(":"))).otherwise(""),
-        F.when(where != "", F.concat(F.lit("//"), where)).otherwise(""),
-        F.when(path == "", "/").otherwise(path),
+        F.when(where != "", F.concat(F.lit("//"), where)).when(bare & path.startswith("/"), "//").otherwise(""),
+        path,
         F.when(query != "", F.concat(F.lit("?"), query)).otherwise(""),
     )
     return F.when(F.coalesce(url, F.lit("")) == "", "").otherwise(out)

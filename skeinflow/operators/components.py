@@ -10,30 +10,32 @@ from ..plans.storage import remove, written
 MAX_ROUNDS = 60
 
 
-def edge_components(edges: DataFrame) -> tuple[DataFrame, str]:
+def edge_components(edges: DataFrame, rows: int | None = None) -> tuple[DataFrame, str]:
     """(v, u) for all nodes in columns a and b of ``edges``: u is the smallest node reachable from v.
 
-    Each round is one table in the shared folder, so a lost executor costs one round at most; the loop
+    Each step is a table in the shared folder, so a lost executor costs one step at most; the loop
     ends when a round changes nothing, and fails loudly at ``MAX_ROUNDS``.  Self loops and repeated edges
-    are harmless.  The second value is the result's folder, for the caller to remove.
+    are harmless.  ``rows`` may bound the rows of ``edges``.  The second value is the result's folder, for
+    the caller to remove.
     """
     spark = edges.sparkSession
-    now, path, seen = _edges(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).filter("u < v"))
+    now, path, seen = _edges(edges.select(F.greatest("a", "b").alias("v"), F.least("a", "b").alias("u")).filter("u < v"), rows)
     if not seen[0]:
         return now, path
     for _ in range(MAX_ROUNDS):
+        n = 2 * seen[0]
         both = now.unionByName(now.select(F.col("u").alias("v"), F.col("v").alias("u")))
         # the least neighbours are written first: a hub has all its edges under one key, and Spark splits such a
         # join only between plain exchanges, not after an aggregate of its key
-        low, low_at = written(both.groupBy("v").agg(F.least("v", F.min("u")).alias("m")), "least", "lz4")
+        low, low_at = written(both.groupBy("v").agg(F.least("v", F.min("u")).alias("m")), "least", "lz4", n)
         large = both.filter("u > v").join(low.hint("merge"), "v").select(F.col("u").alias("v"), F.col("m").alias("u"))
-        large, large_at, _ = _edges(large)
-        below, below_at = written(large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")), "least", "lz4")
+        large, large_at, (n, _) = _edges(large, n)
+        below, below_at = written(large.groupBy("v").agg(F.min("u").alias("m"), F.count(F.lit(1)).alias("n")), "least", "lz4", n)
         # a node of one smaller neighbour keeps its edge; only the others are joined
         few = below.filter("n = 1").select("v", F.col("m").alias("u"))
         many = large.join(below.filter("n > 1").select("v", "m").hint("merge"), "v")
         small = many.filter("u > m").select(F.col("u").alias("v"), F.col("m").alias("u")).unionByName(many.select("v", F.col("m").alias("u")))
-        step, new, state = _edges(few.unionByName(small))
+        step, new, state = _edges(few.unionByName(small), 2 * n)
         remove(spark, path, low_at, large_at, below_at)
         now, path = step, new
         if state == seen:
@@ -42,15 +44,21 @@ def edge_components(edges: DataFrame) -> tuple[DataFrame, str]:
     raise RuntimeError(f"components did not settle in {MAX_ROUNDS} rounds")
 
 
-def _edges(edges: DataFrame) -> tuple[DataFrame, str, tuple]:
+def _edges(edges: DataFrame, rows: int | None) -> tuple[DataFrame, str, tuple]:
     """Distinct edges as a table, its folder, and a count and checksum of them taken while writing."""
     seen = Observation()
-    made, path = written(edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("v", "u") % F.lit(1 << 40)).alias("sum")), "edges", "lz4")
+    made, path = written(edges.distinct().observe(seen, F.count(F.lit(1)).alias("n"), F.sum(F.xxhash64("v", "u") % F.lit(1 << 40)).alias("sum")), "edges", "lz4", rows)
     got = seen.get
     return made, path, (got["n"], got["sum"])
 
 
 def connected_components(nodes: DataFrame, edges: DataFrame, node: str = "node") -> DataFrame:
-    """(node, component) for every row of ``nodes``; component is the smallest node reachable over edges (a, b)."""
-    found, _ = edge_components(edges)  # lives until the application ends: the result reads it lazily
-    return nodes.join(found.select(F.col("v").alias(node), F.col("u").alias("component")), node, "left").withColumn("component", F.coalesce("component", node))
+    """(node, component) for every row of ``nodes``; component is the smallest node reachable over edges (a, b).
+
+    The result is a table, and all others that led to it are removed.
+    """
+    found, path = edge_components(edges)
+    named = nodes.join(found.select(F.col("v").alias(node), F.col("u").alias("component")), node, "left")
+    result, _ = written(named.withColumn("component", F.coalesce("component", node)), "components")
+    remove(nodes.sparkSession, path)
+    return result

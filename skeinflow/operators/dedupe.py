@@ -3,7 +3,8 @@
 Similar titles are found by prefix filtering.  A pair counts only if the smaller token set shares at
 least ``least_shared`` tokens, so it must meet the larger one in one of its rarest tokens: those alone are
 joined, and very common words never are unless a title has nothing rarer.  Equal token sets are one
-title class, so a hot group of copies costs one row.
+title class, so a hot group of copies costs one row.  Address groups, classes and token frequencies are
+tables: each is made once and read by all that need it.
 """
 
 from __future__ import annotations
@@ -14,6 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions import text, urls
 from ..functions.terms import MIN_CONTAINED, MIN_JACCARD, MIN_SHARED
+from ..plans.storage import remove, written
 from .components import connected_components
 
 #: Share of the smaller set that any similar pair has in common: the lesser of the two conditions.
@@ -37,25 +39,36 @@ def title_classes(groups: DataFrame, *, compatibility: bool = True) -> DataFrame
     return own.join(firsts, "tokens").select("gid", "tokens", "class_id")
 
 
+def _sets(classes: DataFrame) -> DataFrame:
+    """One row per class: class_id, tokens and their number."""
+    return classes.filter(F.col("gid") == F.col("class_id")).select("class_id", "tokens", F.size("tokens").alias("n"))
+
+
 def token_frequency(classes: DataFrame) -> DataFrame:
     """In how many title classes each token occurs."""
-    sets = classes.filter(F.col("gid") == F.col("class_id"))
-    return sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    return _sets(classes).select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
 def shared_tokens(classes: DataFrame) -> DataFrame:
     """Pairs of title classes (a < b) that share at least what any similar pair must: overlap, sizes."""
-    sets = classes.filter((F.col("gid") == F.col("class_id")) & (F.size("tokens") >= MIN_SHARED)).select("class_id", "tokens", F.size("tokens").alias("n"))
-    placed = sets.select("class_id", "n", F.explode("tokens").alias("token")).join(token_frequency(classes), "token")
+    spark = classes.sparkSession
+    sets, sets_at = written(_sets(classes), "sets")
+    frequency, frequency_at = written(sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")), "frequency")
+    sets = sets.filter(F.col("n") >= MIN_SHARED)
+    placed = sets.select("class_id", "n", F.explode("tokens").alias("token")).join(frequency, "token")
     ordered = placed.groupBy("class_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("rare"))
-    rare = ordered.select("class_id", "n", F.explode(F.slice("rare", F.lit(1), F.col("n") - least_shared(F.col("n")) + 1)).alias("r")).select(F.col("class_id").alias("x"), F.col("n").alias("xn"), F.col("r.token").alias("token"))
+    # a token of one class meets no other
+    rare = ordered.select("class_id", "n", F.explode(F.slice("rare", F.lit(1), F.col("n") - least_shared(F.col("n")) + 1)).alias("r")).filter("r.df > 1")
+    rare = rare.select(F.col("class_id").alias("x"), F.col("n").alias("xn"), F.col("r.token").alias("token"))
     every = sets.select(F.col("class_id").alias("y"), F.col("n").alias("yn"), F.explode("tokens").alias("token"))
     met = rare.join(every, "token").filter((F.col("x") != F.col("y")) & (F.col("xn") <= F.col("yn")))
     pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
     left = sets.select(F.col("class_id").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("class_id").alias("b"), F.col("tokens").alias("tb"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("ta").alias("size_a"), F.size("tb").alias("size_b"), F.size(F.array_intersect("ta", "tb")).alias("overlap"))
-    return full.filter(F.col("overlap") >= least_shared(F.least("size_a", "size_b")))
+    found, _ = written(full.filter(F.col("overlap") >= least_shared(F.least("size_a", "size_b"))), "shared")
+    remove(spark, sets_at, frequency_at)
+    return found
 
 
 def similar(overlap: Column, a: Column, b: Column) -> Column:
@@ -69,18 +82,24 @@ def similar_titles(classes: DataFrame) -> DataFrame:
 
 def event_components(classes: DataFrame) -> DataFrame:
     """(gid, component): groups whose titles are linked by a chain of similar ones; smallest gid."""
+    classes, path = written(classes, "classes")
     nodes = classes.select("gid", "class_id", F.size("tokens").alias("n"))
     members = nodes.filter((F.col("n") >= MIN_SHARED) & (F.col("gid") != F.col("class_id"))).select(F.col("gid").alias("a"), F.col("class_id").alias("b"))
     edges = similar_titles(classes).select("a", "b").unionByName(members)
-    return connected_components(nodes.select("gid"), edges, "gid")
+    found = connected_components(nodes.select("gid"), edges, "gid")
+    remove(classes.sparkSession, path)
+    return found
 
 
 def clustered(articles: DataFrame, *, compatibility: bool = True) -> DataFrame:
-    """Articles with url, gid and component (the candidate event)."""
+    """Articles with url, gid and component (the candidate event), as a table."""
+    spark = articles.sparkSession
     keyed = articles.withColumn("url", urls.canonical(F.col("link")))
-    groups = keyed.groupBy("url").agg(F.min("seq").alias("gid"), F.min_by("title", "seq").alias("title"))
+    groups, path = written(keyed.groupBy("url").agg(F.min("seq").alias("gid"), F.min_by("title", "seq").alias("title")), "groups")
     found = event_components(title_classes(groups, compatibility=compatibility))
-    return keyed.join(groups.select("url", "gid"), "url").join(found, "gid")
+    result, _ = written(keyed.join(groups.select("url", "gid"), "url").join(found, "gid"), "clustered")
+    remove(spark, path)
+    return result
 
 
 __all__ = ["clustered", "event_components", "least_shared", "shared_tokens", "similar", "similar_titles", "title_classes", "token_frequency", "url_groups"]

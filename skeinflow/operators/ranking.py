@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import terms
-from ..plans.storage import written
+from ..plans.storage import remove, written
 
 FAR = "9999-12-31 00:00:00"
 #: Which article leads: the best tier, then the earliest (undated last), then arrival.
@@ -102,11 +102,14 @@ def numbered(found: DataFrame) -> DataFrame:
     ranges before, so no task sorts all events.
     """
     n = int(found.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    ranged, _ = written(found.repartitionByRange(n, F.desc("score"), "component").withColumn("_range", F.spark_partition_id()), "events")
+    ranged, path = written(found.repartitionByRange(n, F.desc("score"), "component").withColumn("_range", F.spark_partition_id()), "events")
     within = F.row_number().over(Window.partitionBy("_range").orderBy(F.desc("score"), "component"))
     sizes = ranged.groupBy("_range").agg(F.count(F.lit(1)).alias("_n"))
     before = sizes.select("_range", (F.sum("_n").over(Window.orderBy("_range")) - F.col("_n")).alias("_before"))  # one row a range
-    return ranged.withColumn("_within", within).join(F.broadcast(before), "_range").withColumn("event_id", (F.col("_within") + F.col("_before")).cast("long")).drop("_range", "_within", "_before")
+    named = ranged.withColumn("_within", within).join(F.broadcast(before), "_range").withColumn("event_id", (F.col("_within") + F.col("_before")).cast("long"))
+    result, _ = written(named.drop("_range", "_within", "_before"), "numbered")
+    remove(found.sparkSession, path)
+    return result
 
 
 def top_per_category(found: DataFrame, n: int = 35) -> DataFrame:

@@ -78,17 +78,22 @@ def kst_format(spark, sf):
 
 @query
 def parse_date_multi(spark, sf):
-    k, ts = F.col("event_id") % 10, F.col("ts").cast("timestamp")
+    ts = F.col("ts").cast("timestamp")
 
-    def shown(hours: int, pattern: str, tail: str) :
+    thursday = F.year(F.date_add(F.to_date(ts), 3 - F.weekday(ts))).cast("string")  # the year of an ISO week
+
+    def shown(hours: int, pattern: str, tail: str):
         return F.concat(F.date_format(ts + F.expr(f"INTERVAL {hours} HOURS"), pattern), F.lit(tail))
 
     spelled = [
         shown(9, "EEE, dd MMM yyyy HH:mm:ss", " +0900"), shown(0, "yyyy-MM-dd'T'HH:mm:ss", "Z"), shown(0, "yyyy-MM-dd HH:mm:ss", ""), shown(0, "yyyy/MM/dd HH:mm:ss", ""),
         shown(0, "yyyy.MM.dd HH:mm", ""), shown(0, "yyyy-MM-dd", ""), shown(0, "EEE, dd MMM yyyy HH:mm:ss", " GMT"), F.lit("not a date"),
-        shown(-5, "EEE, dd MMM yyyy HH:mm:ss", " EST"), shown(9, "yyyy-MM-dd'T'HH:mm:ss", "+0900"),
+        shown(-5, "EEE, dd MMM yyyy HH:mm:ss", " EST"), shown(9, "yyyy-MM-dd'T'HH:mm:ss", "+0900"), shown(0, "d MMM yy HH:mm:ss", " GMT"), shown(0, "EEE, dd MMM yy HH:mm:ss", " -0000"),
+        shown(0, "d MMMM yyyy HH:mm:ss", " UT"), shown(-7, "EEEE, dd-MMM-yy HH:mm:ss", " PDT"), shown(0, "EEE, dd MMM yyyy HH:mm:ss", " +09:00"), shown(0, "yyyyMMdd'T'HHmmss", "Z"),
+        shown(0, "yyyy-MM-dd'T'HH", ""), shown(0, "EEE, dd MMM yyyy HH:mm:ss", " GMT+0900"), shown(0, "EEE MMM d HH:mm:ss yyyy", ""), shown(9, "yyyy-MM-dd'T'HH:mm:ss", "+09"),
+        shown(9, "EEE, dd MMM yyyy HH:mm:ss", " +0900 (KST)"), F.concat(thursday, F.lit("-W"), F.lpad(F.weekofyear(ts).cast("string"), 2, "0"), F.lit("-"), (F.weekday(ts) + 1).cast("string")),
     ]
-    raw = F.element_at(F.array(*spelled), (k + 1).cast("int"))
+    raw = F.element_at(F.array(*spelled), (F.col("event_id") % len(spelled) + 1).cast("int"))
     return table(spark, sf, "events").select("event_id", F.coalesce(F.unix_seconds(dates.parse_date(raw)), F.lit(-1)).alias("epoch"))
 
 

@@ -202,7 +202,8 @@ _CTES = {
       UNION ALL SELECT report_id, 'warning' FROM declared WHERE links < greatest(counted, 1)""",
 }
 
-_SPELLED = "CASE event_id % 10 WHEN 3 THEN epoch_us(date_trunc('second', ts)) WHEN 4 THEN epoch_us(date_trunc('minute', ts)) WHEN 5 THEN epoch_us(date_trunc('day', ts)) WHEN 7 THEN NULL ELSE epoch_us(date_trunc('second', ts)) END"
+_SPELLED = """CASE event_id % 22 WHEN 4 THEN epoch_us(date_trunc('minute', ts)) WHEN 5 THEN epoch_us(date_trunc('day', ts)) WHEN 7 THEN NULL WHEN 16 THEN epoch_us(date_trunc('hour', ts))
+  WHEN 21 THEN epoch_us(date_trunc('day', ts)) ELSE epoch_us(date_trunc('second', ts)) END"""
 _OTHERS = "list_filter(o.sources, lambda s: s <> l.source_name)"
 _LINE = f"""'- [' || event_id || '] ' || title || ' | ' || coalesce({_kst('published', '%m-%d %H:%M')}, '시각 확인 불가') || ' | ' || source_name || '(T' || tier || ')' || CASE WHEN len(topics) > 0 THEN ' | 주제: ' || array_to_string(topics, ', ') ELSE '' END || ' | ' || link
   || CASE WHEN summary <> '' THEN chr(10) || '    · ' || substr(summary, 1, 180) ELSE '' END

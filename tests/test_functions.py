@@ -1,6 +1,6 @@
 """Scalar functions on hand-written cases."""
 
-from datetime import datetime
+from datetime import datetime, timedelta, timezone
 
 import pytest
 from pyspark.sql import functions as F
@@ -23,6 +23,9 @@ def one(spark, value, make, kind="string"):
         ("https://e.com/p?&&x=%zz", "https://e.com/p?x=%25zz"),
         ("https://wwwx.e.com/?ref=1", "https://wwwx.e.com/"),
         ("", ""),
+        ("https://a.com/x\ty\n?b=1", "https://a.com/xy?b=1"),
+        ("https:///x", "https:///x"),
+        ("mailto:a@b.c", "mailto:a@b.c"),
     ],
 )
 def test_canonical_url(spark, url, want):
@@ -52,6 +55,39 @@ def test_parse_date(spark, raw, want):
     assert got == (want.replace(".250000", ".25") if want else None)
 
 
+MAIL = [
+    "10 Sep 26 07:00:00 GMT", "Thu, 10 Sep 26 07:00:00 +0900", "10 September 2026 07:00:00 GMT", "Thursday, 10-Sep-26 07:00:00 GMT", "Thu, 10 Sep 2026 07:00:00 +09:00",
+    "Thu, 10 Sep 2026 07:00:00 GMT+0900", "Thu Sep 10 07:00:00 2026", "Thu, 10 Sep 2026 07:00:00 +0900 (KST)", "Thu, 10 Sep 2026 07:00 PST", "10 sep 1999 7:05:09 EDT",
+    "Thu,10 Sep 2026 07:00:00 -0330", "Thu, 10 Sep 68 07:00:00 Z", "Thu, 10 Sep 69 07:00:00 Z", "Sep 10, 2026 07:00:00 EST", "Thu, Sep 10 2026 07:00:00", "Thu Sep 10 07:00:00 EST 2026",
+    "10 Sep 2026 07:00:00+0900", "Thu, 10 Sep 2026 07:00:00 -0000", "Thu, 10 Sep 2026 07:00:00 XYZ", "29 Feb 2024 00:00:00 UT",
+]
+NO_MAIL = ["30 Feb 2026 07:00:00 GMT", "10 Sept 2026 07:00:00 GMT", "10 Sep 2026 25:00:00 GMT", "10 Sep 2026", "2026 Sep 10", "Thu, 10 Sep 2026 07:61:00 GMT", "hello there my old friend"]
+ISO = [
+    "20260910T070000Z", "2026-09-10T07", "2026-W37-4", "2026-W37", "2026W374T0730", "2026-09-10T07:00:00+09", "2026-09-10T07:00:00.1234567+09:00", "2026-09-10 07:00:00,5", "20260910", "2026-09-10T07:00:00-03:30",
+    "2020-W53-7", "2026-09-10T070000+0900", "2026-09-10T07:00:00 +0900",
+]
+NO_ISO = ["2026-13-01", "2026-02-30T00:00", "2025-W53-1", "2026-W00-1", "2026-W37-8", "2026-09-10T24:30", "26-09-10", "2026-09", "202609"]
+
+
+def test_parse_date_agrees_with_the_standard_library(spark):
+    from email.utils import parsedate_to_datetime
+
+    def utc(d):
+        return (d if d.tzinfo else d.replace(tzinfo=timezone.utc)).astimezone(timezone.utc).replace(tzinfo=None)
+
+    want = {r: utc(parsedate_to_datetime(r)) for r in MAIL} | {r: utc(datetime.fromisoformat(r)) for r in ISO} | dict.fromkeys(NO_MAIL + NO_ISO)
+    want |= {"2026-9-1 7:00:05": datetime(2026, 9, 1, 7, 0, 5), "2026/9/1 07:00:00": datetime(2026, 9, 1, 7), "2026.9.1 7:00": datetime(2026, 9, 1, 7), "2026-9-1": datetime(2026, 9, 1), " 2026-09-10T07 ": datetime(2026, 9, 10, 7)}
+    for r in NO_MAIL:
+        with pytest.raises(ValueError):
+            parsedate_to_datetime(r)
+    for r in NO_ISO:
+        with pytest.raises(ValueError):
+            datetime.fromisoformat(r)
+    rows = spark.createDataFrame([(r,) for r in want], "raw string").select("raw", F.unix_micros(dates.parse_date(F.col("raw"))).alias("at")).collect()
+    got = {r["raw"]: None if r["at"] is None else datetime(1970, 1, 1) + timedelta(microseconds=r["at"]) for r in rows}
+    assert got == want
+
+
 @pytest.mark.parametrize(
     ("now", "start"),
     [
