@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..plans.storage import new_path, remove, shared_dir, written
+from ..plans.storage import Tables, new_path, remove, shared_dir, written
 
 U64 = np.uint64
 #: Bytes of a span from which the library's digest is faster than eight bytes at a time.
@@ -155,4 +155,4 @@ def doc_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return docs.select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
 
 
-__all__ = ["blocks", "byte_lengths", "doc_text", "flat", "hash_spans", "lanes", "local_tasks", "mix", "new_path", "ranges", "remove", "rolling", "same_spans", "shared_dir", "table", "written"]
+__all__ = ["Tables", "blocks", "byte_lengths", "doc_text", "flat", "hash_spans", "lanes", "local_tasks", "mix", "new_path", "ranges", "remove", "rolling", "same_spans", "shared_dir", "table", "written"]

@@ -9,9 +9,9 @@ from pyspark.sql import functions as F
 from ..operators.components import edge_components
 
 
-def components(edges: DataFrame) -> tuple[DataFrame, str]:
-    """(node, component) for all nodes that ``edges`` (a, b) names, and the folder to remove after use."""
-    found, path = edge_components(edges)
+def components(edges: DataFrame, rows: int | None = None) -> tuple[DataFrame, str]:
+    """(node, component) for all nodes that ``edges`` (a, b; at most ``rows``) names, and the folder to remove after use."""
+    found, path = edge_components(edges, rows)
     return found.select(F.col("v").alias("node"), F.col("u").alias("component")), path
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import remove, table, written
+from .common import Tables, remove, table, written
 from .graph import components
 from .near_dup import _cells, _grouped, led_cells
 
@@ -448,23 +448,18 @@ def copies(images: DataFrame, *, id_col: str = "image_id", image_col: str = "ima
     id, and such rows are kept.  Other columns are not read.
     """
     spark = images.sparkSession
-    paths: list[str] = []
+    tables = Tables(spark)
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        df, path = written(df, name)
-        paths.append(path)
-        return df
-
-    def connected(edges: DataFrame) -> DataFrame:
-        found, path = components(edges)
-        paths.append(path)
+    def connected(edges: DataFrame, rows: int) -> DataFrame:
+        found, path = components(edges, rows)
+        tables.paths.append(path)
         return found
 
     full, full_at = written(features(images, id_col, image_col, pixels), "pictures")
     classes = full.filter("d1 is not null").groupBy("d1", "d2").agg(F.min("image_id").alias("first_id"), F.first("points").alias("points"), F.first("words").alias("words"))
     # the table is written once, so its numbers name the classes from here on
-    reps = keep(classes.withColumn("rep", F.monotonically_increasing_id()), "picture_classes")
-    feats = keep(full.select("image_id", "n_corners", "error", "d1", "d2"), "pictures")
+    reps, n = tables.keep(classes.withColumn("rep", F.monotonically_increasing_id()), "picture_classes")
+    feats, _ = tables.keep(full.select("image_id", "n_corners", "error", "d1", "d2"), "pictures")
     remove(spark, full_at)
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -477,30 +472,30 @@ def copies(images: DataFrame, *, id_col: str = "image_id", image_col: str = "ima
                 yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(rep, TABLES)), pa.array(np.repeat(check, TABLES))], ["key", "rep", "check"])
 
     keys = reps.select("rep", "words").mapInArrow(keyed, "key int, rep long, check long")
-    hot = keep(keys.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > block), "hot")
+    hot, _ = tables.keep(keys.select("key").groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > block), "hot")
     dealt = _cells(keys.join(hot, "key", "left").withColumn("members", F.coalesce("members", F.lit(1))), "key", "members", "rep", block)
-    first = keep(first_votes(dealt.repartition("key", "cell").sortWithinPartitions("key", "cell")), "votes")
-    lead = keep(first.filter("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n")), "votes")
+    first, n_first = tables.keep(first_votes(dealt.repartition("key", "cell").sortWithinPartitions("key", "cell")), "votes")
+    lead, n_lead = tables.keep(first.filter("b is not null").groupBy("a", "b").agg(F.sum("n").alias("n")), "votes", rows=n_first)
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        tasks, path = led_cells(pairs.select(F.least("a", "b").alias("key"), F.greatest("a", "b").alias("rep")), block)
-        paths.append(path)
+    def verify(pairs: DataFrame, rows: int) -> tuple[DataFrame, int]:
+        tasks, rows = led_cells(tables, pairs.select(F.least("a", "b").alias("key"), F.greatest("a", "b").alias("rep")), rows, block)
         shown = tasks.join(reps.select("rep", "points", "words").hint("merge"), "rep")
-        return verified(shown.repartition("key", "cell").sortWithinPartitions("key", "cell"))
+        return verified(shown.repartition("key", "cell").sortWithinPartitions("key", "cell")), rows
 
-    links = connected(verify(lead.filter(F.col("n") >= SEEN)))
+    links = connected(*verify(lead.filter(F.col("n") >= SEEN), n_lead))
     label = links.select(F.col("node").alias("rep"), F.col("component").alias("label"))
     left = first.filter("b is null").select("key", "cell", "side", F.col("a").alias("rep"), "check").join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-    others = keep(other_votes(left.repartition("key", "cell").sortWithinPartitions("key", "cell")), "votes")
+    others, n_others = tables.keep(other_votes(left.repartition("key", "cell").sortWithinPartitions("key", "cell")), "votes", rows=n_first)
     both = others.withColumn("new", F.lit(1)).unionByName(lead.select("a", "b", F.col("n").cast("int").alias("n"), F.lit(0).alias("new")))
     pairs = both.groupBy("a", "b").agg(F.sum("n").alias("n"), F.max("new").alias("new")).filter((F.col("n") >= SEEN) & (F.col("new") == 1))
-    linked = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verify(pairs)))
+    more, rows = verify(pairs, n_others)
+    linked = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), n + rows)
     grouped = reps.select("rep", "d1", "d2", "first_id").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    by_group = keep(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")), "groups")
+    by_group, _ = tables.keep(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")), "groups", rows=n)
     by_class = grouped.join(by_group.hint("merge"), "component").select("d1", "d2", "component_id", F.lit(True).alias("found"))
     out = feats.join(by_class, ["d1", "d2"], "left").select("image_id", "n_corners", "error", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("image_id")).alias("component_id"))
     result, _ = written(out.withColumn("kept", F.col("image_id").eqNullSafe(F.col("component_id"))), "picture_copies")
-    remove(spark, *paths)
+    tables.remove()
     return result
 
 

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import U64, blocks, doc_text, flat, hash_spans, mix, remove, table, written
+from .common import Tables, U64, blocks, doc_text, flat, hash_spans, mix, table, written
 from .graph import components, labels
 
 #: MinHash functions of a signature; 16 bits of each are kept.
@@ -379,17 +379,17 @@ def _linked(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray],
     return both > 0 and 100 * both >= percent * (len(a[0]) + len(b[0]) - both)
 
 
-def led_cells(pairs: DataFrame, block: int) -> tuple[DataFrame, str]:
+def led_cells(tables: Tables, pairs: DataFrame, rows: int, block: int) -> tuple[DataFrame, int]:
     """Cells (key, cell) of one leader (side 1) and about ``block`` of the others that it meets (side 2).
 
-    ``pairs`` holds (key, rep): a leader and another.  Rows grow with the pairs only.  The second value is a
-    folder to remove after use.
+    ``pairs`` holds at most ``rows`` of (key, rep): a leader and another.  What comes out grows with the pairs
+    only; the second value is a bound on its rows.
     """
-    pairs, path = written(pairs.distinct(), "pairs")
+    pairs, n = tables.keep(pairs.distinct(), "pairs", rows=rows)
     hot = pairs.groupBy("key").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > block)
     cells = F.ceil(F.coalesce("n", F.lit(1)) / block).cast("int")
     others = pairs.join(hot, "key", "left").select("key", F.pmod(F.xxhash64("rep"), cells).cast("int").alias("cell"), "rep", F.lit(2).alias("side"))
-    return others.unionByName(others.select("key", "cell", F.col("key").alias("rep"), F.lit(1).alias("side")).distinct()), path
+    return others.unionByName(others.select("key", "cell", F.col("key").alias("rep"), F.lit(1).alias("side")).distinct()), 2 * n
 
 
 def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -405,31 +405,27 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
     """
     spark: SparkSession = docs.sparkSession
     own = doc_text(docs, id_col, text_col).withColumn("key", F.xxhash64("doc_id", "text"))
-    feats, feats_at = written(features(own, rule), "features")
+    tables = Tables(spark)
+    feats, n = tables.keep(features(own, rule), "features")
     classes = feats.filter("n_shingles > 0").groupBy("d1", "d2", "n_shingles").agg(F.min("doc_id").alias("first_id"), F.min("key").alias("key"), F.first("sig").alias("sig"))
     # the table is written once, so its numbers name the classes from here on
-    reps, reps_at = written(classes.withColumn("rep", F.monotonically_increasing_id()), "classes")
-    rows, paths = rule.rows, [feats_at, reps_at]
+    reps, n = tables.keep(classes.withColumn("rep", F.monotonically_increasing_id()), "classes", rows=n)
+    bands = HASHES // rule.rows
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys = band_keys(_matrix(batch.column("sig")), rows)
+            keys = band_keys(_matrix(batch.column("sig")), rule.rows)
             yield pa.RecordBatch.from_arrays([pa.array(keys.ravel()), pa.array(np.repeat(batch.column("rep").to_numpy(), keys.shape[1]))], ["key", "rep"])
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        df, path = written(df, name)
-        paths.append(path)
-        return df
-
-    def connected(edges: DataFrame) -> DataFrame:
-        found, path = components(edges)
-        paths.append(path)
+    def connected(edges: DataFrame, rows: int | None = None) -> DataFrame:
+        found, path = components(edges, rows)
+        tables.paths.append(path)
         return found
 
     keys = reps.select("rep", "sig").mapInArrow(keyed, "key long, rep long")
     # written first: Spark splits a skewed join only between plain exchanges, not after an aggregate of its key
-    shared = keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "bands")
-    buckets = keep(keys.join(shared.hint("merge"), "key"), "buckets")
+    shared, n_shared = tables.keep(keys.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1"), "bands", rows=n * bands)
+    buckets, n_buckets = tables.keep(keys.join(shared.hint("merge"), "key"), "buckets", rows=n * bands)
     signed = reps.select("rep", "n_shingles", "sig")
 
     def verify(tasks: DataFrame, label: DataFrame) -> DataFrame:
@@ -448,48 +444,46 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
         return one.select(F.least("a", "b").alias("key"), F.greatest("a", "b").alias("rep"))
 
     # leaders of single documents
-    named = keep(led(buckets.withColumn("label", F.col("rep"))), "leaders")
+    named, n_named = tables.keep(led(buckets.withColumn("label", F.col("rep"))), "leaders", rows=n_buckets)
     # in a bucket of several blocks a member may meet its first survivor only later on
     candidates = named.select(F.explode(F.array("a", "b")).alias("rep")).unionByName(buckets.filter(F.col("members") > rule.block).select("rep")).distinct()
     wanted = reps.select("rep", "key", "sig").join(candidates, "rep")
     texts = own.select("key", "text").join(wanted.hint("merge"), "key").dropDuplicates(["rep"]).select("rep", "text", "sig")
-    texts = keep(texts, "texts")
+    texts, n_texts = tables.keep(texts, "texts")
     none = spark.createDataFrame([], "rep long, label long")
-    tasks, path = led_cells(best(named), rule.block)
-    paths.append(path)
-    links = connected(verify(tasks, none))
+    tasks, rows = led_cells(tables, best(named), n_named, rule.block)
+    links = connected(verify(tasks, none), rows)
     label = links.select(F.col("node").alias("rep"), F.col("component").alias("label"))
 
-    def still_open(label: DataFrame) -> DataFrame:
+    def still_open(label: DataFrame) -> tuple[DataFrame, int]:
         """Members of the buckets that hold more than one class so far."""
         own = buckets.join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        several = keep(own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key"), "several")
-        return keep(own.join(several.hint("merge"), "key"), "open")
+        several, _ = tables.keep(own.groupBy("key").agg(F.min("label").alias("low"), F.max("label").alias("high")).filter("low < high").select("key"), "several", rows=n_buckets)
+        return tables.keep(own.join(several.hint("merge"), "key"), "open", rows=n_buckets)
 
-    left = still_open(label)
+    left, n_left = still_open(label)
     # a round with one member per class and bucket, where that is more than a task holds
     classes_of = left.groupBy("key", "label").agg(F.min("rep").alias("rep"))
-    many = classes_of.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > rule.block)
-    if many.limit(1).count():
-        again = keep(led(classes_of.join(keep(many, "many").hint("merge"), "key")), "leaders")
-        tasks, path = led_cells(best(again), rule.block)
-        paths.append(path)
-        links = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verify(tasks, label)))
+    many, n_many = tables.keep(classes_of.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > rule.block), "many", rows=n_left)
+    if n_many:
+        again, n_again = tables.keep(led(classes_of.join(many.hint("merge"), "key")), "leaders", rows=n_left)
+        tasks, rows = led_cells(tables, best(again), n_again, rule.block)
+        links = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verify(tasks, label)), n_texts + rows)
         label = links.select(F.col("node").alias("rep"), F.col("component").alias("label"))
-        left = still_open(label)
+        left, n_left = still_open(label)
     # every pair of different classes that share a bucket
     cells = _cells(left.join(signed.hint("merge"), "rep"), "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
-    groups = connected(candidate_stars(cells, rule)).select(F.col("node").alias("rep"), F.col("component").alias("key"))
+    groups = connected(candidate_stars(cells, rule), n_left).select(F.col("node").alias("rep"), F.col("component").alias("key"))
     sized = groups.join(groups.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "key")
     more = verify(_cells(sized, "key", "members", "rep", rule.block), label)
-    linked = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more))
+    linked = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), 2 * n_texts)
     grouped = reps.select("rep", "d1", "d2", "n_shingles", "first_id").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    by_group = keep(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")), "groups")
+    by_group, _ = tables.keep(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")), "groups", rows=n)
     by_set = grouped.join(by_group.hint("merge"), "component").select("d1", "d2", "n_shingles", "component_id", F.lit(True).alias("found"))
     out = feats.select("doc_id", "n_shingles", "d1", "d2").join(by_set, ["d1", "d2", "n_shingles"], "left")
     out = out.select("doc_id", "n_shingles", F.when(F.col("found"), F.col("component_id")).otherwise(F.col("doc_id")).alias("component_id"))
     result, _ = written(out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id"))), "near_duplicates")
-    remove(spark, *paths)
+    tables.remove()
     return result
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, blocks, flat, hash_spans, lanes, remove, rolling, table, written
+from .common import Tables, U64, blocks, flat, hash_spans, lanes, remove, rolling, table, written
 from .near_dup import _grouped
 
 LENGTH = 200
@@ -297,51 +297,48 @@ def repeated_windows(rows: DataFrame, *, length: int = LENGTH, gram: int = GRAM,
 
     The second value: folders to remove after use.
     """
-    spark = rows.sparkSession
+    spark, tables = rows.sparkSession, Tables(rows.sparkSession)
     cells, cells_at = written(row_cells(rows, length, gram), "cells")
     # written first: Spark splits a skewed join only between plain exchanges, not after an aggregate of its key
     often, often_at = written(cells.groupBy("anchor").agg(F.count(F.lit(1)).alias("n")).filter("n > 1").select("anchor"), "anchors")
-    shared, shared_at = written(cells.join(often.hint("merge"), "anchor"), "shared")
+    shared, n_shared = tables.keep(cells.join(often.hint("merge"), "anchor"), "shared")
     remove(spark, cells_at, often_at)
     each = shared.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.min(F.struct("key", "at")).alias("one"), F.first("windows").alias("windows"), F.first("off").alias("off"))
-    each, each_at = written(each, "contexts")
-    paths = [shared_at, each_at]
+    each, n_each = tables.keep(each, "contexts", rows=n_shared)
 
-    def keep(df: DataFrame, name: str) -> DataFrame:
-        df, path = written(df, name)
-        paths.append(path)
-        return df
+    def several(contexts: DataFrame, n: int) -> DataFrame:
+        return tables.keep(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).filter("different > 1"), "several", rows=n)[0]
 
-    def several(contexts: DataFrame) -> DataFrame:
-        return keep(contexts.groupBy("anchor").agg(F.count(F.lit(1)).alias("different")).filter("different > 1"), "several")
-
-    counted = several(each)
+    counted = several(each, n_each)
     cuts = each.join(counted.hint("merge"), "anchor").select(F.col("one.key").alias(_KEY), F.struct("anchor", "ctx", F.col("one.at").alias("at"), "windows", "off", "different").alias("c"))
     cuts = cuts.groupBy(_KEY).agg(F.collect_list("c").alias("cut"))
     one_each = rows.select(_KEY, _TEXT).join(cuts.hint("merge"), _KEY)
-    contexts = keep(cut_contexts(one_each, length).dropDuplicates(["anchor", "ctx"]), "cut")
-    marked = keep(marked_contexts(contexts.filter(F.col("different") <= block), length), "marked")
+    contexts, n_cut = tables.keep(cut_contexts(one_each, length).dropDuplicates(["anchor", "ctx"]), "cut", rows=n_each)
+    marked, _ = tables.keep(marked_contexts(contexts.filter(F.col("different") <= block), length), "marked")
     mask = ["anchor", "ctx", "shift", "windows", "mask"]
     none = F.lit(None).cast("binary").alias("mask")
     once = each.filter("n = 1").select("anchor", "ctx", F.lit(0).alias("shift"), "windows")
     found = each.filter("n > 1").select("anchor", "ctx", F.lit(0).alias("shift"), "windows", none).unionByName(marked.join(once, ["anchor", "ctx"]).select(mask))
     # anchors of too many contexts: halves of their windows by longer cores, until no group is too large
-    hot, spread = contexts.filter(F.col("different") > block), [(0, length - gram + 1)]
-    while any(b - a > 1 for a, b in spread) and hot.limit(1).count():
+    hot, n = tables.keep(contexts.filter(F.col("different") > block), "hot", rows=n_cut)
+    spread = [(0, length - gram + 1)]
+    while n and any(b - a > 1 for a, b in spread):
         spread = [(x, y) for a, b in spread for x, y in ((a, (a + b) // 2), ((a + b) // 2, b)) if y > x]
-        sub = keep(halves(hot, length, spread), "halves")
-        own = keep(sub.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("root_anchor").alias("root_anchor"), F.first("root_ctx").alias("root_ctx"), F.first("shift").alias("shift"), F.first("windows").alias("windows")), "contexts")
+        sub, n = tables.keep(halves(hot, length, spread), "halves", rows=2 * n)
+        own = sub.groupBy("anchor", "ctx").agg(F.count(F.lit(1)).alias("n"), F.first("root_anchor").alias("root_anchor"), F.first("root_ctx").alias("root_ctx"), F.first("shift").alias("shift"), F.first("windows").alias("windows"))
+        own, _ = tables.keep(own, "contexts", rows=n)
         root = [F.col("root_anchor").alias("anchor"), F.col("root_ctx").alias("ctx"), "shift", "windows"]
         found = found.unionByName(sub.join(own.filter("n > 1").select("anchor", "ctx").hint("merge"), ["anchor", "ctx"]).select(*root, none))
-        counted = several(own)
-        apart = keep(sub.drop("different").join(counted.hint("merge"), "anchor").dropDuplicates(["anchor", "ctx"]).select(*[f.split()[0] for f in CUT.split(", ")]), "cut")
-        marked = keep(marked_contexts(apart.filter(F.col("different") <= block), length), "marked")
+        counted = several(own, n)
+        apart = sub.drop("different").join(counted.hint("merge"), "anchor").dropDuplicates(["anchor", "ctx"]).select(*[f.split()[0] for f in CUT.split(", ")])
+        apart, n = tables.keep(apart, "cut", rows=n)
+        marked, _ = tables.keep(marked_contexts(apart.filter(F.col("different") <= block), length), "marked", rows=n)
         found = found.unionByName(marked.join(own.filter("n = 1"), ["anchor", "ctx"]).select(*root, "mask"))
-        hot = apart.filter(F.col("different") > block)
+        hot, n = tables.keep(apart.filter(F.col("different") > block), "hot", rows=n)
     found = found.withColumnRenamed("windows", "marked")
     at = F.struct((F.col("at") + F.col("shift")).alias("at"), F.col("marked").alias("windows"), "mask")
     marks = shared.join(found.hint("merge"), ["anchor", "ctx"]).groupBy("key").agg(F.collect_list(at).alias("marks"))
-    return marks.withColumnRenamed("key", _KEY), paths
+    return marks.withColumnRenamed("key", _KEY), tables.paths
 
 
 def removed_spans(marks: pa.StructArray | None, length: int) -> list[tuple[int, int]]:
