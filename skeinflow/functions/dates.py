@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .terms import LABEL_CLOSE
+
 # Zone names of RFC 822 and their offsets; others count as UTC.
 ZONES = {
     "UT": "+0000", "UTC": "+0000", "GMT": "+0000", "Z": "+0000", "EST": "-0500", "EDT": "-0400",
@@ -122,6 +124,13 @@ def last_close(now: Column) -> Column:
     return F.filter(tried, lambda c: (c["at"] < now) & (c["weekday"] < 5))[0]["at"]
 
 
+def close_label(close: Column) -> Column:
+    """Words for a window that begins at a market close: its day, hour and New York's zone then."""
+    local = F.from_utc_timestamp(close, NEW_YORK)
+    summer = (F.unix_seconds(local) - F.unix_seconds(close)) == -4 * 3600
+    return F.concat(F.lit(LABEL_CLOSE[0]), F.date_format(local, "yyyy-MM-dd HH:mm"), F.when(summer, " EDT").otherwise(" EST"), F.lit(LABEL_CLOSE[1]))
+
+
 def window_start(now: Column) -> Column:
     """The earlier of a day before ``now`` and the last market close."""
     return F.least(now - F.expr("INTERVAL 24 HOURS"), last_close(now))

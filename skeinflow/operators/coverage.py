@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.dates import seoul
+from ..functions.dates import close_label, seoul
+from ..functions.terms import LABEL_DAY, NO_ITEMS
 
 
 def feed_status(feeds: DataFrame, articles: DataFrame) -> DataFrame:
@@ -29,7 +30,7 @@ def feed_health(feeds: DataFrame, articles: DataFrame) -> DataFrame:
     return base.join(got, "name", "left").select(
         "category", "name", "url", "tier", F.col("blocked_reason").isNotNull().alias("candidate"), "blocked_reason",
         (F.col("error").isNull() & (n > 0)).alias("ok"), n.alias("articles"), F.when(F.col("error").isNull(), F.col("latest")).alias("latest"),
-        F.coalesce(F.col("error"), F.when(n == 0, "항목 0건")).alias("error"),
+        F.coalesce(F.col("error"), F.when(n == 0, NO_ITEMS)).alias("error"),
     )
 
 
@@ -44,6 +45,22 @@ def exit_code(health: DataFrame, *, any_failure: bool = False) -> int:
     return int(not bad.isEmpty())
 
 
+def health_lines(health: DataFrame) -> DataFrame:
+    """(part, category, name, text): feeds that are ok, then those that fail, each by category and name; the counts last."""
+    good, back = F.col("ok"), F.col("ok") & F.col("candidate")
+    where = F.concat(F.lit(" ["), "category", F.lit("] "), "name")
+    fine = F.concat(F.lit("  "), F.when(F.col("candidate"), "복구!").otherwise("OK   "), where, F.lit("  ("), F.col("articles").cast("string"), F.lit("건, 최신 "), F.coalesce(seoul(F.col("latest")), F.lit("None")), F.lit(")"))
+    why = F.when(F.col("blocked_reason").isNotNull(), F.concat(F.lit(" ("), "blocked_reason", F.lit(")"))).otherwise("")
+    bad = F.concat(F.lit("  FAIL"), where, why, F.lit("  "), "url", F.lit("\n         → "), "error")
+    own = health.select(F.when(good, 0).otherwise(1).alias("part"), "category", "name", F.when(good, fine).otherwise(bad).alias("text"))
+    n = health.agg(F.count(F.lit(1)).alias("all"), F.count_if(good).alias("good"), F.array_sort(F.collect_list(F.when(back, F.struct("category", "name")))).alias("back"))
+    listed = F.array_join(F.transform("back", lambda r: F.concat(F.lit("  - ["), r["category"], F.lit("] "), r["name"])), "\n")
+    total = F.concat(F.lit("정상 "), F.col("good").cast("string"), F.lit("/"), F.col("all").cast("string"), F.lit(" · 실패 "), (F.col("all") - F.col("good")).cast("string"))
+    recovered = F.when(F.size("back") > 0, F.concat(F.lit("\n\n후보 피드 "), F.size("back").cast("string"), F.lit("개가 이 네트워크에서는 살아납니다. sources.json의 candidate_feeds에서 feeds로 옮기세요:\n"), listed)).otherwise("")
+    nothing = F.lit(None).cast("string")
+    return own.unionByName(n.select(F.lit(2).alias("part"), nothing.alias("category"), nothing.alias("name"), F.concat(total, recovered).alias("text"))).orderBy("part", "category", "name")
+
+
 def failed_feeds(status: DataFrame) -> DataFrame:
     """Names of the failed feeds of each category that has any."""
     return status.filter(~F.col("ok")).groupBy("category").agg(F.array_join(F.array_sort(F.collect_list("name")), ", ").alias("failed"))
@@ -72,7 +89,7 @@ def run_meta(status: DataFrame, fetched: DataFrame, in_window: DataFrame, events
     window = in_window.agg(F.count(F.lit(1)).alias("articles_in_window"), F.count_if(F.col("published").isNull()).alias("articles_undated"), F.max("published").alias("latest"))
     clusters = events.agg(F.count(F.lit(1)).alias("clusters"))
     one = feeds.crossJoin(rows).crossJoin(window).crossJoin(clusters)  # four single rows
-    label = F.when(start < now - F.expr("INTERVAL 24 HOURS"), "last close").otherwise("24 hours")
+    label = F.when(start < now - F.expr("INTERVAL 24 HOURS"), close_label(start)).otherwise(LABEL_DAY)
     return one.select(
         seoul(start).alias("window_start_kst"), seoul(now).alias("window_end_kst"), label.alias("window_label"), "feeds_total", "feeds_ok", "articles_fetched",
         "articles_in_window", "articles_undated", "clusters", seoul(F.col("latest")).alias("latest_article_kst"),

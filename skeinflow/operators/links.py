@@ -8,9 +8,10 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.terms import GONE, UNVERIFIABLE, VERDICT_BROKEN, VERDICT_OK, VERDICT_UNKNOWN
+from ..functions.terms import GONE, LINK, LINK_BLOCKED, LINK_GONE, LINKS_BROKEN, LINKS_UNVERIFIED, NO_LINKS, UNVERIFIABLE, VERDICT_BROKEN, VERDICT_OK, VERDICT_UNKNOWN
 
-LINK = r"\[([^\]]{1,200})\]\((https?://[^\s)]+)\)"
+#: Who asks, for servers that refuse requests without it.
+USER_AGENT = "Mozilla/5.0 (compatible; skeinflow/1.0)"
 
 
 def extract_links(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
@@ -21,7 +22,7 @@ def extract_links(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
 
 def link_verdicts(attempts: DataFrame) -> DataFrame:
-    """(url, status, verdict, detail) of attempts (url, method HEAD or GET, status, exception).
+    """(url, status, verdict, detail) of attempts (url, method HEAD or GET, status, exception); an ``ord`` is kept.
 
     A success or proof of absence ends the probing; otherwise GET follows HEAD and its outcome counts.
     """
@@ -30,16 +31,17 @@ def link_verdicts(attempts: DataFrame) -> DataFrame:
     gone = F.col("exception").isNull() & F.col("status").isin(*GONE)
     tried = attempts.withColumn("_end", ok | gone).withColumn("_order", order)
     # the first attempt that ends the probing, else the last one
-    last = tried.groupBy("url").agg(F.min_by(F.struct("status", "exception", "_end"), F.when(F.col("_end"), F.col("_order")).otherwise(9 - F.col("_order"))).alias("a"), F.max_by("status", F.when(F.col("status").isNotNull(), F.col("_order"))).alias("any_status"))
+    place = [F.min("ord").alias("ord")] if "ord" in attempts.columns else []
+    last = tried.groupBy("url").agg(*place, F.min_by(F.struct("status", "exception", "_end"), F.when(F.col("_end"), F.col("_order")).otherwise(9 - F.col("_order"))).alias("a"), F.max_by("status", F.when(F.col("status").isNotNull(), F.col("_order"))).alias("any_status"))
     status, exception = F.col("a.status"), F.col("a.exception")
     verdict = F.when(F.col("a._end") & status.isin(*GONE), VERDICT_BROKEN).when(F.col("a._end"), VERDICT_OK).otherwise(VERDICT_UNKNOWN)
     detail = (
         F.when(exception.isNotNull(), F.substring(exception, 1, 120))
-        .when(status.isin(*GONE), F.concat(F.lit("HTTP "), status.cast("string"), F.lit(" — 링크가 존재하지 않음")))
-        .when(status.isin(*UNVERIFIABLE), F.concat(F.lit("HTTP "), status.cast("string"), F.lit(" — 접근 차단 또는 유료벽으로 본문 확인 불가")))
+        .when(status.isin(*GONE), F.concat(F.lit("HTTP "), status.cast("string"), F.lit(LINK_GONE)))
+        .when(status.isin(*UNVERIFIABLE), F.concat(F.lit("HTTP "), status.cast("string"), F.lit(LINK_BLOCKED)))
         .when(~F.col("a._end"), F.concat(F.lit("HTTP "), status.cast("string")))
     )
-    return last.select("url", F.when(exception.isNull(), status).otherwise(F.col("any_status")).alias("status"), verdict.alias("verdict"), detail.alias("detail"))
+    return last.select(*(["ord"] if place else []), "url", F.when(exception.isNull(), status).otherwise(F.col("any_status")).alias("status"), verdict.alias("verdict"), detail.alias("detail"))
 
 
 def link_summary(verdicts: DataFrame) -> DataFrame:
@@ -52,8 +54,29 @@ def exit_code(verdicts: DataFrame) -> int:
     return int(row[0] == 0 or row[1] > 0)
 
 
+def link_lines(verdicts: DataFrame) -> DataFrame:
+    """(part, ord, text): what a reader is told: good links, unverified ones, broken ones, the counts and advice.
+
+    ``verdicts`` may have an ``ord`` for the order of its links.
+    """
+    ord_ = F.col("ord") if "ord" in verdicts.columns else F.lit(0)
+    part = F.when(F.col("verdict") == VERDICT_OK, 0).when(F.col("verdict") == VERDICT_UNKNOWN, 1).otherwise(2)
+    why = F.concat(F.lit("\n            → "), F.coalesce("detail", F.lit("None")))
+    told = F.concat(F.lit("  "), F.rpad("verdict", 5, " "), F.lit(" "), F.col("url"), F.when(part > 0, why).otherwise(""))
+    own = verdicts.select(part.alias("part"), ord_.cast("long").alias("ord"), told.alias("text"))
+    n = {v: F.count_if(F.col("verdict") == v) for v in (VERDICT_OK, VERDICT_UNKNOWN, VERDICT_BROKEN)}
+    counts = verdicts.agg(F.count(F.lit(1)).alias("all"), *[c.alias(f"n{k}") for k, c in enumerate(n.values())])
+    total = F.concat(F.lit("링크 "), F.col("all").cast("string"), F.lit("개"), *[x for k, v in enumerate(n) for x in (F.lit(f" · {v} "), F.col(f"n{k}").cast("string"))])
+    advice = F.concat(F.when(F.col("n1") > 0, F.lit("\n" + LINKS_UNVERIFIED)).otherwise(""), F.when(F.col("n2") > 0, F.lit("\n" + LINKS_BROKEN)).otherwise(""))
+    return own.unionByName(counts.select(F.lit(3).alias("part"), F.lit(0).cast("long").alias("ord"), F.when(F.col("all") == 0, NO_LINKS).otherwise(F.concat(total, advice)).alias("text")))
+
+
 def probe_links(urls: DataFrame, tasks: int = 10, timeout: int = 20) -> DataFrame:
-    """Attempts (url, method, status, exception) over the network, ``tasks`` at a time."""
+    """Attempts (ord, url, method, status, exception) over the network, ``tasks`` at a time.
+
+    ``urls`` may have an ``ord``: each address is probed once and keeps its smallest, so that results can be put in
+    the order of their links.
+    """
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         import urllib.error
@@ -61,19 +84,22 @@ def probe_links(urls: DataFrame, tasks: int = 10, timeout: int = 20) -> DataFram
 
         for frame in frames:
             rows = []
-            for url in frame["url"]:
+            for place, url in zip(frame["ord"], frame["url"], strict=True):
                 for method in ("HEAD", "GET"):
                     status, exception = None, None
                     try:
-                        with urllib.request.urlopen(urllib.request.Request(url, method=method, headers={"Accept": "*/*"}), timeout=timeout) as got:
+                        request = urllib.request.Request(url, method=method, headers={"User-Agent": USER_AGENT, "Accept": "*/*"})
+                        with urllib.request.urlopen(request, timeout=timeout) as got:
                             status = got.status
                     except urllib.error.HTTPError as e:
                         status = e.code
                     except Exception as e:  # noqa: BLE001  any network failure is an outcome
                         exception = f"{type(e).__name__}: {e}"
-                    rows.append((url, method, status, exception))
+                    rows.append((place, url, method, status, exception))
                     if status is not None and (status < 400 or status in GONE):
                         break
-            yield pd.DataFrame(rows, columns=["url", "method", "status", "exception"]).astype({"status": "Int32"})
+            yield pd.DataFrame(rows, columns=["ord", "url", "method", "status", "exception"]).astype({"status": "Int32"})
 
-    return urls.select("url").distinct().repartition(tasks, "url").mapInPandas(run, "url string, method string, status int, exception string")
+    ord_ = F.min("ord") if "ord" in urls.columns else F.lit(0)
+    once = urls.groupBy("url").agg(ord_.cast("long").alias("ord")).select("ord", "url")
+    return once.repartition(tasks, "url").mapInPandas(run, "ord long, url string, method string, status int, exception string")

@@ -5,11 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.terms import AUDIT_FIELDS, CATEGORIES, EVENT_LABELS, FORBIDDEN, HEADER_LABELS, MARKET_STATES, SECTIONS
+from ..functions.terms import AUDIT_FIELDS, CATEGORIES, DECLARED, EVENT_LABELS, FORBIDDEN, HEADER_LABELS, HEADING, MARKET_STATES, SECTIONS, STATE
 
-STATE = r"시장\s*환경\s*[:：]\s*(.+)"
-DECLARED = r"최종 채택 수\s*[:：]\s*(\d+)\s*/\s*20"
-HEADING = r"(?m)^###\s+#(\d+)\s+(.+)$"
 MAX_EVENTS, MAX_CORE = 20, 5
 
 
@@ -230,3 +227,28 @@ def gate(docs: DataFrame, *, strict: bool = False) -> DataFrame:
 
     out = checked(docs).select("report_id", count("error").alias("errors"), count("warning").alias("warnings"))
     return out.withColumn("passed", (F.col("errors") == 0) & (F.lit(not strict) | (F.col("warnings") == 0)))
+
+
+def gate_lines(docs: DataFrame, *, strict: bool = False) -> DataFrame:
+    """(report_id, line, text): what a reader is told of each document, warnings first, the verdict last."""
+    found = checked(docs).select("report_id", "found", F.size(F.filter("found", lambda v: v["severity"] == "error")).alias("errors"), F.size(F.filter("found", lambda v: v["severity"] == "warning")).alias("warnings"))
+
+    def told(severity: str, word: str) -> Column:
+        own = F.filter("found", lambda v: v["severity"] == severity)
+        return F.transform(own, lambda v: F.concat(F.lit(f"  {word}  "), v["rule"], F.when(v["subject"] != "", F.concat(F.lit(": "), v["subject"])).otherwise("")))
+
+    errors, warnings = F.col("errors").cast("string"), F.col("warnings").cast("string")
+    verdict = (
+        F.when(F.col("errors") > 0, F.concat(F.lit("검증 실패: 오류 "), errors, F.lit("건, 경고 "), warnings, F.lit("건")))
+        .when(F.lit(strict) & (F.col("warnings") > 0), F.concat(F.lit("검증 실패(strict): 경고 "), warnings, F.lit("건")))
+        .otherwise(F.concat(F.lit("검증 통과 (경고 "), warnings, F.lit("건)")))
+    )
+    lines = F.concat(told("warning", "경고"), told("error", "오류"), F.array(verdict))
+    return found.select("report_id", F.posexplode(lines).alias("line", "text"))
+
+
+def exit_code(states: DataFrame, gated: DataFrame) -> int:
+    """2 if a document is missing or empty (``states``: report_id, state), else 1 if one does not pass, else 0."""
+    if not states.filter(F.col("state") != "ok").isEmpty():
+        return 2
+    return int(not gated.filter(~F.col("passed")).isEmpty())

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..functions.terms import TENORS
+from ..functions.terms import CURVE_EMPTY, CURVE_LIMITS, CURVE_MISSING, CURVE_NOTE, CURVE_PAGE, CURVE_SOURCE, CURVE_TITLE, TENORS
 
 
 def tenor_project(raw: DataFrame, tenors: dict[str, str] | None = None) -> DataFrame:
@@ -38,18 +38,30 @@ def curve_lines(curve: DataFrame) -> DataFrame:
     return curve.select("tenor", F.concat(F.lit("| "), "tenor", F.lit(" | "), F.format_string("%.2f", "percent"), F.lit(" | "), change, F.lit(" |")).alias("line"))
 
 
-def curve_markdown(curve: DataFrame, order: list[str] | None = None, error: Column | None = None) -> DataFrame:
-    """(text): the whole rendered curve; without rows, a note that nothing can be confirmed."""
+def curve_markdown(curve: DataFrame, errors: DataFrame | None = None, order: list[str] | None = None) -> DataFrame:
+    """(text): the whole rendered curve; without rows, a note that nothing can be confirmed, and why (``errors``: one row)."""
     rank = F.array_position(F.array(*[F.lit(t) for t in order or list(TENORS.values())]), F.col("tenor"))
     rows = curve_lines(curve).withColumn("rank", rank).agg(F.array_join(F.array_sort(F.collect_list(F.struct("rank", "line"))).getField("line"), "\n").alias("rows"))
     head = curve.agg(F.max("as_of").alias("as_of"), F.max("compared_with").alias("compared_with"))
-    missing = F.concat(F.lit("- 확인 불가: "), F.coalesce(error if error is not None else F.lit(None).cast("string"), F.lit("이번 달 데이터 없음")))
+    if errors is None:
+        errors = head.select(F.lit(None).cast("string").alias("error"))
+    missing = F.concat(F.lit("- 확인 불가: "), F.coalesce("error", F.lit(CURVE_EMPTY)), F.lit("\n" + CURVE_MISSING))
     day = F.date_format("as_of", "yyyy-MM-dd")
     before = F.coalesce(F.date_format("compared_with", "yyyy-MM-dd"), F.lit("없음(비교 불가)"))
-    table = F.concat_ws("\n", F.concat(F.lit("- As-of: "), day), F.concat(F.lit("- 전일 비교 기준일: "), before), F.lit(""), F.lit("| 만기 | 수익률(%) | 전일 대비(bp) |"), F.lit("| --- | --- | --- |"), F.col("rows"))
-    return head.crossJoin(rows).select(F.when(F.col("as_of").isNull(), missing).otherwise(table).alias("text"))  # two single rows
+    table = F.concat_ws(
+        "\n", F.concat(F.lit("- As-of: "), day, F.lit(f" ({CURVE_NOTE})")), F.concat(F.lit("- 전일 비교 기준일: "), before), F.lit(f"- 출처: {CURVE_SOURCE} — {CURVE_PAGE}"), F.lit(""),
+        F.lit("| 만기 | 수익률(%) | 전일 대비(bp) |"), F.lit("| --- | --- | --- |"), F.col("rows"), F.lit(""), F.lit("\n".join(CURVE_LIMITS)),
+    )
+    body = F.when(F.col("as_of").isNull(), missing).otherwise(table)
+    return head.crossJoin(rows).crossJoin(errors).select(F.concat(F.lit("\n".join(CURVE_TITLE) + "\n"), body, F.lit("\n")).alias("text"))  # three single rows
 
 
-def curve_json(curve: DataFrame) -> DataFrame:
-    """(json): one document with all maturities."""
-    return curve.agg(F.to_json(F.struct((F.count(F.lit(1)) > 0).alias("available"), F.date_format(F.max("as_of"), "yyyy-MM-dd").alias("as_of"), F.date_format(F.max("compared_with"), "yyyy-MM-dd").alias("compared_with"), F.map_from_entries(F.array_sort(F.collect_list(F.struct("tenor", F.struct("percent", "change_bp"))))).alias("yields"))).alias("json"))
+def curve_json(curve: DataFrame, errors: DataFrame | None = None) -> DataFrame:
+    """(json): one document with the source, all maturities, and whether they are available or why not."""
+    yields = F.map_from_entries(F.array_sort(F.collect_list(F.struct("tenor", F.struct("percent", "change_bp")))))
+    one = curve.agg((F.count(F.lit(1)) > 0).alias("available"), F.date_format(F.max("as_of"), "yyyy-MM-dd").alias("as_of"), F.date_format(F.max("compared_with"), "yyyy-MM-dd").alias("compared_with"), yields.alias("yields"))
+    if errors is None:
+        errors = one.select(F.lit(None).cast("string").alias("error"))
+    why = F.when(~F.col("available"), F.coalesce("error", F.lit(CURVE_EMPTY))).alias("error")
+    body = F.struct(F.lit(CURVE_SOURCE).alias("source"), F.lit(CURVE_PAGE).alias("source_url"), "available", why, "as_of", F.lit(CURVE_NOTE).alias("as_of_note"), "compared_with", "yields")
+    return one.crossJoin(errors).select(F.to_json(F.struct(body.alias("treasury_curve")), {"ignoreNullFields": "false"}).alias("json"))  # two single rows

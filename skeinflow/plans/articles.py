@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions import text
+from ..functions import terms, text
 from ..functions.dates import window_start, within
 
 #: The fixed moment of all test runs.
@@ -42,6 +42,15 @@ def feeds(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def feeds_document(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The sources as one JSON document, as a run is configured with: a dimension of some dozen rows."""
+    own = feeds(spark, sf_dir).withColumn("note", F.lit(None).cast("string")).withColumn("detail", F.col("error"))
+    fields = ["category", "tier", "name", "url", "note"]
+    active = F.collect_list(F.when(F.col("blocked_reason").isNull(), F.struct(*fields))).alias("feeds")
+    blocked = F.collect_list(F.when(F.col("blocked_reason").isNotNull(), F.struct(*fields, "blocked_reason", "detail"))).alias("candidate_feeds")
+    return own.agg(active, blocked).select(F.to_json(F.struct("feeds", "candidate_feeds")).alias("value"))
+
+
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents as articles; those with a page come twice, the second time re-tagged and from another outlet."""
     d, e, p = (table(spark, sf_dir, t) for t in ("documents", "events", "pages"))
@@ -79,13 +88,14 @@ def series(spark: SparkSession, sf_dir: str) -> DataFrame:
     return daily.select(F.lit(0).cast("long").alias("seq"), "as_of", "name", value.alias("value"))
 
 
-#: A report per conversation, in SQL that Spark and DuckDB both read.  Each rule is broken by some of them.
+#: A report per turn of a conversation, in SQL that Spark and DuckDB both read.  Each rule is broken by some of them.
 _EVENTS = " || ".join(
     f"CASE WHEN r % 7 >= {k} THEN '### #{k + 1 if k != 3 else 5} headline {k} [P]\n' || CASE WHEN r % 11 = {k} THEN '' ELSE '[사실] fact\n' END || '[해석] view\n[불확실] open\n' || CASE WHEN r % 13 = {k} THEN '' ELSE '시각: 07:00\n' END || '출처: [desk](https://example.com/' || CAST(r AS VARCHAR(20)) || CASE WHEN r % 9 = {k} THEN ').' ELSE '/{k}) and [wire](https://wire.example.org/a,b.)' END || '\n' ELSE '' END"
     for k in range(7)
 )
-_CATEGORIES = " || ".join(f"CASE WHEN (r + {i}) % 23 = 0 THEN '' ELSE '### [{c}] ok | unique 3 | adopted 1\n' END" for i, c in enumerate(("글로벌", "미국", "유럽", "중국", "일본", "한국", "암호화폐", "채권·금리", "원자재", "IT·테크")))
-_AUDIT = " || ".join(f"CASE WHEN (r + {i}) % 29 = 0 THEN '' ELSE '- {f}: v\n' END" for i, f in enumerate(("수집 구간", "검색 완료 카테고리", "발견 기사 수", "중복 제거 후 고유 사건 수", "상위 5건 선정 근거", "제외 수와 주요 사유", "공식·직접 원자료 연결 건수", "확인 불가 또는 유료벽 뉴스", "가장 최신 사건 시각")))
+_CATEGORIES = " || ".join(f"CASE WHEN (r + {i}) % 23 = 0 THEN '' ELSE '### [{c}] ok | unique 3 | adopted 1\n' END" for i, c in enumerate(terms.CATEGORIES))
+#: The number of adopted events is written apart, below.
+_AUDIT = " || ".join(f"CASE WHEN (r + {i}) % 29 = 0 THEN '' ELSE '- {f}: v\n' END" for i, f in enumerate(f for f in terms.AUDIT_FIELDS if f != "최종 채택 수"))
 REPORT = f"""
 '# Brief (Asia/Seoul)\n' || CASE WHEN r % 31 = 5 THEN '' ELSE '## 6-1. 오늘의 한 문장\n' END
 || CASE WHEN r % 17 = 0 THEN '' ELSE '- 시장 환경: ' || CASE r % 6 WHEN 0 THEN '우호' WHEN 1 THEN '**혼조**' WHEN 2 THEN '부담 ' WHEN 3 THEN '판단 불가' WHEN 4 THEN 'calm' ELSE '혼조' END || '\n' END
@@ -100,9 +110,9 @@ REPORT = f"""
 
 
 def reports(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """(report_id, text): a report for each conversation, with the conversation's first turn in its body."""
-    first = table(spark, sf_dir, "conversations").groupBy(F.col("conv_id").alias("r")).agg(F.coalesce(F.min_by("text", "turn"), F.lit("")).alias("body"))
-    return first.select(F.col("r").alias("report_id"), F.expr(_spark_literals(REPORT)).alias("text"))
+    """(report_id, text): a report for each turn of each conversation, with the whole turn in its body."""
+    turns = table(spark, sf_dir, "conversations").select((F.col("conv_id") * 1_000_000 + F.col("turn")).alias("report_id"), (F.col("conv_id") + F.col("turn")).alias("r"), F.coalesce("text", F.lit("")).alias("body"))
+    return turns.select("report_id", F.expr(_spark_literals(REPORT)).alias("text"))
 
 
 def _spark_literals(sql: str) -> str:

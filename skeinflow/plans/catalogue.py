@@ -11,6 +11,7 @@ from ..functions import dates, text, urls
 from ..operators import coverage as cov
 from ..operators import dedupe, links, ranking, rendering, rules
 from ..operators import series as ser
+from ..sources.feeds import feeds_of
 from . import articles as bind
 from .articles import table
 
@@ -148,7 +149,9 @@ def undated_count(spark, sf):
 
 @query
 def feeds_dim(spark, sf):
-    return bind.feeds(spark, sf).select("category", "tier", "name", "url")
+    listed = bind.feeds_document(spark, sf)
+    both = feeds_of(listed).unionByName(feeds_of(listed, "candidate_feeds").select("category", "tier", "name", "url", "note"))
+    return both.select("category", "tier", "name", "url")
 
 
 @query
@@ -393,7 +396,7 @@ def curve_render(spark, sf):
 
 def _linked(spark, sf):
     title = F.regexp_extract("html", "(?is)<title[^>]*>(.*?)</title>", 1)
-    shown = F.concat(F.lit("see ["), F.replace(F.substring(title, 1, 150), F.lit("]"), F.lit("")), F.lit("]("), "url", F.lit(") and [again]("), "url", F.lit(".,) or [home](https://home.example.com/"), (F.col("page_id") % 5).cast("string"), F.lit(";)"))
+    shown = F.concat(F.lit("see ["), F.replace(title, F.lit("]"), F.lit("")), F.lit("]("), "url", F.lit(") and [again]("), "url", F.lit(".,) or [home](https://home.example.com/"), (F.col("page_id") % 5).cast("string"), F.lit(";)"))
     return table(spark, sf, "pages").select("page_id", shown.alias("text"))
 
 

@@ -160,14 +160,14 @@ _CTES = {
       SELECT l.tenor, l.percent, round((l.percent - p.percent) * 100, 1) AS change_bp, l.as_of, (SELECT min(as_of) FROM days HAVING count(*) = 2) AS compared_with
       FROM series l LEFT JOIN series p ON p.tenor = l.tenor AND p.as_of = (SELECT min(as_of) FROM days) AND p.as_of <> l.as_of WHERE l.as_of = (SELECT max(as_of) FROM days)""",
     "linked_pages": r"""
-      SELECT page_id, 'see [' || replace(substr(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), 1, 150), ']', '') || '](' || url || ') and [again](' || url || '.,) or [home](https://home.example.com/' || (page_id % 5) || ';)' AS text FROM pages""",
+      SELECT page_id, 'see [' || replace(regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1), ']', '') || '](' || url || ') and [again](' || url || '.,) or [home](https://home.example.com/' || (page_id % 5) || ';)' AS text FROM pages""",
     "attempts": """
       SELECT 'https://probe.example.com/' || page_id AS url, CASE WHEN page_id % 10 <> 9 THEN [200, 301, 403, 404, 410, 418, 429, 500, 503][page_id % 9 + 1] END AS head,
         CASE WHEN page_id % 14 <> 13 THEN [200, 403, 404, 418][page_id % 4 + 1] END AS got FROM pages""",
     "verdicts": """
       SELECT url, CASE WHEN head BETWEEN 200 AND 399 OR head IN (404, 410) THEN head ELSE coalesce(got, head) END AS status,
         CASE WHEN head BETWEEN 200 AND 399 THEN '정상' WHEN head IN (404, 410) THEN '실패' WHEN got BETWEEN 200 AND 399 THEN '정상' WHEN got IN (404, 410) THEN '실패' ELSE '확인 불가' END AS verdict FROM attempts""",
-    "reports": f"SELECT r AS report_id, {bind.REPORT} AS text FROM (SELECT conv_id AS r, coalesce(arg_min(text, turn), '') AS body FROM conversations GROUP BY conv_id)",
+    "reports": f"SELECT report_id, {bind.REPORT} AS text FROM (SELECT conv_id * 1000000 + turn AS report_id, conv_id + turn AS r, coalesce(text, '') AS body FROM conversations)",
     "refs": r"SELECT report_id, text, list_sort(list_distinct(list_transform(regexp_extract_all(text, '#(\d+)', 1), lambda x: CAST(x AS BIGINT)))) AS ids FROM reports",
     "gaps": f"SELECT report_id, list_filter(ids, lambda i: i BETWEEN 1 AND {MAX_EVENTS}) AS adopted, list_filter(ids, lambda i: i > {MAX_EVENTS}) AS over FROM refs",
     "gap_rows": "SELECT report_id, adopted, over, list_filter(range(1, coalesce(list_max(adopted), 0) + 1), lambda i: NOT list_contains(adopted, i)) AS missing FROM gaps",
@@ -266,7 +266,7 @@ _SELECTS = {
         coalesce((SELECT string_agg(name, ', ' ORDER BY name) FROM status s WHERE s.category = 'cat' || ord AND NOT ok), '') AS failed_feeds, (SELECT count(*) FROM status s WHERE s.category = 'cat' || ord AND ok) > 0 AS searched
       FROM range(10) t(ord)""",
     "run_meta": f"""
-      SELECT {_kst(_START)} AS window_start_kst, {_kst(_NOW)} AS window_end_kst, '24 hours' AS window_label, (SELECT count(*) FROM status) AS feeds_total, (SELECT count(*) FROM status WHERE ok) AS feeds_ok,
+      SELECT {_kst(_START)} AS window_start_kst, {_kst(_NOW)} AS window_end_kst, {_q(terms.LABEL_DAY)} AS window_label, (SELECT count(*) FROM status) AS feeds_total, (SELECT count(*) FROM status WHERE ok) AS feeds_ok,
         (SELECT count(*) FROM articles) AS articles_fetched, (SELECT count(*) FROM windowed) AS articles_in_window, (SELECT count(*) FROM windowed WHERE published IS NULL) AS articles_undated,
         (SELECT count(DISTINCT component) FROM comps) AS clusters, (SELECT {_kst('max(published)')} FROM windowed) AS latest_article_kst""",
     "events_by_category": "SELECT category, count(*) AS events, min(event_id) AS first_event FROM events_of GROUP BY category",

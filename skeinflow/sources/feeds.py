@@ -88,10 +88,16 @@ class FeedSource(DataSource):
         return _Reader(self.options)
 
 
+def feeds_of(documents: DataFrame, key: str = "feeds") -> DataFrame:
+    """Feeds (``key`` feeds) or blocked candidates (``key`` candidate_feeds) of JSON documents in the column ``value``."""
+    listed = {"feeds": FEED, "candidate_feeds": CANDIDATE}
+    schema = ", ".join(f"{k} array<struct<{v.replace(' ', ':').replace(',:', ',')}>>" for k, v in listed.items())
+    return documents.select(F.from_json("value", schema).alias("d")).select(F.inline(f"d.{key}"))
+
+
 def feed_table(spark: SparkSession, path: str, key: str = "feeds") -> DataFrame:
-    """Feeds (``key`` feeds) or blocked candidates (``key`` candidates) of a JSON document."""
-    schema = f"feeds array<struct<{FEED.replace(' ', ':').replace(',:', ',')}>>, candidates array<struct<{CANDIDATE.replace(' ', ':').replace(',:', ',')}>>"
-    return spark.read.schema(schema).json(path, multiLine=True).select(F.inline(key))
+    """Feeds or blocked candidates of a JSON document in a file."""
+    return feeds_of(spark.read.text(path, wholetext=True), key)
 
 
 def read_feeds(spark: SparkSession, feeds: list[dict], **options: object) -> DataFrame:
