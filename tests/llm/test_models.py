@@ -124,3 +124,81 @@ def test_extract_keeps_rows_and_columns(spark):
     got = html_layout.extract(pages)
     assert got.columns == ["page_id", "_page", "text"] and sorted((r["page_id"], r["text"]) for r in got.collect()) == [(1, "a"), (1, "a"), (2, "")]
     assert html_layout.extract(pages.limit(0)).count() == 0
+
+
+def test_ftrl_is_the_plain_algorithm():
+    """Coordinate by coordinate in dictionaries, as the method is written down."""
+    import math
+
+    rng = np.random.default_rng(3)
+    y = (rng.random(150) < 0.3).astype(int)
+    rows = [np.unique(np.concatenate([rng.integers(0, 60, 12), [60 + t] if rng.random() < 0.9 else []])).astype(np.int32) for t in y]
+    kw = dict(alpha=0.7, beta=0.9, l1=0.8, l2=0.3, passes=3, seed=5)
+    got = toxicity.fit(rows, y, bits=8, **kw)
+    z, n, bz, bn = {}, {}, 0.0, 0.0
+    share = y.mean()
+    heavy = min(4.0, (1 - share) / share)
+    order = np.random.default_rng(kw["seed"])
+
+    def weight(i):
+        zi = z.get(i, 0.0)
+        if abs(zi) <= kw["l1"]:
+            return 0.0
+        return -(zi - math.copysign(kw["l1"], zi)) / ((kw["beta"] + math.sqrt(n.get(i, 0.0))) / kw["alpha"] + kw["l2"])
+
+    for _ in range(kw["passes"]):
+        for k in order.permutation(len(rows)):
+            w = {i: weight(i) for i in rows[k].tolist()}
+            bias = -bz / ((kw["beta"] + math.sqrt(bn)) / kw["alpha"])
+            p = 1 / (1 + math.exp(-(sum(w.values()) + bias)))
+            g = (p - y[k]) * (heavy if y[k] else 1.0)
+            for i, wi in w.items():
+                before = n.get(i, 0.0)
+                z[i] = z.get(i, 0.0) + g - (math.sqrt(before + g * g) - math.sqrt(before)) / kw["alpha"] * wi
+                n[i] = before + g * g
+            bz += g - (math.sqrt(bn + g * g) - math.sqrt(bn)) / kw["alpha"] * bias
+            bn += g * g
+    want = {i: weight(i) for i in z if weight(i)}
+    assert dict(zip(got.place.tolist(), got.weight.tolist(), strict=True)) == pytest.approx(want, rel=1e-5)
+    texts = ["a b c", "", "b c d a", None]
+    model = toxicity.Weights(np.arange(0, 1 << 20, 2, dtype=np.int32), np.linspace(-1, 1, 1 << 19).astype(np.float32), 0.25)
+    for t, s in zip(texts, model.score(pa.array(texts)), strict=True):
+        place, _ = toxicity.unique_places(pa.array([t], pa.string()))
+        total = 0.25 + sum(float(model.weight[i // 2]) for i in set(place.tolist()) if i % 2 == 0)
+        assert s == pytest.approx(1 / (1 + math.exp(-total)))
+
+
+def test_additive_scores_are_naive_sums_of_table_entries():
+    import math
+
+    rng = np.random.default_rng(1)
+    x = np.round(rng.normal(size=(600, 4)), 1)
+    y = ((x[:, 0] > 0) ^ (x[:, 1] > 0.5)).astype(float)  # a pair, which no single feature tells
+    model = quality.fit(x, y, rounds=10, pair_rounds=15)
+    for row, s in zip(x[:80], model.score(x[:80]), strict=True):
+        total = model.base
+        for k in range(4):
+            total += model.tables[k][sum(e <= row[k] for e in model.edges[k])]
+        for (i, j), t in zip(model.pairs, model.pair_tables, strict=True):
+            total += t[sum(e <= row[i] for e in model.pair_edges[i])][sum(e <= row[j] for e in model.pair_edges[j])]
+        assert s == pytest.approx(1 / (1 + math.exp(-total)))
+    assert ((model.score(x) > 0.5) == y).mean() > 0.9 and (1, 0) in model.pairs[:2]
+
+
+def test_features_of_quality_are_plain_counts():
+    text = "One two, TWO!! ## 12\nOne two é | aaa"
+    got = dict(zip(quality.FEATURES, quality.features(pa.array([text]))[0], strict=True))
+    words, size = text.split(), len(text.encode())
+    assert got["log_bytes"] == pytest.approx(np.log1p(size)) and got["log_words"] == pytest.approx(np.log1p(len(words)))
+    assert got["exclaim"] == pytest.approx(2 / len(words)) and got["pipes"] == pytest.approx(1 / len(words)) and got["digits"] == pytest.approx(2 / size)
+    assert got["distinct_words"] == pytest.approx(len(set(words)) / len(words)) and got["commas"] == pytest.approx(1 / len(words))
+
+
+def test_sample_bounds_bytes_and_leaves_contradictions_out(spark):
+    docs = spark.createDataFrame([(k, "x" * 100) for k in range(50)] + [(7, "least"), (60, None)], "doc_id long, text string")
+    labels = spark.createDataFrame([(k, k % 2) for k in range(50)] + [(3, 0), (60, 1)], "doc_id long, toxic int")
+    rows = sample(docs, labels, "toxic", 1000).collect()
+    assert len(rows) == 50 and sum(r["text"] == "least" for r in rows) == 1 and sum(r["y"] for r in rows) == 25
+    few = sample(docs, labels, "toxic", 1000, max_bytes=1000)
+    assert 10 <= few.count() <= 12 and sample(docs, labels, "toxic", 20).count() <= 20
+    assert sample(docs, labels, "toxic", 1000, max_bytes=0).count() <= 1

@@ -51,3 +51,20 @@ def test_stages_without_usable_labels_keep_all_documents(spark, tmp_path):
         spark.createDataFrame(labels, "doc_id long, quality int, toxic int").write.mode("overwrite").parquet(f"{tmp_path}/labels.parquet")
         for stage in (corpus_pipeline.quality_stage, corpus_pipeline.toxicity_stage):
             assert stage(spark, docs, str(tmp_path)).count() == 3
+
+
+def test_stages_keep_columns_called_like_their_own(spark, tmp_path):
+    docs = spark.createDataFrame([(k, f"some plain words number {k} " + ("moron idiot" if k % 3 == 0 else "of good sense"), k, "r") for k in range(60)], "doc_id long, text string, _score long, _row string")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([(k, 1, int(k % 3 == 0)) for k in range(60)], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for stage in (corpus_pipeline.quality_stage, corpus_pipeline.toxicity_stage, corpus_pipeline.near_dup_stage):
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns and all(r["_score"] == r["doc_id"] for r in out.collect())
+
+
+def test_each_stage_of_an_empty_table(spark, tmp_path):
+    docs = spark.createDataFrame([], "doc_id long, text string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{tmp_path}/labels.parquet")
+    for _, stage in corpus_pipeline.STAGES:
+        assert stage(spark, docs, str(tmp_path)).count() == 0
