@@ -15,6 +15,14 @@ from skeinflow.llm.common import new_path, remove, table
 from skeinflow.llm.labelled import sample
 
 
+def _unused(name: str, docs: DataFrame) -> str:
+    """``name``, or one like it that no column of ``docs`` has."""
+    taken = {c.lower() for c in docs.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose quality score reaches the threshold; the model learns from labelled documents at hand.
 
@@ -23,7 +31,8 @@ def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
     model = quality.fit_from(sample(docs, table(spark, sf_dir, "labels"), "quality", quality.FIT_ROWS))
     if not model.rows:
         return docs
-    return quality.scored(docs, model, score_col="_score").filter(F.col("_score") >= quality.THRESHOLD).drop("_score")
+    score = _unused("_score", docs)
+    return quality.scored(docs, model, score_col=score).filter(F.col(score) >= quality.THRESHOLD).select(*docs.columns)
 
 
 def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,7 +44,8 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
     model = toxicity.fit_from(labelled)
     if not model.rows:
         return docs
-    return toxicity.scored(docs, model, score_col="_score").filter(F.col("_score") < toxicity.THRESHOLD).drop("_score")
+    score = _unused("_score", docs)
+    return toxicity.scored(docs, model, score_col=score).filter(F.col(score) < toxicity.THRESHOLD).select(*docs.columns)
 
 
 def near_dup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
