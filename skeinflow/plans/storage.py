@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of a task and its file, where the number of rows is known beforehand.
-FILE_ROWS = 100_000
+FILE_ROWS = 20_000
 
 
 def shared_dir(spark: SparkSession) -> str:
