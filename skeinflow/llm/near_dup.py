@@ -8,8 +8,8 @@
    reach the threshold is below ``miss``.
 3. Leaders first: within a block of each bucket, every member names one survivor, the smallest of those that are
    all but sure to be linked, else the likeliest.  These pairs, one a member, are verified on the full sets,
-   so large groups of copies grow together at the cost of one text a member.  A second round does the
-   same with one member per class so far, if a bucket still has more classes than a block holds.
+   so large groups of copies grow together at the cost of one text a member.  Further rounds do the same with
+   one member per class so far, in buckets of several blocks, as long as each halves what is not connected.
 4. Buckets whose members are all connected by then are done.  In the others every two members of
    different classes are compared; survivors gather them into groups, a task emitting a spanning
    star of its survivors, never the pairs.  Each group's texts meet in a task, where survivors that are
@@ -462,15 +462,19 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
         return tables.keep(own.join(several.hint("merge"), "key"), "open", rows=n_buckets)
 
     left, n_left = still_open(label)
-    # a round with one member per class and bucket, where that is more than a task holds
-    classes_of = left.groupBy("key", "label").agg(F.min("rep").alias("rep"))
-    many, n_many = tables.keep(classes_of.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter(F.col("members") > rule.block), "many", rows=n_left)
-    if n_many:
-        again, n_again = tables.keep(led(classes_of.join(many.hint("merge"), "key")), "leaders", rows=n_left)
+    # in open buckets of several blocks, rounds with one member per class, while each at least halves what is open
+    large = left.filter(F.col("members") > rule.block)
+    n_large, before = large.count(), 0
+    while n_large and (not before or 2 * n_large <= before):
+        classes_of = large.groupBy("key", "label").agg(F.min("rep").alias("rep"))
+        sizes, _ = tables.keep(classes_of.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "sizes", rows=n_large)
+        again, n_again = tables.keep(led(classes_of.join(sizes.hint("merge"), "key")), "leaders", rows=n_large)
         tasks, rows = led_cells(tables, best(again), n_again, rule.block)
         links = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verify(tasks, label)), n_texts + rows)
         label = links.select(F.col("node").alias("rep"), F.col("component").alias("label"))
         left, n_left = still_open(label)
+        large = left.filter(F.col("members") > rule.block)
+        n_large, before = large.count(), n_large
     # every pair of different classes that share a bucket
     cells = _cells(left.join(signed.hint("merge"), "rep"), "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
     groups = connected(candidate_stars(cells, rule), n_left).select(F.col("node").alias("rep"), F.col("component").alias("key"))

@@ -183,3 +183,54 @@ def test_run_index_statistics_match_brute_force():
 
 def test_repeats_of_nothing(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
+
+
+def shuffled(spark):
+    """Bytes that all stages so far have written to shuffles."""
+    store = spark.sparkContext._jsc.sc().statusStore()
+    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
+    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+
+
+def hot_group(n):
+    """Unlike near copies of one text."""
+    rng = random.Random(3)
+    base = [f"w{rng.randrange(900)}" for _ in range(150)]
+    out = []
+    for k in range(n):
+        w = list(base)
+        w[rng.randrange(150)] = f"new{k}"
+        out.append((k, " ".join(w)))
+    return out
+
+
+def hot_anchor(n):
+    """Texts with one short phrase between unlike words, of which every fifth repeats a longer passage."""
+    rng = random.Random(4)
+    phrase = "".join(rng.choices("abcdefgh ", k=110))
+    long = "".join(rng.choices("ijklmnop ", k=260))
+
+    def noise(k):
+        return "".join(rng.choices("qrstuvwxyz ", k=k))
+
+    return [(k, noise(170) + phrase + (long if k % 5 == 0 else "") + noise(170)) for k in range(n)]
+
+
+@pytest.mark.parametrize("kind", ["group", "anchor"])
+def test_what_a_hot_group_shuffles_grows_with_its_rows(spark, kind, request):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the same joins at both sizes
+    request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
+    took = []
+    for n in (700, 1400):
+        rows = (hot_group if kind == "group" else hot_anchor)(n)
+        docs = spark.createDataFrame(rows, "doc_id long, text string")
+        before = shuffled(spark)
+        if kind == "group":
+            got = near_dup.near_duplicates(docs, near_dup.Rule(words=3, percent=85, block=16)).collect()
+            assert {r["component_id"] for r in got} == {0}
+        else:
+            got = {r["doc_id"]: r["n_removed"] for r in repeats.remove_repeats(docs, clean_text=False, block=16).collect()}
+            assert all((got[k] >= 369) == (k % 5 == 0) for k, _ in rows)  # the passage with the phrase before it
+            assert all(got[k] == 0 for k, _ in rows if k % 5)
+        took.append(shuffled(spark) - before)
+    assert took[1] < 2.6 * took[0], took
