@@ -1,5 +1,6 @@
 """Operators on small tables."""
 
+import random
 from datetime import date, datetime
 
 from pyspark.sql import functions as F
@@ -23,6 +24,22 @@ def test_components_of_a_chain_and_a_star(spark):
     assert got == {0: 0, 1: 0, 2: 0, 3: 0, 4: 0, 5: 5, 6: 6, 7: 6, 8: 6}
 
 
+def test_components_of_random_graphs(spark):
+    rng = random.Random(8)
+    for n, m in ((60, 30), (60, 50), (200, 260), (40, 0)):
+        pairs = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)]
+        hub = [(n, k) for k in range(0, n, 7)] + [(n + 1 + k, n) for k in range(5)]  # a centre that is larger than its leaves, and smaller
+        label = list(range(n + 6))
+        for _ in range(n + 6):
+            for a, b in pairs + hub:
+                label[a] = label[b] = min(label[a], label[b])
+        edges = spark.createDataFrame(pairs + hub, "a long, b long")
+        got = dict(map(tuple, components.connected_components(spark.range(n + 6).withColumnRenamed("id", "node"), edges).collect()))
+        assert got == dict(enumerate(label))
+    none = components.connected_components(spark.range(2).withColumnRenamed("id", "node"), spark.createDataFrame([], "a long, b long"))
+    assert sorted(map(tuple, none.collect())) == [(0, 0), (1, 1)]
+
+
 def test_similarity_edges_and_transitive_events(spark):
     titles = ["alpha beta gamma delta", "alpha beta gamma omega", "alpha beta gamma omega sigma kappa", "alpha beta zeta theta", "lonely", "lonely", "12 34"]
     rows = spark.createDataFrame([article(i, t) for i, t in enumerate(titles)], ARTICLE)
@@ -130,4 +147,13 @@ def test_whole_run(spark):
     assert "중복 보도 1개 매체: b" in text[1] and "피드 실패 1개" in text[5] and "구간 내 신규 기사 없음" in text[0]
     meta = run.meta.first()
     assert (meta["articles_fetched"], meta["articles_in_window"], meta["clusters"], meta["feeds_ok"]) == (3, 2, 1, 1)
+    assert meta["window_label"] == terms.LABEL_DAY
+    wider = collect(rows, status, F.lit(NOW), since=F.lit(datetime(2026, 9, 1)))
+    assert wider.meta.first()["articles_in_window"] == 3 and wider.events.count() == 2
+    monday = collect(rows, status, F.lit(datetime(2026, 9, 13, 22))).meta.first()
+    assert monday["window_label"] == "마지막 주요 시장 마감(미국 2026-09-11 16:00 EDT) 이후"
+    winter = collect(rows, status, F.lit(datetime(2026, 12, 6, 22))).meta.first()
+    assert "2026-12-04 16:00 EST" in winter["window_label"]
+    long = status.withColumn("error", F.when(~F.col("ok"), F.repeat(F.lit("E"), 500)))
+    assert max(len(r["error"] or "") for r in coverage.feed_status(long, rows).collect()) == 200
     assert coverage.failed_feeds(status).first()["failed"] == "b"

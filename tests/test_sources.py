@@ -184,3 +184,17 @@ def test_whole_run_of_files(spark, tmp_path, capsys):
     (tmp_path / "bad.md").write_text("# nothing")
     assert main(["report", str(tmp_path / "bad.md")]) == 1 and main(["report", str(tmp_path / "bad.md"), str(tmp_path / "no.md")]) == 2
     assert "검증 실패" in capsys.readouterr().out
+
+
+def test_late_rows_of_a_stream_go(spark, tmp_path):
+    schema = "link string, published timestamp"
+    (tmp_path / "in").mkdir()
+    stream = deduplicated(spark.readStream.schema(schema).parquet(str(tmp_path / "in")), "1 hour")
+    q = stream.writeStream.format("memory").queryName("late").option("checkpointLocation", str(tmp_path / "ck")).start()
+    for n, rows in enumerate(([("https://e.com/a", "2026-09-07 01:00:00")], [("https://e.com/b", "2026-09-07 09:00:00")], [("https://e.com/old", "2026-09-07 02:00:00"), ("https://e.com/new", "2026-09-07 08:30:00"), ("https://e.com/a", "2026-09-07 09:30:00")])):
+        frame = spark.createDataFrame(rows, "link string, t string").select("link", F.col("t").cast("timestamp").alias("published"))
+        frame.coalesce(1).write.mode("append").parquet(str(tmp_path / "in"))
+        q.processAllAvailable()
+    q.stop()
+    # the watermark has passed 08:00: the old row is late, and the first address may come again
+    assert sorted(r["url"] for r in spark.table("late").collect()) == ["https://e.com/a", "https://e.com/a", "https://e.com/b", "https://e.com/new"]
