@@ -103,6 +103,19 @@ def test_top_k_repeated_ids_huge_numbers_and_nothing(spark):
     assert topk.top_k(huge.limit(0), F.lit(True), 2).count() == 0
 
 
+def test_top_k_in_blocks_and_without_ids(spark, monkeypatch):
+    rows = [(k if k % 4 else None, [float(k % 7), float(k % 5), 1.0]) for k in range(60)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    want = sorted(topk.top_k(table, F.lit(True), 4).collect(), key=str)
+    monkeypatch.setattr(topk, "QUERY_BLOCK", 7)
+    assert sorted(topk.top_k(table, F.lit(True), 4).collect(), key=str) == want
+    ints = [(i, [256 * x for x in v]) for i, v in rows]
+    for q in (1, 33, 59):
+        scores = sorted(((-sum(a * b for a, b in zip(ints[q][1], v, strict=True)), i is None, i) for i, v in ints if i != q), key=lambda t: (t[0], t[1], t[2] or 0))[:4]
+        assert [(r["vec_id"], r["score"]) for r in sorted((r for r in want if r["query_id"] == q), key=lambda r: r["rank"])] == [(i, -s) for s, _, i in scores]
+    assert all(r["query_id"] is not None for r in want) and {r["query_id"] for r in want} == {i for i, _ in rows if i is not None}
+
+
 PAGE = """<!doctype html><title>t</title><style>p{}</style><h1>Head</h1><p>one<p>two <b>bold</b>,x<br>line
 <ul><li>a<li>b<ol start=3><li>c<li>d</ol></ul><table><tr><th>Name<th>N<tr><td>foo<td>1<tr><td colspan=2>wide cell</table><pre>x
   y</pre><div style="display: none">no</div><span hidden>no</span><details><summary>S</summary>no</details><details open><summary>T</summary>yes</details>
