@@ -11,11 +11,12 @@ goes to the library as a whole.
 from __future__ import annotations
 
 import os
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
 
-from .common import U64, flat, hash_spans, ranges
+from .common import U64, flat, hash_spans, ranges, same_spans
 
 os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
 
@@ -73,7 +74,7 @@ class PieceEncoder:
         for t, i in vocab.items():
             spelled[i] = t.encode() if t in added else bytes(byte_of[c] for c in t)
         self.n_bytes = np.array([len(x) for x in spelled], np.int64)
-        self.bytes_at, self.bytes = np.cumsum(self.n_bytes) - self.n_bytes, np.frombuffer(b"".join(spelled), np.uint8)
+        self.bytes_at, self.bytes = np.cumsum(self.n_bytes) - self.n_bytes, np.frombuffer(b"".join(spelled) + bytes(8), np.uint8)
         self._reset()
 
     def _reset(self) -> None:
@@ -97,24 +98,32 @@ class PieceEncoder:
     def _encode(self, pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of the pieces one after another, and each one's count."""
         simple = [k for k, p in enumerate(pieces) if p[:1] == b" " and p.count(b" ") == 1]
-        counts, parts = np.zeros(len(pieces), np.int64), [None] * len(pieces)
+        done = np.zeros(len(pieces), bool)
+        who, ids, counts = [np.zeros(0, np.int64)], [np.zeros(0, np.uint32)], [np.zeros(0, np.int64)]
         for a in range(0, len(simple), 4096):
             own = simple[a : a + 4096]
             runs = [own[b : b + 64] for b in range(0, len(own), 64)]
             got = self.library.encode_batch_fast([b"".join(pieces[k] for k in run).decode() for run in runs], add_special_tokens=False)
             for run, e in zip(runs, got, strict=True):
-                ids = np.array(e.ids, np.uint32)
-                starts = np.flatnonzero(self.begins[ids])
+                have = np.array(e.ids, np.uint32)
+                starts = np.flatnonzero(self.begins[have])
                 if len(starts) == len(run) and starts[0] == 0:
-                    for k, x in zip(run, np.split(ids, starts[1:]), strict=True):
-                        parts[k] = x
-        rest = [k for k, x in enumerate(parts) if x is None]
+                    n = np.empty(len(run), np.int64)
+                    n[:-1], n[-1] = starts[1:] - starts[:-1], len(have) - starts[-1]
+                    who.append(np.array(run))
+                    ids.append(have)
+                    counts.append(n)
+                    done[run] = True
+        rest = np.flatnonzero(~done).tolist()
         for a in range(0, len(rest), 4096):
-            own = rest[a : a + 4096]
-            for k, e in zip(own, self.library.encode_batch_fast([pieces[k].decode() for k in own], add_special_tokens=False), strict=True):
-                parts[k] = np.array(e.ids, np.uint32)
-        counts[:] = [len(x) for x in parts]
-        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), counts
+            got = [e.ids for e in self.library.encode_batch_fast([pieces[k].decode() for k in rest[a : a + 4096]], add_special_tokens=False)]
+            ids.append(np.fromiter(chain.from_iterable(got), np.uint32))
+            counts.append(np.fromiter(map(len, got), np.int64, len(got)))
+        who.append(np.array(rest, np.int64))
+        who, ids, n = np.concatenate(who), np.concatenate(ids), np.concatenate(counts)
+        at, counts = np.empty(len(pieces), np.int64), np.empty(len(pieces), np.int64)
+        at[who], counts[who] = np.cumsum(n) - n, n
+        return ids[ranges(at, counts)], counts
 
     def encode(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """Ids (uint32) of all rows one after another, and each row's count.  Null is the empty text."""
@@ -156,7 +165,7 @@ class PieceEncoder:
         """Ids and counts, with the library's own in rows with a piece whose ids do not spell its bytes."""
         size = self.n_bytes[ids]
         reach = np.cumsum(size)
-        if int(reach[-1]) == len(data) and np.array_equal(reach[id_end - 1], piece_end) and np.array_equal(self.bytes[ranges(self.bytes_at[ids], size)], data):
+        if int(reach[-1]) == len(data) and np.array_equal(reach[id_end - 1], piece_end) and same_spans(data, reach - size, size, self.bytes, self.bytes_at[ids]).all():
             return ids, per_row
         own, a, p = [], 0, 0
         for k, n in enumerate(per_row.tolist()):
