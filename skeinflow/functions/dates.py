@@ -20,92 +20,56 @@ SEOUL, NEW_YORK = "Asia/Seoul", "America/New_York"
 _WEEKDAY = r"(?:(?:[^\s,]*,|(?i:mon|tue|wed|thu|fri|sat|sun))\s*)?"
 _CLOCK = r"(\d{1,2}):(\d{1,2})(?::(\d{1,2}))?"
 _ZONE = r"(?:(?:\s+|(?=[+-]))(\S+)(?:\s.*)?)?"
-#: Day, month, year, clock, zone; what follows the zone (a comment, say) is passed over.
-_MAIL = rf"^{_WEEKDAY}(\d{{1,2}})[\s-]+([A-Za-z]+)[\s-]+(\d{{2}}|\d{{4}}),?\s+{_CLOCK}{_ZONE}$"
-#: Month, day, clock, zone, year; or month, day, year, clock, zone.
-_CTIME = rf"^{_WEEKDAY}([A-Za-z]+)\s+(\d{{1,2}}),?\s+{_CLOCK}(?:\s+([A-Za-z]+))?\s+(\d{{4}})$"
-_LETTER = rf"^{_WEEKDAY}([A-Za-z]+)\s+(\d{{1,2}}),?\s+(\d{{2}}|\d{{4}}),?\s+{_CLOCK}{_ZONE}$"
 _ISO_DATE = r"(\d{4})(?:-(\d{2})-(\d{2})|(\d{2})(\d{2})|-W(\d{2})(?:-(\d))?|W(\d{2})(\d)?)"
-_ISO = rf"^{_ISO_DATE}(?:[T ](\d{{2}})(?::?(\d{{2}})(?::?(\d{{2}})(?:[.,](\d+))?)?)?\s*(Z|[+-]\d{{2}}(?::?\d{{2}})?)?)?$"
-#: Numbers without leading zeros: dashes, slashes, dots.
-_PLAIN = (
-    (r"^(\d{4})-(\d{1,2})-(\d{1,2})(?:\s+(\d{1,2}):(\d{1,2}):(\d{1,2}))?$", True),
-    (r"^(\d{4})/(\d{1,2})/(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})$", True),
-    (r"^(\d{4})\.(\d{1,2})\.(\d{1,2})\s+(\d{1,2}):(\d{1,2})$", False),
-)
-
-
-def _number(c: Column) -> Column:
-    """A whole number; null for the empty text."""
-    return c.try_cast("int")
-
-
-def _instant(year: Column, month: Column, day: Column, hour: Column, minute: Column, second: Column, shift: Column) -> Column:
-    """The instant of a clock that runs ``shift`` seconds before UTC; null if there is no such time."""
-    at = F.try_make_timestamp(year, month, day, hour, minute, second.cast("decimal(8, 6)"), F.lit("UTC"))
-    return F.when((second < 60) & (F.abs(shift) < 86_400), at - F.make_dt_interval(secs=shift))
-
-
-def _month(name: Column) -> Column:
-    numbers = F.create_map(*[F.lit(x) for k, m in enumerate(MONTHS) for name_ in {m, m[:3]} for x in (name_, k + 1)])
-    return F.try_element_at(numbers, F.lower(name))
-
-
-def _year(digits: Column) -> Column:
-    """Two digits are of 1969 to 2068."""
-    y = _number(digits)
-    return F.when(F.length(digits) > 2, y).when(y > 68, y + 1900).otherwise(y + 2000)
-
-
-def _zone(zone: Column) -> Column:
-    """Seconds of a zone's name or of hours and minutes in one number; all others count as UTC."""
-    names = F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv])
-    number = _number(F.coalesce(F.try_element_at(names, F.upper(zone)), zone))
-    size = F.abs(number)
-    return F.coalesce(F.signum(number).cast("int") * (F.floor(size / 100).cast("int") * 3600 + size % 100 * 60), F.lit(0))
+_ISO_CLOCK = r"(?:[T ](\d{2})(?::?(\d{2})(?::?(\d{2})(?:[.,](\d{1,6})\d*)?)?)?\s*(?:Z|([+-]\d{2})(?::?(\d{2}))?)?)?"
+#: Spellings, and how each gives year|month|day|hour|minute|second|week|weekday|ISO offset|mail zone.
+_SPELLINGS = (
+    # day, month, year, clock, zone; what follows the zone (a comment, say) is passed over
+    (rf"^{_WEEKDAY}(\d{{1,2}})[\s-]+([A-Za-z]+)[\s-]+(\d{{2}}|\d{{4}}),?\s+{_CLOCK}{_ZONE}$", "$3|$2|$1|$4|$5|$6||||$7"),
+    (rf"^{_ISO_DATE}{_ISO_CLOCK}$", "$1|$2$4|$3$5|$10|$11|$12.$13|$6$8|$7$9|$14$15|"),
+    # month, day, clock, zone, year; month, day, year, clock, zone
+    (rf"^{_WEEKDAY}([A-Za-z]+)\s+(\d{{1,2}}),?\s+{_CLOCK}(?:\s+([A-Za-z]+))?\s+(\d{{4}})$", "$7|$1|$2|$3|$4|$5||||$6"),
+    (rf"^{_WEEKDAY}([A-Za-z]+)\s+(\d{{1,2}}),?\s+(\d{{2}}|\d{{4}}),?\s+{_CLOCK}{_ZONE}$", "$3|$1|$2|$4|$5|$6||||$7"),
+    # numbers without leading zeros: dashes or slashes with seconds, dots without
+    (r"^(\d{4})(?:-(\d{1,2})-(\d{1,2})(?:\s+(\d{1,2}):(\d{1,2}):(\d{1,2}))?|/(\d{1,2})/(\d{1,2})\s+(\d{1,2}):(\d{1,2}):(\d{1,2})|\.(\d{1,2})\.(\d{1,2})\s+(\d{1,2}):(\d{1,2}))$", "$1|$2$7$12|$3$8$13|$4$9$14|$5$10$15|$6$11||||"),
+)
 
 
 def parse_date(raw: Column) -> Column:
     """Instant of a date as in mail, ISO 8601 or plain numbers; without a zone UTC; null for anything else.
 
-    Mail dates take two-digit years, short and long months and weekdays, dashes between day, month and year,
-    the month first, clocks without seconds, zone names or numbers and trailing comments.  ISO dates are of the
-    extended and the basic form, by day or by week, with or without a clock, fraction and offset.
+    Mail dates take two-digit years (1969 to 2068), short and long months and weekdays, dashes between day, month and
+    year, the month first, clocks without seconds, zone names or numbers (others count as UTC) and trailing
+    comments.  ISO dates are of the extended and the basic form, by day or by week, with or without a clock,
+    fraction and offset.
     """
-    raw = F.trim(F.regexp_replace(raw, r"^\s+|\s+$", ""))
-    zero = F.lit(0)
-
-    def parts(pattern: str, n: int) -> list[Column]:
-        return [F.regexp_extract(raw, pattern, k) for k in range(1, n + 1)]
-
-    day, month, year, hour, minute, second, zone = parts(_MAIL, 7)
-    found = [_instant(_year(year), _month(month), _number(day), _number(hour), _number(minute), F.coalesce(_number(second), zero), _zone(zone))]
-    month, day, hour, minute, second, zone, year = parts(_CTIME, 7)
-    found.append(_instant(_year(year), _month(month), _number(day), _number(hour), _number(minute), F.coalesce(_number(second), zero), _zone(zone)))
-    month, day, year, hour, minute, second, zone = parts(_LETTER, 7)
-    found.append(_instant(_year(year), _month(month), _number(day), _number(hour), _number(minute), F.coalesce(_number(second), zero), _zone(zone)))
-
-    year, month, day, month_basic, day_basic, week, weekday, week_basic, weekday_basic, hour, minute, second, fraction, shift = parts(_ISO, 14)
-    y = _number(year)
-    month, day = F.coalesce(_number(month), _number(month_basic)), F.coalesce(_number(day), _number(day_basic))
-    week, weekday = F.coalesce(_number(week), _number(week_basic)), F.coalesce(_number(weekday), _number(weekday_basic), F.lit(1))
-    # the fourth of January is always in the first week
-    first = F.to_date(F.try_make_timestamp(y, F.lit(1), F.lit(4), zero, zero, F.lit(0).cast("decimal(8, 6)"), F.lit("UTC")))
-    by_week = F.date_add(F.date_sub(first, F.weekday(first)), (week - 1) * 7 + weekday - 1)
-    by_week = F.when(weekday.between(1, 7) & (F.weekofyear(by_week) == week), by_week)
-    month, day = F.coalesce(month, F.month(by_week)), F.coalesce(day, F.dayofmonth(by_week))
-    y = F.when(week.isNull(), y).otherwise(F.year(by_week))
-    micros = F.rpad(F.substring(fraction, 1, 6), 6, "0").try_cast("decimal(8, 0)") / 1_000_000
-    seconds = F.coalesce(_number(second), zero).cast("decimal(8, 6)") + F.coalesce(micros, zero.cast("decimal(8, 6)"))
-    digits = F.regexp_replace(shift, ":", "")
-    digits = F.when(F.length(digits) == 3, F.concat(digits, F.lit("00"))).otherwise(digits)
-    found.append(_instant(y, month, day, F.coalesce(_number(hour), zero), F.coalesce(_number(minute), zero), seconds, _zone(digits)))
-
-    for pattern, with_seconds in _PLAIN:
-        year, month, day, hour, minute, *second = parts(pattern, 6 if with_seconds else 5)
-        numbers = [_number(c) for c in (year, month, day)] + [F.coalesce(_number(c), zero) for c in (hour, minute, *second)]
-        found.append(_instant(*numbers[:5], numbers[5] if second else zero, zero))
-    return F.coalesce(*found)
+    raw = F.regexp_replace(raw, r"^\s+|\s+$", "")
+    fields = None
+    for pattern, form in _SPELLINGS:
+        own = F.regexp_replace(raw, F.lit(pattern), F.lit(form))
+        fields = F.when(raw.rlike(pattern), own) if fields is None else fields.when(raw.rlike(pattern), own)
+    part = F.split(fields, r"\|", 10)
+
+    def number(k: int, kind: str = "int") -> Column:
+        return part[k].try_cast(kind)
+
+    year = number(0) + F.when(F.length(part[0]) > 2, 0).when(number(0) > 68, 1900).otherwise(2000)
+    months = F.create_map(*[F.lit(x) for k, m in enumerate(MONTHS) for name in sorted({m, m[:3]}) for x in (name, k + 1)])
+    month = F.coalesce(number(1), F.try_element_at(months, F.lower(part[1])))
+    # the fourth of January is always in the first week; the day within the year of the week may fall in another year
+    first = F.try_to_timestamp(F.concat(part[0], F.lit("-01-04")), F.lit("yyyy-MM-dd")).cast("date")
+    by_week = F.date_add(F.date_sub(first, F.weekday(first)), number(6) * 7 + F.coalesce(number(7), F.lit(1)) - 8)
+    in_week = F.coalesce(number(7), F.lit(1)).between(1, 7) & (F.weekofyear(by_week) == number(6))
+    week = F.when(part[6] != "", F.when(in_week, by_week))
+    day = F.when(part[6] != "", week).otherwise(F.try_make_timestamp(year, month, number(2), F.lit(0), F.lit(0), F.lit(0).cast("decimal(8, 6)"), F.lit("UTC")).cast("date"))
+    hour, minute, second = F.coalesce(number(3), F.lit(0)), F.coalesce(number(4), F.lit(0)), F.coalesce(number(5, "decimal(8, 6)"), F.lit(0).cast("decimal(8, 6)"))
+    zones = F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv])
+    offset = F.coalesce(F.coalesce(F.try_element_at(zones, F.upper(part[9])), part[9]).try_cast("int"), F.rpad(part[8], 5, "0").try_cast("int"), F.lit(0))
+    size = F.abs(offset)
+    shift = F.signum(offset) * (F.floor(size / 100) * 3600 + size % 100 * 60)
+    seconds = F.unix_date(day) * F.lit(86_400).cast("long") + hour * 3600 + minute * 60 - shift.cast("long")
+    at = F.timestamp_micros((seconds * 1_000_000 + (second * 1_000_000).cast("long")).cast("long"))
+    return F.when((hour < 24) & (minute < 60) & (second < 60) & (F.abs(shift) < 86_400), at)
 
 
 def seoul(ts: Column, pattern: str = "yyyy-MM-dd HH:mm") -> Column:

@@ -55,7 +55,7 @@ def health_lines(health: DataFrame) -> DataFrame:
     own = health.select(F.when(good, 0).otherwise(1).alias("part"), "category", "name", F.when(good, fine).otherwise(bad).alias("text"))
     n = health.agg(F.count(F.lit(1)).alias("all"), F.count_if(good).alias("good"), F.array_sort(F.collect_list(F.when(back, F.struct("category", "name")))).alias("back"))
     listed = F.array_join(F.transform("back", lambda r: F.concat(F.lit("  - ["), r["category"], F.lit("] "), r["name"])), "\n")
-    total = F.concat(F.lit("정상 "), F.col("good").cast("string"), F.lit("/"), F.col("all").cast("string"), F.lit(" · 실패 "), (F.col("all") - F.col("good")).cast("string"))
+    total = F.concat(F.lit("\n정상 "), F.col("good").cast("string"), F.lit("/"), F.col("all").cast("string"), F.lit(" · 실패 "), (F.col("all") - F.col("good")).cast("string"))
     recovered = F.when(F.size("back") > 0, F.concat(F.lit("\n\n후보 피드 "), F.size("back").cast("string"), F.lit("개가 이 네트워크에서는 살아납니다. sources.json의 candidate_feeds에서 feeds로 옮기세요:\n"), listed)).otherwise("")
     nothing = F.lit(None).cast("string")
     return own.unionByName(n.select(F.lit(2).alias("part"), nothing.alias("category"), nothing.alias("name"), F.concat(total, recovered).alias("text"))).orderBy("part", "category", "name")
@@ -82,6 +82,11 @@ def coverage(categories: DataFrame, status: DataFrame, articles: DataFrame, even
     return joined.select("ord", "category", *zero, F.coalesce("failed_feeds", F.lit("")).alias("failed_feeds"), (F.coalesce("feeds_ok", F.lit(0)) > 0).alias("searched"))
 
 
+def window_label(start: Column, now: Column) -> Column:
+    """Words for a window: a day, or since the market close that it begins at."""
+    return F.when(start < now - F.expr("INTERVAL 24 HOURS"), close_label(start)).otherwise(LABEL_DAY)
+
+
 def run_meta(status: DataFrame, fetched: DataFrame, in_window: DataFrame, events: DataFrame, start: Column, now: Column) -> DataFrame:
     """The one-row digest of a run."""
     feeds = status.agg(F.count(F.lit(1)).alias("feeds_total"), F.count_if("ok").alias("feeds_ok"))
@@ -89,7 +94,7 @@ def run_meta(status: DataFrame, fetched: DataFrame, in_window: DataFrame, events
     window = in_window.agg(F.count(F.lit(1)).alias("articles_in_window"), F.count_if(F.col("published").isNull()).alias("articles_undated"), F.max("published").alias("latest"))
     clusters = events.agg(F.count(F.lit(1)).alias("clusters"))
     one = feeds.crossJoin(rows).crossJoin(window).crossJoin(clusters)  # four single rows
-    label = F.when(start < now - F.expr("INTERVAL 24 HOURS"), close_label(start)).otherwise(LABEL_DAY)
+    label = window_label(start, now)
     return one.select(
         seoul(start).alias("window_start_kst"), seoul(now).alias("window_end_kst"), label.alias("window_label"), "feeds_total", "feeds_ok", "articles_fetched",
         "articles_in_window", "articles_undated", "clusters", seoul(F.col("latest")).alias("latest_article_kst"),

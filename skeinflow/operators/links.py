@@ -62,11 +62,12 @@ def link_lines(verdicts: DataFrame) -> DataFrame:
     ord_ = F.col("ord") if "ord" in verdicts.columns else F.lit(0)
     part = F.when(F.col("verdict") == VERDICT_OK, 0).when(F.col("verdict") == VERDICT_UNKNOWN, 1).otherwise(2)
     why = F.concat(F.lit("\n            → "), F.coalesce("detail", F.lit("None")))
-    told = F.concat(F.lit("  "), F.rpad("verdict", 5, " "), F.lit(" "), F.col("url"), F.when(part > 0, why).otherwise(""))
+    shown = F.when(part == 1, F.col("verdict")).otherwise(F.rpad("verdict", 7, " "))  # a wide character takes two places
+    told = F.concat(F.lit("  "), shown, F.lit(" "), F.col("url"), F.when(part > 0, why).otherwise(""))
     own = verdicts.select(part.alias("part"), ord_.cast("long").alias("ord"), told.alias("text"))
     n = {v: F.count_if(F.col("verdict") == v) for v in (VERDICT_OK, VERDICT_UNKNOWN, VERDICT_BROKEN)}
     counts = verdicts.agg(F.count(F.lit(1)).alias("all"), *[c.alias(f"n{k}") for k, c in enumerate(n.values())])
-    total = F.concat(F.lit("링크 "), F.col("all").cast("string"), F.lit("개"), *[x for k, v in enumerate(n) for x in (F.lit(f" · {v} "), F.col(f"n{k}").cast("string"))])
+    total = F.concat(F.lit("\n링크 "), F.col("all").cast("string"), F.lit("개"), *[x for k, v in enumerate(n) for x in (F.lit(f" · {v} "), F.col(f"n{k}").cast("string"))])
     advice = F.concat(F.when(F.col("n1") > 0, F.lit("\n" + LINKS_UNVERIFIED)).otherwise(""), F.when(F.col("n2") > 0, F.lit("\n" + LINKS_BROKEN)).otherwise(""))
     return own.unionByName(counts.select(F.lit(3).alias("part"), F.lit(0).cast("long").alias("ord"), F.when(F.col("all") == 0, NO_LINKS).otherwise(F.concat(total, advice)).alias("text")))
 

@@ -239,9 +239,9 @@ def gate_lines(docs: DataFrame, *, strict: bool = False) -> DataFrame:
 
     errors, warnings = F.col("errors").cast("string"), F.col("warnings").cast("string")
     verdict = (
-        F.when(F.col("errors") > 0, F.concat(F.lit("검증 실패: 오류 "), errors, F.lit("건, 경고 "), warnings, F.lit("건")))
-        .when(F.lit(strict) & (F.col("warnings") > 0), F.concat(F.lit("검증 실패(strict): 경고 "), warnings, F.lit("건")))
-        .otherwise(F.concat(F.lit("검증 통과 (경고 "), warnings, F.lit("건)")))
+        F.when(F.col("errors") > 0, F.concat(F.lit("\n검증 실패: 오류 "), errors, F.lit("건, 경고 "), warnings, F.lit("건")))
+        .when(F.lit(strict) & (F.col("warnings") > 0), F.concat(F.lit("\n검증 실패(strict): 경고 "), warnings, F.lit("건")))
+        .otherwise(F.concat(F.lit("\n검증 통과 (경고 "), warnings, F.lit("건)")))
     )
     lines = F.concat(told("warning", "경고"), told("error", "오류"), F.array(verdict))
     return found.select("report_id", F.posexplode(lines).alias("line", "text"))

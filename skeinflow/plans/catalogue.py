@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import dates, text, urls
 from ..operators import coverage as cov
 from ..operators import dedupe, links, ranking, rendering, rules
 from ..operators import series as ser
+from ..sources.feed_xml import ParseFeed, ParseSeries
 from ..sources.feeds import feeds_of
 from . import articles as bind
 from .articles import table
@@ -123,6 +124,24 @@ def parse_pages(spark, sf):
     return table(spark, sf, "pages").select("page_id", title.alias("title"), heading.alias("heading"), F.regexp_count(html, F.lit("<p>")).cast("long").alias("paragraphs"))
 
 
+def _escaped(c: Column) -> Column:
+    for char, entity in (("&", "&amp;"), ("<", "&lt;"), (">", "&gt;")):
+        c = F.replace(c, F.lit(char), F.lit(entity))
+    return c
+
+
+@query
+def feed_items(spark, sf):
+    """Each article as a feed document of its own, its marked-up text escaped twice, and read back."""
+    dated = F.when(F.col("published").isNotNull(), F.concat(F.lit("<pubDate>"), F.date_format("published", "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" GMT</pubDate>"))).otherwise("")
+    payload = F.concat(
+        F.lit("<?xml version='1.0'?><rss><channel><item><title>"), _escaped(_escaped(F.col("title"))), F.lit("</title><link>"), _escaped(F.col("link")),
+        F.lit("</link><description>"), _escaped(_escaped(F.col("summary"))), F.lit("</description>"), dated, F.lit("</item></channel></rss>"),
+    )
+    read = bind.articles(spark, sf).select("seq", payload.cast("binary").alias("payload")).lateralJoin(ParseFeed(F.col("payload").outer()))
+    return read.select("seq", "title", "link", "summary", F.coalesce(F.unix_seconds(dates.parse_date(F.col("published_raw"))), F.lit(-1)).alias("epoch"))
+
+
 # filters and windows
 
 
@@ -142,6 +161,13 @@ def window_start(spark, sf):
     return moments.select("event_id", F.unix_micros(dates.window_start(F.col("now"))).alias("start_us"))
 
 
+@query
+def window_label(spark, sf):
+    moments = table(spark, sf, "events").select("event_id", F.col("ts").cast("timestamp").alias("now"))
+    start = dates.window_start(F.col("now"))
+    return moments.select("event_id", cov.window_label(start, F.col("now")).alias("label"))
+
+
 @query
 def undated_count(spark, sf):
     return bind.in_window(spark, sf).agg(F.count_if(F.col("published").isNull()).alias("undated"))
@@ -360,9 +386,24 @@ def feed_health_summary(spark, sf):
     return cov.health_summary(_health(spark, sf))
 
 
+@query
+def health_lines(spark, sf):
+    return cov.health_lines(_health(spark, sf)).select("part", F.coalesce("category", F.lit("")).alias("category"), F.coalesce("name", F.lit("")).alias("name"), "text")
+
+
 # series
 
 
+@query
+def series_fields(spark, sf):
+    """Each day's values as a series document of its own, and read back."""
+    field = F.concat(F.lit("<d:"), "name", F.lit(">"), "value", F.lit("</d:"), "name", F.lit(">"))
+    days = bind.series(spark, sf).groupBy("as_of").agg(F.array_join(F.collect_list(field), "").alias("fields"))
+    payload = F.concat(F.lit("<f><m:properties xmlns:m='m' xmlns:d='d'><d:NEW_DATE>"), F.date_format("as_of", "yyyy-MM-dd"), F.lit("T00:00:00</d:NEW_DATE>"), "fields", F.lit("</m:properties></f>"))
+    read = days.select(payload.cast("binary").alias("payload")).lateralJoin(ParseSeries(F.col("payload").outer()))
+    return read.select(F.date_format(dates.parse_date(F.col("as_of_raw")), "yyyy-MM-dd").alias("as_of"), "name", "value")
+
+
 def _series(spark, sf):
     return ser.tenor_project(bind.series(spark, sf), bind.TEST_TENORS)
 
@@ -386,6 +427,13 @@ def curve_delta(spark, sf):
     return _curve(spark, sf).select("tenor", "percent", "change_bp", F.date_format("as_of", "yyyy-MM-dd").alias("as_of"), F.date_format("compared_with", "yyyy-MM-dd").alias("compared_with"))
 
 
+@query
+def curve_document(spark, sf):
+    body = "treasury_curve struct<available boolean, as_of string, compared_with string, yields map<string, struct<percent double, change_bp double>>>"
+    read = ser.curve_json(_curve(spark, sf)).select(F.from_json("json", body).alias("d")).select("d.treasury_curve.*")
+    return read.select("available", "as_of", "compared_with", F.explode("yields").alias("tenor", "y")).select("available", "as_of", "compared_with", "tenor", "y.percent", "y.change_bp")
+
+
 @query
 def curve_render(spark, sf):
     return ser.curve_lines(_curve(spark, sf))
@@ -415,6 +463,11 @@ def link_summary(spark, sf):
     return links.link_summary(links.link_verdicts(bind.attempts(spark, sf)))
 
 
+@query
+def link_lines(spark, sf):
+    return links.link_lines(links.link_verdicts(bind.attempts(spark, sf))).select("part", "text")
+
+
 @query
 def event_refs(spark, sf):
     return rules.event_refs(bind.reports(spark, sf)).select("report_id", F.array_join("ids", ",").alias("ids"))
@@ -478,9 +531,36 @@ def report_gate(spark, sf):
     return rules.gate(bind.reports(spark, sf))
 
 
+@query
+def gate_verdict(spark, sf):
+    told = rules.gate_lines(bind.reports(spark, sf))
+    return told.filter(F.col("text").startswith("\n")).select("report_id", F.trim(F.replace("text", F.lit("\n"), F.lit(""))).alias("text"))
+
+
 # sinks
 
 
+def _run(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+    """Meta row, coverage, events and articles of the run over the test tables."""
+    rows, status = bind.in_window(spark, sf), _status(spark, sf)
+    clustered = dedupe.clustered(rows)
+    events = ranking.numbered(ranking.events(clustered, bind.now(), topics=bind.TEST_TOPICS, noise=bind.TEST_NOISE))
+    covered = cov.coverage(bind.categories(spark), status, rows, events)
+    return cov.run_meta(status, bind.articles(spark, sf), rows, events, dates.window_start(bind.now()), bind.now()), covered, events, clustered
+
+
+@query
+def digest_markdown(spark, sf):
+    meta, covered, events, _ = _run(spark, sf)
+    return rendering.markdown_document(meta, rendering.markdown(bind.categories(spark), covered, events, 5))
+
+
+@query
+def document_lines(spark, sf):
+    lines = rendering.run_document(*_run(spark, sf))
+    return lines.groupBy("part", "event_id").agg(F.count(F.lit(1)).alias("lines"), F.count_if(F.col("text").startswith(",")).alias("continued"))
+
+
 @query
 def render_lines(spark, sf):
     return rendering.event_lines(_events(spark, sf), 5).select("category", "place", "line")

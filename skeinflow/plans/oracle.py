@@ -230,6 +230,34 @@ _SELECTS = {
     "recency_score": f"SELECT seq, round(CAST({_RECENT} AS DOUBLE), 4) AS points FROM articles",
     "html_payload_flag": r"SELECT id, kind, regexp_matches(lower(regexp_replace(substr(payload, 1, 200), '^\s+', '')), '^(<!doctype html|<html)') AS is_html FROM (SELECT page_id AS id, 'page' AS kind, html AS payload FROM pages UNION ALL SELECT doc_id, 'document', text FROM documents)",
     "parse_pages": f"SELECT page_id, {_clean("regexp_extract(html, '(?is)<title[^>]*>(.*?)</title>', 1)", 300)} AS title, {_clean("regexp_extract(html, '(?is)<h1[^>]*>(.*?)</h1>', 1)", 300)} AS heading, CAST((length(html) - length(replace(html, '<p>', ''))) / 3 AS BIGINT) AS paragraphs FROM pages",
+    "feed_items": "SELECT seq, title, link, summary, coalesce(epoch_us(date_trunc('second', published)) // 1000000, -1) AS epoch FROM articles WHERE title <> '' AND link <> ''",
+    "window_label": f"SELECT event_id, CASE WHEN start_us < epoch_us(ts) - 86400000000 THEN {_q(terms.LABEL_CLOSE[0])} || strftime(make_timestamp(start_us) - INTERVAL 5 HOUR, '%Y-%m-%d %H:%M') || ' EST' || {_q(terms.LABEL_CLOSE[1])} ELSE {_q(terms.LABEL_DAY)} END AS label FROM ({_CLOSE}) JOIN events USING (event_id)",
+    "health_lines": """
+      SELECT CAST(CASE WHEN ok THEN 0 ELSE 1 END AS INTEGER) AS part, f.category, name, CASE WHEN ok THEN '  ' || CASE WHEN candidate THEN '복구!' ELSE 'OK   ' END || ' [' || f.category || '] ' || name || '  (' || articles || '건, 최신 ' || coalesce(latest, 'None') || ')'
+        ELSE '  FAIL [' || f.category || '] ' || name || coalesce(' (' || f.blocked_reason || ')', '') || '  ' || f.url || chr(10) || '         → ' || h.error END AS text FROM health h JOIN feeds f USING (name)
+      UNION ALL SELECT 2, '', '', chr(10) || '정상 ' || count(*) FILTER (WHERE ok) || '/' || count(*) || ' · 실패 ' || count(*) FILTER (WHERE NOT ok) || CASE WHEN count(*) FILTER (WHERE ok AND candidate) > 0 THEN
+        chr(10) || chr(10) || '후보 피드 ' || count(*) FILTER (WHERE ok AND candidate) || '개가 이 네트워크에서는 살아납니다. sources.json의 candidate_feeds에서 feeds로 옮기세요:' || chr(10) || string_agg('  - [' || f.category || '] ' || name, chr(10) ORDER BY f.category, name) FILTER (WHERE ok AND candidate) ELSE '' END
+      FROM health h JOIN feeds f USING (name)""",
+    "series_fields": "SELECT strftime(as_of, '%Y-%m-%d') AS as_of, name, value FROM raw_series",
+    "curve_document": "SELECT true AS available, strftime(as_of, '%Y-%m-%d') AS as_of, strftime(compared_with, '%Y-%m-%d') AS compared_with, tenor, percent, change_bp FROM curve",
+    "link_lines": f"""
+      SELECT CAST(CASE verdict WHEN '정상' THEN 0 WHEN '확인 불가' THEN 1 ELSE 2 END AS INTEGER) AS part, '  ' || rpad(verdict, CASE verdict WHEN '확인 불가' THEN 5 ELSE 7 END, ' ') || ' ' || url || CASE verdict WHEN '정상' THEN ''
+        WHEN '실패' THEN chr(10) || '            → HTTP ' || status || {_q(terms.LINK_GONE)} ELSE chr(10) || '            → ' || CASE WHEN got IS NULL THEN 'OSError: reset' WHEN got = 403 THEN 'HTTP 403' || {_q(terms.LINK_BLOCKED)} ELSE 'HTTP ' || got END END AS text
+      FROM verdicts JOIN attempts USING (url)
+      UNION ALL SELECT 3, chr(10) || '링크 ' || count(*) || '개 · 정상 ' || count(*) FILTER (WHERE verdict = '정상') || ' · 확인 불가 ' || count(*) FILTER (WHERE verdict = '확인 불가') || ' · 실패 ' || count(*) FILTER (WHERE verdict = '실패')
+        || CASE WHEN count(*) FILTER (WHERE verdict = '확인 불가') > 0 THEN chr(10) || {_q(terms.LINKS_UNVERIFIED)} ELSE '' END || CASE WHEN count(*) FILTER (WHERE verdict = '실패') > 0 THEN chr(10) || {_q(terms.LINKS_BROKEN)} ELSE '' END FROM verdicts""",
+    "gate_verdict": "SELECT report_id, CASE WHEN errors > 0 THEN '검증 실패: 오류 ' || errors || '건, 경고 ' || warnings || '건' ELSE '검증 통과 (경고 ' || warnings || '건)' END AS text FROM (SELECT r.report_id, count(*) FILTER (WHERE severity = 'error') AS errors, count(*) FILTER (WHERE severity = 'warning') AS warnings FROM reports r LEFT JOIN broken b USING (report_id) GROUP BY r.report_id)",
+    "digest_markdown": f"""
+      SELECT CAST(-1 AS BIGINT) AS ord, {_q(terms.DIGEST_TITLE)} || chr(10) || chr(10) || '- 수집 구간: ' || {_kst(_START)} || ' ~ ' || {_kst(_NOW)} || ' (' || {_q(terms.LABEL_DAY)} || ')' || chr(10) || '- 피드: 정상 ' || (SELECT count(*) FROM status WHERE ok) || '/' || (SELECT count(*) FROM status)
+        || chr(10) || '- 구간 내 기사: ' || (SELECT count(*) FROM windowed) || '건 → 1차 중복제거 후 후보 ' || (SELECT count(DISTINCT component) FROM comps) || '건' || chr(10) || chr(10) || {_q(chr(10).join(terms.DIGEST_NOTES))} || chr(10) AS text
+      UNION ALL
+      SELECT ord, '## [cat' || ord || '] 후보 ' || n || '건' || CASE WHEN failed > 0 THEN ' · 피드 실패 ' || failed || '개 — 누락 가능성 있음' ELSE '' END || chr(10) || chr(10) || CASE WHEN n = 0 THEN '- 구간 내 신규 기사 없음'
+        ELSE told || CASE WHEN n > 5 THEN chr(10) || '- (중요도 하위 ' || (n - 5) || '건은 지면상 생략, candidates.json에는 모두 있음)' ELSE '' END END || chr(10)
+      FROM (SELECT ord, (SELECT count(*) FROM events_of e WHERE e.category = 'cat' || ord) AS n, (SELECT count(*) FROM status s WHERE s.category = 'cat' || ord AND NOT ok) AS failed,
+        (SELECT string_agg({_LINE}, chr(10) ORDER BY place) FROM placed p WHERE p.category = 'cat' || ord AND place <= 5) AS told FROM range(10) t(ord))""",
+    "document_lines": """
+      SELECT 3 AS part, event_id, n + 2 AS lines, n - 1 + CAST(event_id > 1 AS INTEGER) AS continued FROM (SELECT event_id, (SELECT count(*) FROM clustered c WHERE c.component = e.component) AS n FROM events_of e)
+      UNION ALL SELECT * FROM (VALUES (0, 0, 1, 0), (1, 0, 10, 9), (2, 0, 1, 0), (4, 0, 1, 0)) v(part, event_id, lines, continued)""",
     "valid_rows": "SELECT seq FROM articles WHERE title <> '' AND link <> ''",
     "window_filter": "SELECT seq FROM windowed",
     "window_start": _CLOSE,

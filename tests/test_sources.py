@@ -151,7 +151,7 @@ def test_link_probe_against_a_server(spark, tmp_path, capsys):
     assert [(v["status"], v["verdict"]) for v in verdicts] == [(403, "확인 불가"), (200, "정상"), (200, "정상"), (404, "실패"), (None, "확인 불가")]
     assert {p for c, p, _ in seen if c == "GET"} == {"/wall", "/get"} and all("Mozilla" in a for _, _, a in seen)
     told = [r["text"] for r in links.link_lines(links.link_verdicts(attempts)).orderBy("part", "ord").collect()]
-    assert told[0].strip().startswith("정상") and "HTTP 404" in told[-2] and told[-1].startswith("링크 5개 · 정상 2 · 확인 불가 2 · 실패 1")
+    assert told[0].strip().startswith("정상") and "HTTP 404" in told[-2] and told[-1].strip().startswith("링크 5개 · 정상 2 · 확인 불가 2 · 실패 1")
     none = links.link_lines(links.link_verdicts(attempts.limit(0)))
     assert none.first()["text"] == terms.NO_LINKS and links.exit_code(links.link_verdicts(attempts.limit(0))) == 1
     (tmp_path / "r.md").write_text(f"[x]({base}/ok)")
