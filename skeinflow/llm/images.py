@@ -243,10 +243,23 @@ def describe(pixels: np.ndarray | None) -> tuple[np.ndarray, np.ndarray]:
     return points, np.concatenate(words)[order]
 
 
+def few_splits(rows: DataFrame) -> int:
+    """0, or how many tasks to deal ``rows`` to, if reading them gives too few to keep all cores busy.
+
+    Describing a picture takes milliseconds, so tables of a few splits are worth a shuffle, and large ones are not.
+    """
+    spark = rows.sparkSession
+    size = int(str(rows._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    split = spark._jvm.org.apache.spark.network.util.JavaUtils.byteStringAsBytes(spark.conf.get("spark.sql.files.maxPartitionBytes"))
+    tasks = 2 * spark.sparkContext.defaultParallelism
+    return max(tasks, int(spark.conf.get("spark.sql.shuffle.partitions"))) if size // split < tasks else 0
+
+
 def features(images: DataFrame, id_col: str, image_col: str, pixels: Callable[[object], np.ndarray | None]) -> DataFrame:
     rows = images.select(F.col(f"`{id_col}`").cast("long").alias("image_id"), F.col(f"`{image_col}`").alias("image"))
-    # a file of few splits would keep few cores busy with work that takes milliseconds a row
-    rows = rows.repartition(max(2 * images.sparkSession.sparkContext.defaultParallelism, int(images.sparkSession.conf.get("spark.sql.shuffle.partitions"))))
+    few = few_splits(rows)
+    if few:  # else the pictures are read where they are
+        rows = rows.repartition(few)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
