@@ -373,6 +373,32 @@ def verified_stars(members: DataFrame, rule: Rule) -> DataFrame:
     return members.mapInArrow(run, "a long, b long")
 
 
+def verified_leaves(cells: DataFrame, rule: Rule) -> DataFrame:
+    """The exactly verified links (a, b) of each cell's leader (side 1, its first row) with the others (side 2).
+
+    A task holds the leader's set and those of about a megabyte of text, however large the cell is.
+    """
+    percent, words = rule.percent, rule.words
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lead, lead_rep, lead_label = None, -1, -1
+        for batch in batches:
+            rep, side, label = (batch.column(c).to_numpy() for c in ("rep", "side", "label"))
+            texts = batch.column("text")
+            found: list[tuple[int, int]] = []
+            for p, q in blocks(texts):
+                h, second, off = shingle_sets(texts.slice(p, q - p), words)
+                for k in range(p, q):
+                    own = slice(off[k - p], off[k - p + 1])
+                    if side[k] == 1:
+                        lead, lead_rep, lead_label = (h[own].copy(), second[own].copy()), int(rep[k]), label[k]
+                    elif label[k] != lead_label and _linked(lead, (h[own], second[own]), percent):
+                        found.append((int(rep[k]), lead_rep))
+            yield pa.RecordBatch.from_arrays([pa.array([x for x, _ in found], pa.int64()), pa.array([y for _, y in found], pa.int64())], ["a", "b"])
+
+    return cells.mapInArrow(run, "a long, b long")
+
+
 def _linked(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray], percent: int) -> bool:
     _, i, j = np.intersect1d(a[0], b[0], assume_unique=True, return_indices=True)
     both = int((a[1][i] == b[1][j]).sum())
@@ -428,9 +454,10 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
     buckets, n_buckets = tables.keep(keys.join(shared.hint("merge"), "key"), "buckets", rows=n * bands)
     signed = reps.select("rep", "n_shingles", "sig")
 
-    def verify(tasks: DataFrame, label: DataFrame) -> DataFrame:
+    def dealt(tasks: DataFrame, label: DataFrame, *order: str) -> DataFrame:
+        """Cells with the members' texts, signatures and labels."""
         full = tasks.join(texts.hint("merge"), "rep").join(label, "rep", "left").withColumn("label", F.coalesce("label", "rep"))
-        return verified_stars(full.repartition("key", "cell").sortWithinPartitions("key", "cell"), rule)
+        return full.repartition("key", "cell").sortWithinPartitions("key", "cell", *order)
 
     def led(members: DataFrame) -> DataFrame:
         """The pairs that members of each block of a bucket name."""
@@ -452,7 +479,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
     texts, n_texts = tables.keep(texts, "texts")
     none = spark.createDataFrame([], "rep long, label long")
     tasks, rows = led_cells(tables, best(named), n_named, rule.block)
-    links = connected(verify(tasks, none), rows)
+    links = connected(verified_leaves(dealt(tasks, none, "side"), rule), rows)
     label = links.select(F.col("node").alias("rep"), F.col("component").alias("label"))
 
     def still_open(label: DataFrame) -> tuple[DataFrame, int]:
@@ -470,7 +497,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
         sizes, _ = tables.keep(classes_of.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "sizes", rows=n_large)
         again, n_again = tables.keep(led(classes_of.join(sizes.hint("merge"), "key")), "leaders", rows=n_large)
         tasks, rows = led_cells(tables, best(again), n_again, rule.block)
-        links = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verify(tasks, label)), n_texts + rows)
+        links = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(verified_leaves(dealt(tasks, label, "side"), rule)), n_texts + rows)
         label = links.select(F.col("node").alias("rep"), F.col("component").alias("label"))
         left, n_left = still_open(label)
         large = left.filter(F.col("members") > rule.block)
@@ -479,7 +506,7 @@ def near_duplicates(docs: DataFrame, rule: Rule = Rule(), *, id_col: str = "doc_
     cells = _cells(left.join(signed.hint("merge"), "rep"), "key", "members", "rep", rule.block).repartition("key", "cell").sortWithinPartitions("key", "cell")
     groups = connected(candidate_stars(cells, rule), n_left).select(F.col("node").alias("rep"), F.col("component").alias("key"))
     sized = groups.join(groups.groupBy("key").agg(F.count(F.lit(1)).alias("members")), "key")
-    more = verify(_cells(sized, "key", "members", "rep", rule.block), label)
+    more = verified_stars(dealt(_cells(sized, "key", "members", "rep", rule.block), label), rule)
     linked = connected(links.select(F.col("node").alias("a"), F.col("component").alias("b")).unionByName(more), 2 * n_texts)
     grouped = reps.select("rep", "d1", "d2", "n_shingles", "first_id").join(linked.select(F.col("node").alias("rep"), "component"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     by_group, _ = tables.keep(grouped.groupBy("component").agg(F.min("first_id").alias("component_id")), "groups", rows=n)

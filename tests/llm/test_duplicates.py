@@ -185,11 +185,11 @@ def test_repeats_of_nothing(spark):
     assert repeats.remove_repeats(spark.createDataFrame([], "doc_id long, text string")).count() == 0
 
 
-def shuffled(spark):
-    """Bytes that all stages so far have written to shuffles."""
+def stages(spark):
+    """(id, bytes written to shuffles) of the latest stages; Spark forgets old ones."""
     store = spark.sparkContext._jsc.sc().statusStore()
-    stages = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
-    return sum(stages.apply(k).shuffleWriteBytes() for k in range(stages.size()))
+    found = store.stageList(None, False, False, spark.sparkContext._gateway.new_array(spark._jvm.double, 0), spark._jvm.java.util.ArrayList())
+    return [(found.apply(k).stageId(), found.apply(k).shuffleWriteBytes()) for k in range(found.size())]
 
 
 def hot_group(n):
@@ -221,10 +221,11 @@ def test_what_a_hot_group_shuffles_grows_with_its_rows(spark, kind, request):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # the same joins at both sizes
     request.addfinalizer(lambda: spark.conf.unset("spark.sql.autoBroadcastJoinThreshold"))
     took = []
+    spark.range(1).count()
     for n in (700, 1400):
         rows = (hot_group if kind == "group" else hot_anchor)(n)
         docs = spark.createDataFrame(rows, "doc_id long, text string")
-        before = shuffled(spark)
+        before = max(k for k, _ in stages(spark))
         if kind == "group":
             got = near_dup.near_duplicates(docs, near_dup.Rule(words=3, percent=85, block=16)).collect()
             assert {r["component_id"] for r in got} == {0}
@@ -232,5 +233,5 @@ def test_what_a_hot_group_shuffles_grows_with_its_rows(spark, kind, request):
             got = {r["doc_id"]: r["n_removed"] for r in repeats.remove_repeats(docs, clean_text=False, block=16).collect()}
             assert all((got[k] >= 369) == (k % 5 == 0) for k, _ in rows)  # the passage with the phrase before it
             assert all(got[k] == 0 for k, _ in rows if k % 5)
-        took.append(shuffled(spark) - before)
+        took.append(sum(n for k, n in stages(spark) if k > before))
     assert took[1] < 2.6 * took[0], took
