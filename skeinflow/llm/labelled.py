@@ -31,7 +31,7 @@ def sample(docs: DataFrame, labels: DataFrame, target: str, limit: int, *, id_co
     own = own.select("_id", "y", F.xxhash64("_id").alias("_hash")).orderBy("_hash", "_id").limit(limit)
     texts = docs.select(F.col(f"`{id_col}`").alias("_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     met = texts.join(F.broadcast(own), "_id").groupBy("_id", "_hash", "y").agg(F.min("text").alias("text"))
-    met, _ = written(met, "sample", rows=limit)
+    met, _ = written(met, "sample", rows=16 * limit)  # texts, so fewer of them in a task
     sizes = sorted((r["_hash"], r["_id"], r["n"] or 0) for r in met.select("_hash", "_id", F.octet_length("text").alias("n")).toLocalIterator())  # at most ``limit`` rows
     total, last = 0, None
     for h, i, n in sizes:
