@@ -8,8 +8,13 @@ executors.  Scoring looks all places up at once and counts each place once per d
 
 from __future__ import annotations
 
+import hashlib
+import mmap
+import tempfile
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import pairwise
+from typing import BinaryIO
 
 import numpy as np
 import pyarrow as pa
@@ -17,12 +22,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import U64, blocks, flat, hash_spans, mix, table
+from .common import U64, blocks, flat, hash_spans, mix, remove, table, written
 from .labelled import fold, sample
 
 BITS = 20
 #: Most labelled documents that the driver fits from.
 FIT_ROWS = 12_000
+#: Bytes of their places that the driver fetches at once.
+FETCH_BYTES = 8 << 20
 #: Passes over the sample, and the strength of L1 at every sample size.  A place that a single toxic document has
 #: gathers at most 4 a pass (see ``fit``), 20 in all, and so keeps no weight: what is learnt recurs in documents.
 PASSES, L1 = 5, 24.0
@@ -122,10 +129,29 @@ def fit(rows: list[np.ndarray], y: np.ndarray, *, bits: int = BITS, alpha: float
     return Weights(touched.astype(np.int32), weights(touched).astype(np.float32), float(-bz / ((beta + np.sqrt(bn)) / alpha)), bits, len(rows))
 
 
+def _fetched(found: DataFrame, file: BinaryIO) -> tuple[list[np.ndarray], np.ndarray]:
+    """The rows' places, as views of ``file`` mapped to memory, and their labels, in an order that only they decide.
+
+    The driver fetches about ``FETCH_BYTES`` at once; what it has read lies in ``file``, so texts of any length fit.
+    """
+    total = found.agg(F.sum(F.octet_length("places"))).first()[0] or 0
+    ends, y = [0], []
+    for r in found.repartition(max(1, -(-total // FETCH_BYTES))).toLocalIterator():
+        file.write(r["places"])
+        ends.append(ends[-1] + len(r["places"]) // 4)
+        y.append(r["y"])
+    file.flush()
+    data = np.frombuffer(mmap.mmap(file.fileno(), 4 * ends[-1], access=mmap.ACCESS_READ), np.int32) if ends[-1] else np.zeros(0, np.int32)
+    rows = [data[a:b] for a, b in pairwise(ends)]
+    order = sorted(range(len(rows)), key=lambda k: (len(rows[k]), rows[k][:8].tolist(), y[k], hashlib.blake2b(rows[k], digest_size=16).digest()))
+    return [rows[k] for k in order], np.array([y[k] for k in order], np.int32)
+
+
 def fit_from(labelled: DataFrame, limit: int = FIT_ROWS) -> Weights:
-    """Fit from (text, y); texts become places on the executors, and at most ``limit`` rows reach the driver.
+    """Fit from (text, y); texts become places on the executors, and the model learns from at most ``limit`` rows.
 
-    Their bytes are bounded by the sample (see ``labelled``).
+    Their bytes are bounded by the sample (see ``labelled``); the driver holds them in a temporary file, never at once
+    in its memory.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -133,16 +159,15 @@ def fit_from(labelled: DataFrame, limit: int = FIT_ROWS) -> Weights:
             texts = batch.column("text")
             for a, b in blocks(texts):
                 place, counts = unique_places(texts.slice(a, b - a))
-                off = np.concatenate([[0], np.cumsum(counts)]).astype(np.int32)
-                yield pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(pa.array(off), pa.array(place)), batch.column("y").slice(a, b - a)], ["places", "y"])
-
-    got = labelled.mapInArrow(run, "places array<int>, y int").toArrow()
-    lists = got.column("places").combine_chunks()
-    off = lists.offsets.to_numpy()
-    rows = np.split(lists.values.to_numpy(), off[1:-1]) if len(off) > 1 else []
-    y = got.column("y").to_numpy()
-    order = sorted(range(len(rows)), key=lambda k: (len(rows[k]), rows[k][:8].tolist(), int(y[k])))[:limit]  # not the tasks' order
-    return fit([rows[k] for k in order], y[order] if len(order) else np.zeros(0))
+                off = np.concatenate([[0], 4 * np.cumsum(counts)]).astype(np.int32)
+                packed = pa.BinaryArray.from_buffers(pa.binary(), b - a, [None, pa.py_buffer(off), pa.py_buffer(place)])
+                yield pa.RecordBatch.from_arrays([packed, batch.column("y").slice(a, b - a)], ["places", "y"])
+
+    found, path = written(labelled.mapInArrow(run, "places binary, y int"), "places")
+    with tempfile.TemporaryFile() as file:
+        rows, y = _fetched(found, file)
+    remove(labelled.sparkSession, path)
+    return fit(rows[:limit], y[:limit])
 
 
 def scored(docs: DataFrame, weights: Weights, *, text_col: str = "text", score_col: str = "score") -> DataFrame:

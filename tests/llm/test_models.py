@@ -62,6 +62,26 @@ def test_nothing_to_learn_from(spark, tables):
     assert quality.scored(docs, quality.fit_from(sample(docs, none, "quality", 10))).first()["score"] == 0.5
 
 
+def test_places_reach_the_driver_in_bounded_parts(spark, monkeypatch):
+    """Long texts have more places than one answer to the driver may hold; the model is that of all of them."""
+    rng = random.Random(8)
+    texts = [(" ".join(f"{rng.randrange(9_999)}" for _ in range(4_000)) + " moron" * t, t) for t in (0, 0, 1) * 16] + [(None, 0), ("", 0)]
+    rows = [toxicity.unique_places(pa.array([t], pa.string()))[0] for t, _ in texts]
+    assert sum(r.nbytes for r in rows) > 2 << 20
+    order = sorted(range(len(rows)), key=lambda k: (len(rows[k]), rows[k][:8].tolist(), texts[k][1]))
+    want = toxicity.fit([rows[k] for k in order], np.array([texts[k][1] for k in order]))
+    conf, key = spark.sparkContext._jsc.sc().conf(), "spark.driver.maxResultSize"
+    monkeypatch.setattr(toxicity, "FETCH_BYTES", 1 << 18, raising=False)
+    before = conf.get(key, "1g")
+    conf.set(key, "1m")
+    try:
+        got = toxicity.fit_from(spark.createDataFrame(texts, "text string, y int").repartition(3))
+    finally:
+        conf.set(key, before)
+    assert got.rows == len(texts) and len(got.place) and got.bias == want.bias
+    assert np.array_equal(got.place, want.place) and np.array_equal(got.weight, want.weight)
+
+
 def test_sample_is_bounded_and_leaves_the_fold_out(spark, tables):
     docs, labels, _ = tables
     assert sample(docs, labels, "toxic", 50).count() == 50
