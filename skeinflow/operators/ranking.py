@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -20,25 +24,28 @@ def haystack(title: Column, summary: Column) -> Column:
 def has_term(hay: Column, term: str) -> Column:
     """Containment; a term between spaces is a whole word."""
     if term.startswith(" ") and term.endswith(" "):
-        return hay.rlike(rf"(?U)\b{term.strip()}\b")
+        word = term.strip()
+        return hay.contains(word) & hay.rlike(rf"(?U)\b{word}\b")  # the expression is dear, and only sees texts that hold the word
     return hay.contains(term)
 
 
+def _over(value: Column, f: Callable[[Column], Column]) -> Column:
+    """``f(value)``, with ``value`` made once a row however often ``f`` names it."""
+    return F.transform(F.array(value), f)[0]
+
+
 def topic_hits(title: Column, summary: Column, topics: dict[str, tuple[str, ...]] | None = None) -> Column:
     """Names of the subject areas of which any term occurs, in order."""
-    hay = haystack(title, summary)
-    hits = []
-    for name, words in (topics or terms.TOPICS).items():
-        any_of = has_term(hay, words[0])
-        for w in words[1:]:
-            any_of = any_of | has_term(hay, w)
-        hits.append(F.when(any_of, F.lit(name)))
-    return F.array_compact(F.array(*hits))
+
+    def hits(hay: Column) -> Column:
+        found = [F.when(reduce(or_, [has_term(hay, w) for w in words]), F.lit(name)) for name, words in (topics or terms.TOPICS).items()]
+        return F.array_compact(F.array(*found))
+
+    return _over(haystack(title, summary), hits)
 
 
 def is_noise(title: Column, summary: Column, noise: tuple[str, ...] | None = None) -> Column:
-    hay = haystack(title, summary)
-    return F.exists(F.array(*[F.lit(t) for t in noise or terms.NOISE]), lambda t: hay.contains(t))
+    return _over(haystack(title, summary), lambda hay: reduce(or_, [hay.contains(t) for t in noise or terms.NOISE]))
 
 
 def tier_points(tier: Column) -> Column:
