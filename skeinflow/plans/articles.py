@@ -52,18 +52,26 @@ def feeds_document(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def articles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Documents as articles; those with a page come twice, the second time re-tagged and from another outlet."""
+    """Documents as articles; those with a page come twice, the second time re-tagged and from another outlet.
+
+    Title and summary, both bounded, are taken where documents are read: no join carries whole texts.
+    """
     d, e, p = (table(spark, sf_dir, t) for t in ("documents", "events", "pages"))
+    own = d.select(F.col("doc_id").alias("_id"), text.clean_text(F.split("text", "\n")[0], 300).alias("title"), text.clean_text(F.col("text"), 400).alias("summary"), "source")
+    dated = e.select(F.col("event_id").alias("_id"), F.col("ts").cast("timestamp").alias("ts"))
+    joined = own.join(dated, "_id", "left").join(p.select(F.col("page_id").alias("_id"), F.col("url").alias("page_url")), "_id", "left")
+    # a row is dealt as its first and, with a page, its second article: one read and one join for both
+    paged = F.col("page_url").isNotNull()
+    both = joined.withColumn("_second", F.explode(F.when(paged, F.array(F.lit(False), F.lit(True))).otherwise(F.array(F.lit(False)))))
+    again = F.col("_second")
+    link = F.coalesce("page_url", F.concat(F.lit("https://src.example.com/"), F.col("_id").cast("string")))
+    tagged = F.concat(link, F.when(link.contains("?"), "&").otherwise("?"), F.lit("utm_medium=x"))
     n = F.substring("source", 4, 9).cast("int")
-    joined = d.join(e.select(F.col("event_id").alias("doc_id"), F.col("ts").cast("timestamp").alias("ts")), "doc_id", "left").join(p.select(F.col("page_id").alias("doc_id"), F.col("url").alias("page_url")), "doc_id", "left")
-    base = joined.select(
-        F.col("doc_id").alias("seq"), text.clean_text(F.split("text", "\n")[0], 300).alias("title"), text.clean_text(F.col("text"), 400).alias("summary"),
-        F.coalesce("page_url", F.concat(F.lit("https://src.example.com/"), F.col("doc_id").cast("string"))).alias("link"),
-        F.when(F.col("doc_id") % 37 != 0, F.col("ts")).alias("published"), n.alias("n"), F.col("page_url").isNotNull().alias("_paged"),
+    n = F.when(again, (n + 7) % 20).otherwise(n)
+    return both.select(
+        (F.col("_id") + F.when(again, 10_000_000).otherwise(0)).alias("seq"), "title", F.when(again, tagged).otherwise(link).alias("link"), "summary",
+        F.when(F.col("_id") % 37 != 0, F.col("ts")).alias("published"), F.concat(F.lit("src"), n.cast("string")).alias("source_name"), *_feed(n),
     )
-    second = base.filter("_paged").withColumn("seq", F.col("seq") + 10_000_000).withColumn("link", F.concat("link", F.when(F.col("link").contains("?"), "&").otherwise("?"), F.lit("utm_medium=x"))).withColumn("n", (F.col("n") + 7) % 20)
-    both = base.unionByName(second)
-    return both.select("seq", "title", "link", "summary", "published", F.concat(F.lit("src"), F.col("n").cast("string")).alias("source_name"), *_feed(F.col("n")))
 
 
 def valid(rows: DataFrame) -> DataFrame:

@@ -1,9 +1,14 @@
 """What queries move and how often they read: growth with the input, seen on small tables."""
 
+import pyarrow as pa
 from pyspark.sql import functions as F
 
-from skeinflow.operators import ranking
+from skeinflow.operators import dedupe, ranking
+from skeinflow.plans import articles as bind
+from skeinflow.plans import catalogue
 
+SF = "/root/testdata/sf0.001"
+ARTICLE = "seq long, title string, link string, summary string, published timestamp, source_name string, source_tier int, category string, feed_url string"
 
 
 def nodes(plan):
@@ -21,6 +26,46 @@ def columns(plan):
     return [plan.output().apply(k).name() for k in range(plan.output().length())]
 
 
+def test_no_join_carries_whole_texts(spark):
+    joins = [n for n in nodes(optimized(bind.in_window(spark, SF))) if n.nodeName() == "Join"]
+    assert len(joins) == 2 and not any("text" in columns(j) for j in joins)
+
+
+def test_documents_are_read_once_for_articles(spark):
+    scans = [n for n in nodes(optimized(bind.in_window(spark, SF))) if n.nodeName().startswith("LogicalRelation") or n.nodeName() == "Relation"]
+    assert len(scans) == 3 and sum("text" in columns(n) for n in scans) == 1
+
+
+def counted(spark, rows):
+    """Rows whose number is counted each time they are made."""
+    made = spark.sparkContext.accumulator(0)
+
+    def run(batches):
+        for batch in batches:
+            made.add(batch.num_rows)
+            yield pa.RecordBatch.from_arrays(batch.columns, batch.schema.names)
+
+    df = spark.createDataFrame(rows, ARTICLE)
+    return df.mapInArrow(run, df.schema), made
+
+
+def test_articles_are_made_once_for_events(spark, monkeypatch):
+    rows = [(k, f"alpha beta gamma {k % 3}", f"https://e.com/{k % 4}", "s", None, f"src{k % 2}", 1, "cat1", "f") for k in range(8)]
+    articles, made = counted(spark, rows)
+    assert dedupe.clustered(articles).count() == 8 and made.value == 8
+
+    monkeypatch.setattr(bind, "in_window", lambda *_: articles)
+    for query in ("coverage", "run_meta"):
+        made.value = 0
+        catalogue.QUERIES[query](spark, SF).collect()
+        assert made.value == 8, query
+    for run in (lambda: [catalogue._classes(spark, SF)], lambda: catalogue._run(spark, SF)):
+        made.value = 0
+        for df in run():
+            df.collect()
+        assert made.value == 8
+
+
 def test_terms_are_looked_up_in_a_text_made_once(spark):
     rows = spark.createDataFrame([("Fed and AI chips", "s"), (None, "an obituary"), ("maize", None)], "title string, summary string")
     noise, topics = (rows.select(f(F.col("title"), F.col("summary")).alias("x")) for f in (ranking.is_noise, ranking.topic_hits))
