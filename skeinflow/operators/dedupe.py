@@ -3,8 +3,8 @@
 Similar titles are found by prefix filtering.  A pair counts only if the smaller token set shares at
 least ``least_shared`` tokens, so it must meet the larger one in one of its rarest tokens: those alone are
 joined, and very common words never are unless a title has nothing rarer.  Equal token sets are one
-title class, so a hot group of copies costs one row.  Address groups, classes and token frequencies are
-tables: each is made once and read by all that need it.
+title class, so a hot group of copies costs one row.  Articles with their addresses, address groups, classes and
+token frequencies are tables: each is made once and read by all that need it.
 """
 
 from __future__ import annotations
@@ -94,11 +94,11 @@ def event_components(classes: DataFrame) -> DataFrame:
 def clustered(articles: DataFrame, *, compatibility: bool = True) -> DataFrame:
     """Articles with url, gid and component (the candidate event), as a table."""
     spark = articles.sparkSession
-    keyed = articles.withColumn("url", urls.canonical(F.col("link")))
+    keyed, keyed_at = written(articles.withColumn("url", urls.canonical(F.col("link"))), "keyed")
     groups, path = written(keyed.groupBy("url").agg(F.min("seq").alias("gid"), F.min_by("title", "seq").alias("title")), "groups")
     found = event_components(title_classes(groups, compatibility=compatibility))
     result, _ = written(keyed.join(groups.select("url", "gid"), "url").join(found, "gid"), "clustered")
-    remove(spark, path)
+    remove(spark, keyed_at, path)
     return result
 
 
