@@ -15,6 +15,7 @@ from ..sources.feed_xml import ParseFeed, ParseSeries
 from ..sources.feeds import feeds_of
 from . import articles as bind
 from .articles import table
+from .storage import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -218,7 +219,8 @@ def group_representative(spark, sf):
 
 
 def _classes(spark, sf):
-    return dedupe.title_classes(dedupe.url_groups(bind.in_window(spark, sf)))
+    groups, _ = written(dedupe.url_groups(bind.in_window(spark, sf)), "groups")
+    return dedupe.title_classes(groups)
 
 
 @query
@@ -246,6 +248,11 @@ def connected_components(spark, sf):
     return dedupe.event_components(_classes(spark, sf)).select("gid", "component")
 
 
+def _window(spark, sf):
+    """Articles of the window as a table, for plans that read them more than once."""
+    return written(bind.in_window(spark, sf), "window")[0]
+
+
 def _clustered(spark, sf):
     return dedupe.clustered(bind.in_window(spark, sf))
 
@@ -341,7 +348,7 @@ def _status(spark, sf):
 
 @query
 def coverage(spark, sf):
-    rows = bind.in_window(spark, sf)
+    rows = _window(spark, sf)
     found = ranking.events(dedupe.clustered(rows), bind.now(), topics=bind.TEST_TOPICS, noise=bind.TEST_NOISE)
     return cov.coverage(bind.categories(spark), _status(spark, sf), rows, found)
 
