@@ -355,8 +355,9 @@ def coverage(spark, sf):
 
 @query
 def run_meta(spark, sf):
-    rows = bind.in_window(spark, sf)
-    return cov.run_meta(_status(spark, sf), bind.articles(spark, sf), rows, dedupe.event_components(_classes(spark, sf)).select("component").distinct(), dates.window_start(bind.now()), bind.now())
+    rows = _window(spark, sf)
+    components = dedupe.event_components(dedupe.title_classes(dedupe.url_groups(rows)))
+    return cov.run_meta(_status(spark, sf), bind.articles(spark, sf), rows, components.select("component").distinct(), dates.window_start(bind.now()), bind.now())
 
 
 @query
