@@ -550,7 +550,7 @@ def gate_verdict(spark, sf):
 
 def _run(spark, sf) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
     """Meta row, coverage, events and articles of the run over the test tables."""
-    rows, status = bind.in_window(spark, sf), _status(spark, sf)
+    rows, status = _window(spark, sf), _status(spark, sf)
     clustered = dedupe.clustered(rows)
     events = ranking.numbered(ranking.events(clustered, bind.now(), topics=bind.TEST_TOPICS, noise=bind.TEST_NOISE))
     covered = cov.coverage(bind.categories(spark), status, rows, events)
