@@ -1,7 +1,7 @@
 """From articles to candidate events: address groups, title similarity, components.
 
 Similar titles are found by prefix filtering.  A pair counts only if the smaller token set shares at
-least ``least_shared`` tokens, so it must meet the larger one in one of its rarest tokens: those alone are
+least ``least_shared`` tokens, so it must meet the larger one in some of its rarest tokens: those alone are
 joined, and very common words never are unless a title has nothing rarer.  Equal token sets are one
 title class, so a hot group of copies costs one row.  Articles with their addresses, address groups, classes and
 token frequencies are tables: each is made once and read by all that need it.
@@ -21,6 +21,9 @@ from .components import connected_components
 #: Share of the smaller set that any similar pair has in common: the lesser of the two conditions.
 SHARE = min(MIN_CONTAINED, 2 * MIN_JACCARD / (1 + MIN_JACCARD))
 
+#: Rare tokens that two titles must share before their sets are compared; few pairs do by chance.
+MET = 3
+
 
 def url_groups(articles: DataFrame) -> DataFrame:
     """One row per canonical address: gid (first arrival), title of the first arrival, members in order."""
@@ -49,20 +52,31 @@ def token_frequency(classes: DataFrame) -> DataFrame:
     return _sets(classes).select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
 
 
+def candidate_pairs(sets: DataFrame, frequency: DataFrame) -> DataFrame:
+    """Pairs (a < b) of title classes that share ``MET`` of the rarest tokens of the smaller set, as any similar pair must.
+
+    A set of n tokens lacks at most n - least of them in a similar one, so of any n - least + k tokens that one has k.
+    """
+    placed = sets.select("class_id", "n", F.explode("tokens").alias("token")).join(frequency, "token")
+    ordered = placed.groupBy("class_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("rare"))
+    least = least_shared(F.col("n"))
+    need = F.least(least, F.lit(MET)).alias("need")
+    # a token of one class meets no other
+    rare = ordered.select("class_id", "n", need, F.explode(F.slice("rare", F.lit(1), F.col("n") - least + need)).alias("r")).filter("r.df > 1")
+    rare = rare.select(F.col("class_id").alias("x"), F.col("n").alias("xn"), "need", F.col("r.token").alias("token"))
+    every = sets.select(F.col("class_id").alias("y"), F.col("n").alias("yn"), F.explode("tokens").alias("token"))
+    met = rare.join(every, "token").filter((F.col("xn") < F.col("yn")) | ((F.col("xn") == F.col("yn")) & (F.col("x") < F.col("y"))))
+    enough = met.groupBy("x", "y", "need").agg(F.count(F.lit(1)).alias("met")).filter("met >= need")
+    return enough.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b"))
+
+
 def shared_tokens(classes: DataFrame) -> DataFrame:
     """Pairs of title classes (a < b) that share at least what any similar pair must: overlap, sizes."""
     spark = classes.sparkSession
     sets, sets_at = written(_sets(classes), "sets")
     frequency, frequency_at = written(sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df")), "frequency")
     sets = sets.filter(F.col("n") >= MIN_SHARED)
-    placed = sets.select("class_id", "n", F.explode("tokens").alias("token")).join(frequency, "token")
-    ordered = placed.groupBy("class_id", "n").agg(F.array_sort(F.collect_list(F.struct("df", "token"))).alias("rare"))
-    # a token of one class meets no other
-    rare = ordered.select("class_id", "n", F.explode(F.slice("rare", F.lit(1), F.col("n") - least_shared(F.col("n")) + 1)).alias("r")).filter("r.df > 1")
-    rare = rare.select(F.col("class_id").alias("x"), F.col("n").alias("xn"), F.col("r.token").alias("token"))
-    every = sets.select(F.col("class_id").alias("y"), F.col("n").alias("yn"), F.explode("tokens").alias("token"))
-    met = rare.join(every, "token").filter((F.col("x") != F.col("y")) & (F.col("xn") <= F.col("yn")))
-    pairs = met.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+    pairs = candidate_pairs(sets, frequency)
     left = sets.select(F.col("class_id").alias("a"), F.col("tokens").alias("ta"))
     right = sets.select(F.col("class_id").alias("b"), F.col("tokens").alias("tb"))
     full = pairs.join(left, "a").join(right, "b").select("a", "b", F.size("ta").alias("size_a"), F.size("tb").alias("size_b"), F.size(F.array_intersect("ta", "tb")).alias("overlap"))

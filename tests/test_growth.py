@@ -1,5 +1,8 @@
 """What queries move and how often they read: growth with the input, seen on small tables."""
 
+import math
+import random
+
 import pyarrow as pa
 from pyspark.sql import functions as F
 
@@ -74,3 +77,26 @@ def test_terms_are_looked_up_in_a_text_made_once(spark):
     for df in (noise, topics):
         plan = optimized(df).toString()
         assert plan.count("lower(") == 1 and "lower(" not in plan.partition("lambdafunction(")[2]
+
+
+def test_titles_that_meet_in_one_rare_word_are_no_candidates(spark):
+    words = [[f"pair{k // 2}"] + [f"{'odd' if k % 2 else 'even'}{j}" for j in range(6)] for k in range(20)]
+    sets = spark.createDataFrame([(k, sorted(w), len(w)) for k, w in enumerate(words)], "class_id long, tokens array<string>, n int")
+    frequency = sets.select(F.explode("tokens").alias("token")).groupBy("token").agg(F.count(F.lit(1)).alias("df"))
+    got = {(r["a"], r["b"]) for r in dedupe.candidate_pairs(sets, frequency).collect()}
+    assert {(a, b) for a in range(20) for b in range(a + 1, 20) if (a - b) % 2 == 0} == got  # six of seven words
+
+
+def test_candidates_hold_every_pair_that_shares_enough(spark):
+    rng = random.Random(5)
+    words, sets = [f"w{k}" for k in range(60)], set()
+    while len(sets) < 150:
+        base = rng.sample(words, rng.randint(2, 24))
+        sets |= {frozenset(base), frozenset([*base[: len(base) - rng.randint(0, 8)], *rng.sample(words, rng.randint(0, 9))])}
+    sets = [x for x in sorted(map(sorted, sets)) if len(x) > 1]
+    classes = spark.createDataFrame([(k, x, k) for k, x in enumerate(sets)], "gid long, tokens array<string>, class_id long")
+    got = {(r["a"], r["b"], r["overlap"]) for r in dedupe.shared_tokens(classes).collect()}
+    shared = {(a, b): len({*sets[a]} & {*sets[b]}) for a in range(len(sets)) for b in range(a + 1, len(sets))}
+    least = {k: max(2, math.ceil(dedupe.SHARE * len(x) - 1e-9)) for k, x in enumerate(sets)}
+    want = {(a, b, n) for (a, b), n in shared.items() if n >= min((len(sets[k]), least[k]) for k in (a, b))[1]}
+    assert got == want and len(want) > 50
